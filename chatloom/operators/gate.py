@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import constraints, sequence
 from .constraints import broken_rules, violations
 from .profile import chat_ends, chat_profile
@@ -76,9 +77,13 @@ class Gate:
     def violations(
         self, events: DataFrame, surveys: DataFrame, profile: DataFrame | None = None
     ) -> DataFrame:
-        """All ``(rule_id, entity_id)``; pass ``profile`` when it is already at hand."""
+        """All ``(rule_id, entity_id)``; pass ``profile`` when it is already written."""
         wanted = set(self.messages)
-        profile = chat_profile(events, surveys) if profile is None else profile
+        if profile is None:
+            profile = chat_profile(events, surveys)
+            if "P8" in wanted:
+                # The capacity rule reads it twice more: written once, computed once.
+                profile = materialize(profile, "gate-profile")
         parts: list[DataFrame] = []
 
         def rules(catalog: dict) -> dict:

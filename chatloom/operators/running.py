@@ -15,6 +15,10 @@ def opening_balances(
     The sums per (key, bucket) combine map-side, so the window below sees one
     row per bucket and never the detail rows. Returns ``keys``, ``bucket`` and
     for each value ``<name>_before``.
+
+    The result is partitioned by key and bucket. Left partitioned by key, it
+    would let a join hand that on, and all of a key's buckets would meet in one
+    task again.
     """
     per_bucket = df.groupBy(*keys, bucket).agg(*[F.sum(v).alias(n) for n, v in values.items()])
     earlier = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
@@ -25,7 +29,7 @@ def opening_balances(
             F.coalesce(F.sum(n).over(earlier), F.lit(0)).cast("bigint").alias(f"{n}_before")
             for n in values
         ],
-    )
+    ).repartition(*keys, bucket)
 
 
 def running_within(

@@ -139,13 +139,12 @@ def closure_without_push(events: DataFrame) -> DataFrame:
 def agent_load(profile: DataFrame) -> DataFrame:
     """Open chats per agent after each moment at which the number changes.
 
+    A chat counts from its assignment to its closure, an open chat for good.
     Changes at one moment are netted first: closings count before assignments,
     so within a moment the highest value is the last one.
     """
-    closed_once = profile.where(
-        F.col("assigned_agent_id").isNotNull() & (F.col("closures") == 1)
-    )
-    changes = closed_once.select(
+    assigned = profile.where(F.col("assigned_agent_id").isNotNull())
+    changes = assigned.select(
         F.col("assigned_agent_id").alias("agent_id"),
         F.inline(
             F.array(
@@ -153,8 +152,10 @@ def agent_load(profile: DataFrame) -> DataFrame:
                 F.struct(F.col("closed_at").alias("moment"), F.lit(-1).alias("change")),
             )
         ),
-    )
-    hour = F.unix_date(F.col("moment").cast("date")) * 24 + F.hour("moment")
+    ).where(F.col("moment").isNotNull())
+    # Never NULL: otherwise the join below adds a filter to one of its sides,
+    # and Spark computes the netted changes twice instead of sharing them.
+    hour = F.coalesce(F.unix_date(F.col("moment").cast("date")) * 24 + F.hour("moment"), F.lit(0))
     net = (
         changes.groupBy("agent_id", "moment")
         .agg(F.sum("change").alias("change"))

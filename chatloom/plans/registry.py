@@ -17,7 +17,7 @@ from ..operators.fact import (
     synchronise,
     with_dimension_keys,
 )
-from ..operators.gate import DELIVERY_CONTRACT, Gate, delivery_contract, source_gate
+from ..operators.gate import delivery_contract, source_gate
 from ..operators.profile import chat_profile
 from ..operators.replacement import EVENT_DATE, INGESTION_DATE, Replacement, replace_dates
 from ..schemas import DIM_DATE
@@ -28,8 +28,8 @@ from ..sources.order_chats import (
     SURVEY_COLUMNS,
     ChatLog,
     chat_log,
+    defective_chat_log,
     four_hours_late,
-    with_defects,
 )
 from ..sources.raw_layer import batch_counts
 from . import reports
@@ -53,10 +53,6 @@ def mart_of(spark: SparkSession, sf_dir: str) -> Mart:
     return _marts[key]
 
 
-def _dirty(spark: SparkSession, sf_dir: str) -> ChatLog:
-    return with_defects(chat_log(spark, sf_dir))
-
-
 # Raw layer
 
 
@@ -89,10 +85,15 @@ def delivered_events(log: ChatLog) -> DataFrame:
 
 
 def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All deliveries written as JSON Lines in one job, and read back."""
+    """Monthly deliveries written as JSON Lines in one job, and read back."""
     log = chat_log(spark, sf_dir)
+    month = F.trunc("source_date", "month")
     root = f"{scratch_root(spark)}/jsonl-{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
-    write_deliveries(delivered_events(log), delivered_surveys(log), root)
+    write_deliveries(
+        delivered_events(log).withColumn("source_date", month),
+        delivered_surveys(log).withColumn("source_date", month),
+        root,
+    )
     return read_deliveries(spark, root, bulk=True).events
 
 
@@ -165,7 +166,7 @@ def schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _k(rule: Callable[[DataFrame], DataFrame], surveys_only: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        log = _dirty(spark, sf_dir)
+        log = defective_chat_log(spark, sf_dir)
         return rule(log.surveys if surveys_only else log.events)
 
     return query
@@ -173,7 +174,7 @@ def _k(rule: Callable[[DataFrame], DataFrame], surveys_only: bool = False) -> Qu
 
 def _on_dirty_fact(rule: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        log = _dirty(spark, sf_dir)
+        log = defective_chat_log(spark, sf_dir)
         return rule(fact_source(chat_profile(log.events, log.surveys)))
 
     return query
@@ -187,14 +188,14 @@ def k12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sequence_rule(rule_id: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        log = _dirty(spark, sf_dir)
+        log = defective_chat_log(spark, sf_dir)
         return sequence.chat_rule(rule_id, log.events, log.surveys)
 
     return query
 
 
 def gate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _dirty(spark, sf_dir)
+    log = defective_chat_log(spark, sf_dir)
     return source_gate.summary(log.events, log.surveys)
 
 
@@ -203,14 +204,7 @@ def gate_first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delivery contract without the capacity rule, which has its own query."""
-    log = _dirty(spark, sf_dir)
-    rules = {rule: text for rule, text in DELIVERY_CONTRACT.items() if rule != "P8"}
-    return Gate(rules).summary(log.events, log.surveys).select("rule_id", "violations")
-
-
-def contract_summary_with_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _dirty(spark, sf_dir)
+    log = defective_chat_log(spark, sf_dir)
     return delivery_contract.summary(log.events, log.surveys)
 
 
@@ -317,7 +311,7 @@ def fact_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_keys_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chats whose key differs after the refresh; there are none."""
+    """How many of the remaining chats keep their key over the refresh: all."""
     mart, keyed = _sync(spark, sf_dir)
     after = synchronise(mart.fact_chat_resolution, keyed).select(
         "chat_id", F.col("chat_fact_key").alias("key_after")
@@ -403,7 +397,6 @@ def catalog() -> dict[str, Query]:
         "gate_summary": gate_summary,
         "gate_first_failure": gate_first_failure,
         "contract_summary": contract_summary,
-        "contract_summary_with_capacity": contract_summary_with_capacity,
         "dim_date": dim_date,
         "dim_agent": dim_agent,
         "dim_resolution_type": dim_resolution_type,

@@ -350,35 +350,53 @@ def four_hours_late(log: ChatLog) -> ChatLog:
     return ChatLog(moved, log.numbered_surveys)
 
 
-_written: dict[tuple[str, str], ChatLog] = {}
+_written: dict[tuple[str, str, str], ChatLog] = {}
 
 
-def chat_log(spark: SparkSession, sf_dir: str) -> ChatLog:
-    """The log derived from the tables in ``sf_dir``, written once per application.
+def _write(log: ChatLog, label: str) -> ChatLog:
+    """Write a log as the raw layer would.
 
-    Written as the raw layer would be: range-partitioned by delivery date, chat
-    and time, which splits a chat of any size and keeps an ordinary chat's
-    events together for map-side aggregation.
+    Events are range-partitioned by delivery date, chat and time, which splits
+    a chat of any size and keeps an ordinary chat's events together for
+    map-side aggregation.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    order = ["ingestion_date", "chat_id", "event_timestamp"]
+    events = log.numbered_events.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ChatLog(
+        materialize(events, f"events-{label}"),
+        materialize(log.numbered_surveys, f"surveys-{label}"),
+    )
+
+
+def chat_log(spark: SparkSession, sf_dir: str) -> ChatLog:
+    """The log derived from the tables in ``sf_dir``, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "clean")
     if key not in _written:
-        label = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
         log = derive_chat_log(
             spark.read.parquet(f"{sf_dir}/orders.parquet"),
             spark.read.parquet(f"{sf_dir}/lineitem.parquet"),
         )
-        order = ["ingestion_date", "chat_id", "event_timestamp"]
-        events = log.numbered_events.repartitionByRange(*order).sortWithinPartitions(*order)
-        _written[key] = ChatLog(
-            materialize(events, f"events-{label}"),
-            materialize(log.numbered_surveys, f"surveys-{label}"),
-        )
+        _written[key] = _write(log, f"clean-{_label(sf_dir)}")
     return _written[key]
 
 
+def defective_chat_log(spark: SparkSession, sf_dir: str) -> ChatLog:
+    """The derived log with defects, also written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "defective")
+    if key not in _written:
+        log = with_defects(chat_log(spark, sf_dir))
+        _written[key] = _write(log, f"defective-{_label(sf_dir)}")
+    return _written[key]
+
+
+def _label(sf_dir: str) -> str:
+    return hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+
+
 __all__ = [
     "ChatLog",
     "chat_log",
+    "defective_chat_log",
     "derive_chat_log",
     "four_hours_late",
     "with_defects",

@@ -210,16 +210,25 @@ _RULES = {
 }
 
 _GATE_ORDER = ("v01", "v02", "v03", "v04", "v05", "v06", "v07", "v08", "v09", "v10a", "v10b")
-_CONTRACT_RULES = ("k01", "k03", "v02", "v01", "v03", "p01", "p02", "v04", "p03", "k04", "p04", "p05", "p06", "p07", "k05", "p09", "k08", "k07")
+_CONTRACT_RULES = ("k01", "k03", "v02", "v01", "v03", "p01", "p02", "v04", "p03", "k04", "p04", "p05", "p06", "p07", "p08", "k05", "p09", "k08", "k07")
 
-_CAPACITY = """
+def _capacity(events: str) -> str:
+    return f"""
+assigned AS (
+ SELECT chat_id, MAX(agent_id) FILTER (WHERE event_type='agent_assignment') AS agent_id,
+  MIN(event_timestamp) FILTER (WHERE event_type='agent_assignment') AS assigned_at,
+  MIN(event_timestamp) FILTER (WHERE event_type IN CLOSURES) AS closed_at
+ FROM {events} GROUP BY chat_id),
 changes AS (
- SELECT assigned_agent_id AS agent_id, assigned_at AS moment, 1 AS change FROM rollup WHERE assigned_agent_id IS NOT NULL
- UNION ALL SELECT assigned_agent_id, closed_at, -1 FROM rollup WHERE assigned_agent_id IS NOT NULL),
+ SELECT agent_id, assigned_at AS moment, 1 AS change FROM assigned WHERE agent_id IS NOT NULL
+ UNION ALL SELECT agent_id, closed_at, -1 FROM assigned WHERE agent_id IS NOT NULL AND closed_at IS NOT NULL),
 load AS (
  SELECT agent_id, moment, SUM(change) OVER (PARTITION BY agent_id ORDER BY moment, change ROWS UNBOUNDED PRECEDING) AS open_chats FROM changes)"""
 
 
+_RULES["p08"] = _rule("P8", "agent_id", "load GROUP BY agent_id HAVING MAX(open_chats)>2")
+
+
 def _all_rules(names: tuple[str, ...], counted: str) -> str:
     union = "\n UNION ALL ".join(f"SELECT * FROM ({_RULES[name]})" for name in names)
     return f"SELECT rule_id, COUNT(*) AS violations{counted} FROM ({union}) GROUP BY rule_id"
@@ -260,7 +269,7 @@ def statements() -> dict[str, str]:
             f"SELECT {_EVENT_COLUMNS} FROM clean ORDER BY event_timestamp, event_id"
         ),
         "jsonl_round_trip": with_fixture(
-            f"SELECT {_EVENT_COLUMNS}, ingestion_date AS source_date FROM clean"
+            f"SELECT {_EVENT_COLUMNS}, CAST(date_trunc('month', ingestion_date) AS DATE) AS source_date FROM clean"
         ),
         "replace_by_event_date": _after_reload(
             f"SELECT {_EVENT_COLUMNS} FROM events_after", "event_date"
@@ -313,12 +322,13 @@ def statements() -> dict[str, str]:
             f"SELECT * FROM ({_all_rules(_GATE_ORDER, ', MIN(entity_id) AS entity_id')}) WHERE rule_id='V1'",
             "dirty",
         ),
-        "contract_summary": with_fixture(_all_rules(_CONTRACT_RULES, ""), "dirty"),
+        "contract_summary": with_fixture(
+            _all_rules(_CONTRACT_RULES, ", MIN(entity_id) AS entity_id"), "dirty", _capacity("dirty")
+        ),
         "p08_capacity": with_fixture(
             """SELECT agent_id, MIN(moment) FILTER (WHERE open_chats>2) AS first_breach_at, CAST(MAX(open_chats) AS BIGINT) AS peak_open_chats
  FROM load GROUP BY agent_id HAVING MAX(open_chats)>2""",
-            _rollup("clean"),
-            _CAPACITY,
+            _capacity("clean"),
         ),
         "dim_date": _reports("SELECT * FROM dim_date"),
         "dim_agent": _reports("SELECT * FROM dim_agent"),
@@ -343,6 +353,10 @@ def statements() -> dict[str, str]:
         "fact_stale": with_fixture(
             "SELECT chat_id FROM fact WHERE year(ingestion_date)=1997", _CLEAN_FACT
         ),
+        "fact_keys_stable": with_fixture(
+            "SELECT TRUE AS same_key, COUNT(*) AS chats FROM fact WHERE year(ingestion_date)<>1997",
+            _CLEAN_FACT,
+        ),
         "chat_detail": _reports("SELECT * FROM detail"),
         "chat_detail_filtered": _reports(
             """SELECT * FROM detail WHERE chat_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
@@ -403,5 +417,6 @@ def statements() -> dict[str, str]:
  LEFT JOIN (SELECT chat_date AS source_date, COUNT(*) AS agent_rows, COUNT(avg_queue_wait_minutes) AS agent_queue_rows FROM agent_days GROUP BY chat_date) USING (source_date)"""
         ),
     }
-    sql.update({name: with_fixture(body, "dirty") for name, body in _RULES.items()})
+    alone = {name: body for name, body in _RULES.items() if name != "p08"}
+    sql.update({name: with_fixture(body, "dirty") for name, body in alone.items()})
     return sql
