@@ -81,21 +81,38 @@ def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
 
 
 def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    """Parsed rows with the line itself, and ``corrupt_record`` set where it does not fit.
+
+    Lines are read as text and parsed whole. The JSON source parses only the
+    columns a query uses, so a line could be good or bad depending on the query.
+    """
     paths = _existing(spark, paths)
     if not paths:
-        nothing = T.StructType([*with_text.fields, T.StructField("source_date", T.DateType())])
+        nothing = T.StructType(
+            [
+                *schema.fields,
+                T.StructField(CORRUPT, T.StringType()),
+                T.StructField("source_date", T.DateType()),
+            ]
+        )
         return spark.createDataFrame([], nothing)
-    rows = (
-        spark.read.schema(with_text)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
-        .option("dateFormat", DATE_FORMAT)
-        .json(paths)
+    parsed = F.from_json(
+        "value",
+        T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]),
+        {
+            "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT,
+            "timestampNTZFormat": TIMESTAMP_FORMAT,
+            "dateFormat": DATE_FORMAT,
+        },
     )
     day = F.regexp_extract(F.col("_metadata.file_path"), r".*(\d{4}-\d{2}-\d{2})/", 1)
-    return rows.select(*with_text.fieldNames(), F.to_date(day, DATE_FORMAT).alias("source_date"))
+    return (
+        spark.read.text(paths)
+        .where(F.length(F.trim("value")) > 0)
+        .select(parsed.alias("row"), F.to_date(day, DATE_FORMAT).alias("source_date"))
+        .select("row.*", "source_date")
+    )
 
 
 def read_deliveries(
