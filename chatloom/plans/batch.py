@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ..operators import dimensions
 from ..operators.fact import fact_source, synchronise, with_dimension_keys
 from ..operators.gate import source_gate
+from ..operators.lookup import matching
 from ..operators.profile import chat_profile
 from ..operators.replacement import EVENT_DATE
 from ..session import materialize
-from ..sources.deliveries import write_deliveries
+from ..sources.deliveries import write_deliveries, write_delivery
 from ..sources.raw_layer import RawLayer
 from .mart import build_mart, current_version, load_mart, publish_mart, version_path
 
@@ -80,10 +81,9 @@ def refresh_touched(raw: RawLayer, mart_root: str) -> None:
     if old is None:
         return refresh(raw, mart_root)
     touched = materialize(raw.pending_chats().distinct(), "touched")
-    # The touched chats' rows are read out once, without shuffling the others
-    # as long as the list of chats is small enough for Spark to broadcast it.
-    events = materialize(raw.events().join(touched, "chat_id", "left_semi"), "touched-events")
-    surveys = materialize(raw.surveys().join(touched, "chat_id", "left_semi"), "touched-surveys")
+    # The touched chats' rows are read out once.
+    events = materialize(matching(raw.events(), "chat_id", touched), "touched-events")
+    surveys = materialize(matching(raw.surveys(), "chat_id", touched), "touched-surveys")
     profile = materialize(chat_profile(events, surveys), "touched-profile")
     source_gate.check(events, surveys, profile)
 
@@ -97,7 +97,7 @@ def refresh_touched(raw: RawLayer, mart_root: str) -> None:
         fact_source(profile), dim_agent, old.dim_resolution_type, old.dim_survey_response
     )
     fact = old.fact_chat_resolution
-    former = materialize(fact.join(touched, "chat_id", "left_semi"), "touched-fact")
+    former = materialize(matching(fact, "chat_id", touched), "touched-fact")
     highest = fact.agg(F.max("chat_fact_key")).first()[0]
     fresh = materialize(synchronise(former, keyed, highest), "fresh-fact")
 
@@ -153,7 +153,9 @@ def run_batch(
     raw = RawLayer(spark, f"{root}/raw")
     wanted = F.col("source_date").isin(*dates)
     events, surveys = events.where(wanted), surveys.where(wanted)
-    if backup_root:
+    if backup_root and len(dates) == 1:
+        write_delivery(events, surveys, backup_root, dates[0])
+    elif backup_root:
         write_deliveries(events, surveys, backup_root)
     totals = RunTotals(0, 0, 0)
     if dates:

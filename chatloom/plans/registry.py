@@ -21,7 +21,7 @@ from ..operators.gate import delivery_contract, source_gate
 from ..operators.profile import chat_profile
 from ..operators.replacement import EVENT_DATE, INGESTION_DATE, Replacement, replace_dates
 from ..schemas import DIM_DATE
-from ..session import scratch_root
+from ..session import materialize, scratch_root
 from ..sources.deliveries import read_deliveries, write_deliveries
 from ..sources.order_chats import (
     EVENT_COLUMNS,
@@ -94,7 +94,7 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         delivered_surveys(log).withColumn("source_date", month),
         root,
     )
-    return read_deliveries(spark, root, bulk=True).events
+    return read_deliveries(spark, root).events
 
 
 def _reload(spark: SparkSession, sf_dir: str, replace_by: str) -> Replacement:
@@ -354,9 +354,18 @@ def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kpi_daily_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily figures straight from the raw events, without a written mart."""
+    """The daily figures straight from the raw events, without a written mart.
+
+    The fact needs no keys of its own here, so it is not numbered either.
+    """
     log = chat_log(spark, sf_dir)
-    return reports.kpi_daily(build_mart(log.events, log.surveys))
+    source = fact_source(chat_profile(log.events, log.surveys))
+    agents = materialize(dimensions.merge_agents(None, dimensions.agents_of(log.events)), "agents")
+    resolutions = dimensions.resolution_types(spark)
+    responses = dimensions.survey_responses(spark)
+    dates = dimensions.merge_dates(None, dimensions.dates_of(log.events))
+    keyed = with_dimension_keys(source, agents, resolutions, responses)
+    return reports.kpi_daily(Mart(dates, agents, resolutions, responses, keyed))
 
 
 def catalog() -> dict[str, Query]:

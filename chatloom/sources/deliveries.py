@@ -3,6 +3,7 @@
 A daily delivery is ``<root>/YYYY-MM-DD/{chat_logs,surveys}.jsonl``. Each name
 may be a single file or, as Spark writes it, a folder of part files. Many days
 at once are written in one job as ``<root>/{chat_logs,surveys}/source_date=...``.
+The reader takes both.
 """
 
 from __future__ import annotations
@@ -116,7 +117,7 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFr
 
 
 def read_deliveries(
-    spark: SparkSession, root: str, dates: Iterable[date] | None = None, bulk: bool = False
+    spark: SparkSession, root: str, dates: Iterable[date] | None = None
 ) -> Deliveries:
     """Read the deliveries of ``dates``, or of all days.
 
@@ -124,10 +125,11 @@ def read_deliveries(
     otherwise load with its bad field silently NULL.
     """
 
+    days = ["*"] if dates is None else [day.isoformat() for day in dates]
+
     def paths(name: str) -> list[str]:
-        pattern = f"{root}/{name}/source_date={{}}" if bulk else f"{root}/{{}}/{name}.jsonl"
-        days = ["*"] if dates is None else [day.isoformat() for day in dates]
-        return [pattern.format(day) for day in days]
+        daily = [f"{root}/{day}/{name}.jsonl" for day in days]
+        return daily + [f"{root}/{name}/source_date={day}" for day in days]
 
     events = _read(spark, paths("chat_logs"), CHAT_EVENTS)
     surveys = _read(spark, paths("surveys"), SURVEYS)

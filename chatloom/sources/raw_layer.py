@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators import constraints
 from ..operators.gate import LOAD_CONSTRAINTS, GateError
+from ..operators.lookup import matching
 from ..operators.replacement import EVENT_DATE, Replacement, replace_dates, replace_key
 from ..schemas import BATCH_LOG, CHAT_EVENTS, SURVEYS, conform
 from ..session import materialize
@@ -36,7 +37,7 @@ def load_violations(change: Replacement) -> DataFrame:
     events, surveys = change.new_events, change.new_surveys
 
     def taken(kept: DataFrame, new: DataFrame, key: str) -> DataFrame:
-        return kept.select(key).join(new.select(key).distinct(), key, "left_semi")
+        return matching(kept.select(key), key, new)
 
     return (
         constraints.event_rows(events)
@@ -117,14 +118,15 @@ class RawLayer:
         )
         deleted_chats = materialize(change.deleted_chats, "load-deleted-chats")
         new_surveys = materialize(change.new_surveys, "load-surveys")
-        kept_surveys = self.stored_surveys().join(deleted_chats, "chat_id", "left_anti")
+        # From here on the joins read the written list of chats.
+        stored = self.stored_surveys()
         staged = Replacement(
             change.deleted_events,
             change.kept_events,
             new_events,
             deleted_chats,
-            kept_surveys.select(*STORED_SURVEYS.fieldNames()),
-            change.deleted_surveys,
+            stored.join(deleted_chats, "chat_id", "left_anti").select(*stored.columns),
+            matching(stored, "chat_id", deleted_chats).select(*stored.columns),
             new_surveys,
         )
         self._require_valid(staged)

@@ -9,9 +9,16 @@ from chatloom.operators.gate import GateError
 from chatloom.operators.replacement import INGESTION_DATE
 from chatloom.plans import reports
 from chatloom.plans.batch import RunTotals, refresh, refresh_touched, run_batch, select_dates
-from chatloom.plans.mart import build_mart, current_version, load_mart, natural_fact
-from chatloom.schemas import ASSIGNED, CUSTOMER_REPLY
+from chatloom.plans.mart import (
+    build_mart,
+    current_version,
+    load_mart,
+    natural_fact,
+    register_views,
+)
+from chatloom.schemas import ASSIGNED, CUSTOMER_REPLY, FACT_CHAT_RESOLUTION
 from chatloom.sources.deliveries import read_deliveries
+from chatloom.sources.folders import read_or_empty
 from chatloom.sources.raw_layer import RawLayer
 
 from .helpers import DAY, abandoned_chat, at, events_of, frames, ordinary_chat, rows_of
@@ -68,7 +75,13 @@ def test_run_from_delivery_to_reports(spark, tmp_path):
     assert reports.chat_detail(mart).count() == 9
     assert rows_of(reports.daily_volume(mart)) == [(DAY, 6), (NEXT, 3)]
     assert rows_of(reports.agent_ranking(mart), "chat_date", "agent_rank") == [(DAY, 1), (NEXT, 1)]
-    assert read_deliveries(spark, str(tmp_path / "backup"), bulk=True).surveys.count() == 9
+    assert read_deliveries(spark, str(tmp_path / "backup")).surveys.count() == 9
+
+
+def test_backup_of_one_day(spark, tmp_path):
+    run(spark, tmp_path, {DAY: day_chats(DAY, 2)}, backup_root=str(tmp_path / "backup"))
+    assert (tmp_path / "backup" / DAY.isoformat() / "chat_logs.jsonl").is_dir()
+    assert read_deliveries(spark, str(tmp_path / "backup"), [DAY]).events.count() == 12
 
 
 def test_no_backup_unless_asked(spark, tmp_path):
@@ -171,3 +184,29 @@ def test_open_chats_reach_the_date_dimension_only(spark, tmp_path):
     assert mart.fact_chat_resolution.count() == 0
     assert rows_of(mart.dim_date, "full_date") == [(DAY,)]
     assert events[2][3] == ASSIGNED and rows_of(mart.dim_agent, "agent_id") == [(1001,)]
+
+
+def test_views_answer_sql(spark):
+    mart = build_mart(*frames(spark, *day_chats(DAY, 3)))
+    register_views(mart)
+    reports.register_report_views(mart)
+    reports.register_report_views(mart)
+    got = spark.sql(
+        """SELECT d.support_team, SUM(k.resolved_chats) AS chats FROM v_chat_kpi_summary_daily k
+        JOIN (SELECT DISTINCT support_team FROM v_tableau_chat_detail) d USING (support_team) GROUP BY ALL"""
+    )
+    assert rows_of(got) == [("Technical Support", 3)]
+    assert spark.sql("SELECT * FROM v_agent_performance_daily").count() == 1
+    assert spark.table("fact_chat_resolution").count() == 3
+
+
+def test_fact_files_from_before_the_queue_columns(spark, tmp_path):
+    """Older files lack later columns; they read as NULL."""
+    mart = build_mart(*frames(spark, *day_chats(DAY, 2)))
+    new_columns = ["entered_queue_at", "queue_wait_seconds"]
+    path = str(tmp_path / "fact")
+    mart.fact_chat_resolution.drop(*new_columns).write.parquet(path)
+    mart.fact_chat_resolution.write.mode("append").parquet(path)
+    fact = read_or_empty(spark, path, FACT_CHAT_RESOLUTION)
+    assert fact.count() == 4
+    assert fact.where("queue_wait_seconds IS NULL AND entered_queue_at IS NULL").count() == 2

@@ -79,10 +79,10 @@ def test_many_days_in_one_job(spark, tmp_path):
     day = F.when(F.col("chat_id") == "chat_3", date(2026, 5, 2)).otherwise(DAY)
     events, answers = events.withColumn("source_date", day), answers.withColumn("source_date", day)
     write_deliveries(events, answers, str(tmp_path))
-    back = read_deliveries(spark, str(tmp_path), bulk=True)
+    back = read_deliveries(spark, str(tmp_path))
     assert rows_of(back.events) == rows_of(events)
     assert rows_of(back.surveys) == rows_of(answers)
-    one = read_deliveries(spark, str(tmp_path), [date(2026, 5, 2)], bulk=True)
+    one = read_deliveries(spark, str(tmp_path), [date(2026, 5, 2)])
     assert rows_of(one.surveys, "chat_id") == [("chat_3",)]
 
 
