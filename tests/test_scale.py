@@ -1,0 +1,206 @@
+"""Plans and hot keys: what must hold when the data is very large."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from chatloom.operators import sequence
+from chatloom.operators.fact import fact_source, synchronise, with_dimension_keys
+from chatloom.operators.gate import delivery_contract, source_gate
+from chatloom.operators.lookup import matching
+from chatloom.operators.profile import chat_profile
+from chatloom.operators.running import opening_balances, running_within
+from chatloom.plans import reports
+from chatloom.plans.mart import build_mart
+from chatloom.session import materialize
+
+from .helpers import DAY, abandoned_chat, at, event_frame, frames, ordinary_chat, rows_of, survey_frame, survey_of
+
+HOT_EVENTS = 20_000
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df):
+    return len(re.findall(r"(?<!Reused)Exchange (?:hash|range|Single|Round)", plan_of(df)))
+
+
+def hot_chat(spark, name="chat_hot", events=HOT_EVENTS):
+    """One chat with very many replies, a second apart, as a frame."""
+    place = F.col("id")
+    kind = (
+        F.when(place == 0, "chat_started")
+        .when(place == 1, "chat_entered_queue")
+        .when(place == 2, "agent_assignment")
+        .when(place == events - 1, "chat_closed_by_agent")
+        .when(place % 2 == 0, "agent_responded")
+        .otherwise("customer_responded")
+    )
+    rows = spark.range(0, events, 1, 8).select(
+        F.format_string(f"{name}_event_%07d", place).alias("event_id"),
+        F.lit(name).alias("chat_id"),
+        kind.alias("event_type"),
+        (F.lit(at("08:00:00")) + F.make_dt_interval(secs=place.cast("decimal(18,6)"))).alias("event_timestamp"),
+        F.lit(DAY).alias("ingestion_date"),
+    )
+    with_agent = F.col("event_type").isin("agent_assignment", "agent_responded", "chat_closed_by_agent")
+    return rows.withColumn("agent_id", F.when(with_agent, 1001).cast("int"))
+
+
+def _skewed(spark):
+    events, surveys = frames(
+        spark, *[ordinary_chat(f"chat_{i}", at("08:00:00"), agent=1002 + i) for i in range(40)]
+    )
+    hot = hot_chat(spark).select(*events.columns)
+    return events.unionByName(hot), surveys.unionByName(survey_frame(spark, [survey_of("chat_hot")]))
+
+
+def test_hot_chat_passes_and_is_counted_whole(spark):
+    events, surveys = _skewed(spark)
+    assert source_gate.violations(events, surveys).count() == 0
+    assert delivery_contract.violations(events, surveys).count() == 0
+    fact = fact_source(chat_profile(events, surveys)).where("chat_id = 'chat_hot'").first()
+    replies = (HOT_EVENTS - 4) // 2
+    assert (fact.agent_response_count, fact.customer_response_count) == (replies, replies)
+    assert fact.resolution_seconds == HOT_EVENTS - 1
+
+
+def test_a_defect_deep_in_a_hot_chat_is_found(spark):
+    events, surveys = _skewed(spark)
+    twin = events.where("event_id = 'chat_hot_event_0012345'").withColumn(
+        "event_id", F.concat("event_id", F.lit("x"))
+    )
+    found = source_gate.violations(events.unionByName(twin), surveys)
+    assert rows_of(found) == [("V3", "chat_hot")]
+
+
+def test_hot_chat_reaches_the_reducer_as_few_rows(spark):
+    """After the map-side step a chat is one row per input task, however long it is."""
+    events, _ = _skewed(spark)
+    partial = re.search(r"HashAggregate\(keys=\[chat_id#\d+\], functions=\[partial", plan_of(chat_profile(events)))
+    assert partial
+    assert "SortAggregate" not in plan_of(chat_profile(events))
+
+
+def test_repeated_surveys_are_counted_and_not_copied(spark):
+    events, survey = ordinary_chat("chat_1", at("08:00:00"))
+    answers = survey_frame(spark, [survey] * 1000 + [survey_of("chat_1", None, skipped=True)] * 3)
+    source = fact_source(chat_profile(event_frame(spark, events), answers))
+    assert rows_of(source, "response_code", "source_rows") == [("satisfied", 1000), ("skipped", 3)]
+
+
+def test_running_totals_equal_brute_force(spark):
+    chance = random.Random(7)
+    rows = [
+        ("hot" if i % 3 else f"key_{i % 11}", chance.randrange(200), i, chance.randrange(-5, 10))
+        for i in range(5000)
+    ]
+    df = spark.createDataFrame(rows, "key string, moment int, tie int, change int")
+    df = df.withColumn("bucket", F.expr("moment div 16"))
+    values = {"change": F.col("change")}
+    opening = opening_balances(df, ["key"], "bucket", values)
+    got = running_within(
+        df.join(opening, ["key", "bucket"]), ["key"], "bucket", [F.col("moment"), F.col("tie")], values
+    )
+    totals, expected = {}, []
+    for key, moment, tie, change in sorted(rows, key=lambda row: (row[1], row[2])):
+        totals[key] = totals.get(key, 0) + change
+        expected.append((key, moment, tie, totals[key]))
+    assert rows_of(got, "key", "moment", "tie", "change_running") == sorted(expected, key=repr)
+
+
+def test_capacity_equals_brute_force(spark):
+    """Many chats of few agents over two days, against a plain loop."""
+    chance = random.Random(3)
+    chats = []
+    for i in range(400):
+        start = at("00:00:00").replace(hour=chance.randrange(24), minute=chance.randrange(60))
+        start = start.replace(day=1 + chance.randrange(2))
+        total = 1200 + 300 * chance.randrange(40)
+        chats.append(ordinary_chat(f"chat_{i}", start, agent=1001 + chance.randrange(3) ** 2, total=total))
+    changes = {}
+    for events, _ in chats:
+        agent = events[2][2]
+        changes.setdefault(agent, []).extend([(events[2][4], 1), (events[-1][4], -1)])
+    expected = []
+    for agent, steps in changes.items():
+        active, peak, first = 0, 0, None
+        for moment, change in sorted(steps):
+            active += change
+            peak = max(peak, active)
+            if active > 2 and first is None:
+                first = moment
+        if first is not None:
+            expected.append((agent, first, peak))
+    events, _ = frames(spark, *chats)
+    assert rows_of(sequence.agents_over_capacity(chat_profile(events))) == sorted(expected, key=repr)
+
+
+def test_capacity_window_is_split_by_hour(spark):
+    events, _ = frames(spark, ordinary_chat("chat_1", at("08:00:00")))
+    profile = materialize(chat_profile(events), "plan-profile")
+    plan = plan_of(sequence.agents_over_capacity(profile))
+    window = re.search(r"Window \[sum\(change#\d+L?\) windowspecdefinition\(agent_id#\d+, hour#\d+, moment", plan)
+    assert window
+    assert "SinglePartition" not in plan
+
+
+def _written_mart(spark):
+    chats = [ordinary_chat("chat_1", at("08:00:00")), abandoned_chat("chat_2", at("09:00:00"))]
+    events, surveys = frames(spark, *chats)
+    return events, surveys, build_mart(events, surveys).materialized("plan-mart")
+
+
+def test_profile_and_fact_take_one_shuffle_and_no_join(spark):
+    events, surveys, _ = _written_mart(spark)
+    for df in (chat_profile(events, surveys), fact_source(chat_profile(events, surveys))):
+        assert exchanges(df) == 1
+        assert "Join" not in plan_of(df)
+
+
+def test_single_rules_take_one_shuffle(spark):
+    events, surveys, _ = _written_mart(spark)
+    for rule in ("V1", "V2", "V4", "V5", "V8", "V9", "V10a", "P1", "P2", "P5", "P6", "P7", "P9"):
+        assert exchanges(sequence.chat_rule(rule, events, surveys)) == 1
+
+
+def test_reports_shuffle_only_their_groups(spark):
+    *_, mart = _written_mart(spark)
+    assert exchanges(reports.kpi_daily(mart)) == 1
+    assert exchanges(reports.agent_performance(mart)) == 1
+    assert exchanges(reports.chat_detail(mart)) == 0
+    assert "SortMergeJoin" not in plan_of(reports.chat_detail(mart))
+
+
+def test_reports_read_only_their_columns(spark):
+    *_, mart = _written_mart(spark)
+    scanned = re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(reports.average_queue_wait(mart)))
+    assert scanned == ["queue_wait_seconds:int"]
+
+
+def test_fact_keys_need_no_global_sort(spark):
+    events, surveys, mart = _written_mart(spark)
+    keyed = with_dimension_keys(
+        fact_source(chat_profile(events, surveys)),
+        mart.dim_agent,
+        mart.dim_resolution_type,
+        mart.dim_survey_response,
+    )
+    plan = plan_of(synchronise(mart.fact_chat_resolution, keyed))
+    assert "Window" not in plan
+    body = plan.split("Subqueries")[0]
+    assert len(re.findall("SinglePartition", body)) <= 1  # the one-row maximum of the old keys
+
+
+def test_lookup_filter_reaches_the_scan(spark, tmp_path):
+    table = spark.range(1000).select(F.format_string("chat_%04d", "id").alias("chat_id"))
+    table.write.parquet(str(tmp_path / "t"))
+    wanted = spark.createDataFrame([("chat_0010",), ("chat_0020",), ("chat_9999",)], "chat_id string")
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = matching(stored, "chat_id", wanted)
+    assert rows_of(found) == [("chat_0010",), ("chat_0020",)]
+    assert "GreaterThanOrEqual(chat_id,chat_0010)" in plan_of(found)
+    assert matching(stored, "chat_id", wanted.where("false")).count() == 0
