@@ -55,7 +55,7 @@ class ChatLog:
 
 
 def _later(moment: Column, microseconds: Column) -> Column:
-    return moment + F.make_dt_interval(secs=(microseconds.cast("decimal(20,0)") / 1000000).cast("decimal(18,6)"))
+    return F.timestamp_add("MICROSECOND", microseconds.cast("bigint"), moment)
 
 
 def _seconds_later(moment: Column, seconds: Column) -> Column:

@@ -1,7 +1,7 @@
 """One DuckDB statement per registered query.
 
-Rules are written the direct way here (windows, NOT EXISTS, self joins), on
-purpose unlike the grouped aggregates of the Spark side.
+Rules are written with window functions over the events of a chat and with set
+operations, on purpose unlike the grouped aggregates of the Spark side.
 """
 
 from __future__ import annotations
@@ -27,23 +27,32 @@ def _pct(n: str, d: str) -> str:
     return f"CAST((20000*({n})+({d}))//NULLIF(2*({d}),0) AS DOUBLE)/100"
 
 
+def _moment(event_type: str, pick: str = "MIN") -> str:
+    return f"{pick}(CASE WHEN event_type='{event_type}' THEN event_timestamp END)"
+
+
+def _times(event_type: str) -> str:
+    return f"SUM(CASE WHEN event_type='{event_type}' THEN 1 ELSE 0 END)"
+
+
+_CLOSINGS = "SUM(CASE WHEN event_type IN CLOSURES THEN 1 ELSE 0 END)"
+_CLOSED_AT = "MIN(CASE WHEN event_type IN CLOSURES THEN event_timestamp END)"
+
+
 def _rollup(events: str) -> str:
     return f"""
-rollup AS (
- SELECT chat_id,
-  MIN(event_timestamp) FILTER (WHERE event_type='chat_started') AS started_at,
-  MIN(event_timestamp) FILTER (WHERE event_type='chat_entered_queue') AS entered_queue_at,
-  MIN(event_timestamp) FILTER (WHERE event_type='agent_assignment') AS assigned_at,
-  MIN(event_timestamp) FILTER (WHERE event_type='agent_responded') AS first_agent_response_at,
-  MIN(event_timestamp) FILTER (WHERE event_type IN CLOSURES) AS closed_at,
-  MAX(event_type) FILTER (WHERE event_type IN CLOSURES) AS resolution_code,
-  MAX(agent_id) FILTER (WHERE event_type='agent_assignment') AS assigned_agent_id,
-  MAX(ingestion_date) AS ingestion_date,
-  CAST(COUNT(*) FILTER (WHERE event_type='agent_responded') AS INT) AS agent_response_count,
-  CAST(COUNT(*) FILTER (WHERE event_type='customer_responded') AS INT) AS customer_response_count,
-  BOOL_OR(event_type='chat_pushed_to_queue_due_inactivity') AS pushed_due_to_inactivity
- FROM {events} GROUP BY chat_id
- HAVING COUNT(*) FILTER (WHERE event_type IN CLOSURES)=1)"""
+milestones AS (
+ SELECT chat_id, {_CLOSINGS} AS closings, {_CLOSED_AT} AS closed_at,
+  {_moment('chat_started')} AS started_at, {_moment('chat_entered_queue')} AS entered_queue_at,
+  {_moment('agent_assignment')} AS assigned_at, {_moment('agent_responded')} AS first_agent_response_at,
+  MAX(CASE WHEN event_type IN CLOSURES THEN event_type END) AS resolution_code,
+  MAX(CASE WHEN event_type='agent_assignment' THEN agent_id END) AS assigned_agent_id,
+  CAST({_times('agent_responded')} AS INT) AS agent_response_count,
+  CAST({_times('customer_responded')} AS INT) AS customer_response_count,
+  {_times('chat_pushed_to_queue_due_inactivity')}>0 AS pushed_due_to_inactivity,
+  MAX(ingestion_date) AS ingestion_date
+ FROM {events} GROUP BY chat_id),
+rollup AS (SELECT * EXCLUDE (closings) FROM milestones WHERE closings=1)"""
 
 
 def _fact(events: str, surveys: str) -> str:
@@ -54,7 +63,7 @@ fact AS (
  SELECT r.chat_id,
   CAST(year(started_at)*10000+month(started_at)*100+day(started_at) AS INT) AS date_key,
   assigned_agent_id AS agent_id, resolution_code,
-  CASE WHEN survey_skipped THEN 'skipped' WHEN customer_input IS NULL THEN 'no_response' ELSE customer_input END AS response_code,
+  CASE WHEN survey_skipped THEN 'skipped' ELSE COALESCE(customer_input,'no_response') END AS response_code,
   started_at, entered_queue_at, assigned_at, first_agent_response_at, closed_at, ingestion_date,
   {_seconds('entered_queue_at', 'assigned_at')} AS queue_wait_seconds,
   {_seconds('assigned_at', 'first_agent_response_at')} AS first_response_seconds,
@@ -62,7 +71,7 @@ fact AS (
   agent_response_count, customer_response_count, pushed_due_to_inactivity,
   first_agent_response_at - assigned_at <= INTERVAL '5 minutes' AS first_response_sla_met,
   closed_at - started_at <= INTERVAL '60 minutes' AS resolution_sla_met,
-  CASE customer_input WHEN 'satisfied' THEN TRUE WHEN 'dissatisfied' THEN FALSE END AS satisfied_flag
+  CASE WHEN customer_input IN ('satisfied','dissatisfied') THEN customer_input='satisfied' END AS satisfied_flag
  FROM rollup r JOIN {surveys} s ON s.chat_id=r.chat_id
  WHERE survey_skipped OR customer_input IS NULL OR customer_input IN ('satisfied','dissatisfied'))"""
     )
@@ -76,10 +85,10 @@ dim_date AS (
   CAST(quarter(d) AS SMALLINT) AS quarter_number, CAST(year(d) AS SMALLINT) AS year_number,
   isodow(d) IN (6,7) AS is_weekend
  FROM (SELECT CAST(event_timestamp AS DATE) AS d FROM clean WHERE event_type='chat_started')),
+teams AS (SELECT * FROM (VALUES (0,'Billing Support'),(1,'Account Support'),(2,'Technical Support')) v(residue,support_team)),
 dim_agent AS (
- SELECT DISTINCT agent_id, concat('Agent ', CAST(agent_id AS VARCHAR)) AS agent_name,
-  CASE agent_id%3 WHEN 0 THEN 'Billing Support' WHEN 1 THEN 'Account Support' ELSE 'Technical Support' END AS support_team
- FROM clean WHERE event_type='agent_assignment'),
+ SELECT agent_id, concat('Agent ', CAST(agent_id AS VARCHAR)) AS agent_name, support_team
+ FROM (SELECT DISTINCT agent_id FROM clean WHERE event_type='agent_assignment') JOIN teams ON residue=agent_id%3),
 dim_resolution_type AS (
  SELECT * FROM (VALUES ('chat_closed_by_agent','Closed by Agent'),('customer_closed_chat','Closed by Customer'),
   ('system_closed_chat_after_inactivity','System Closed After Inactivity')) v(resolution_code,resolution_label)),
@@ -102,24 +111,24 @@ detail AS (
  JOIN dim_resolution_type USING (resolution_code) JOIN dim_survey_response USING (response_code)),
 kpi AS (
  SELECT chat_date, support_team, COUNT(*) AS resolved_chats,
-  COUNT(*) FILTER (WHERE agent_id='Unassigned') AS unassigned_chats,
-  COUNT(*) FILTER (WHERE first_agent_response_at IS NOT NULL) AS responded_chats,
+  CAST(COUNT_IF(agent_id='Unassigned') AS BIGINT) AS unassigned_chats,
+  COUNT(first_agent_response_at) AS responded_chats,
   {_avg_minutes('queue_wait_seconds')} AS avg_queue_wait_minutes,
   {_avg_minutes('first_response_seconds')} AS avg_first_response_minutes,
   {_avg_minutes('resolution_seconds')} AS avg_resolution_minutes,
-  {_pct('COUNT(*) FILTER (WHERE first_response_sla_met)', 'COUNT(first_response_sla_met)')} AS first_response_sla_pct,
-  {_pct('COUNT(*) FILTER (WHERE resolution_sla_met)', 'COUNT(*)')} AS resolution_sla_pct,
+  {_pct('COUNT_IF(first_response_sla_met)', 'COUNT(first_response_sla_met)')} AS first_response_sla_pct,
+  {_pct('COUNT_IF(resolution_sla_met)', 'COUNT(*)')} AS resolution_sla_pct,
   {_pct('COUNT(satisfied_flag)', 'COUNT(*)')} AS survey_response_rate_pct,
-  {_pct('COUNT(*) FILTER (WHERE satisfied_flag)', 'COUNT(satisfied_flag)')} AS csat_pct,
-  COUNT(*) FILTER (WHERE pushed_due_to_inactivity) AS inactivity_closures
+  {_pct('COUNT_IF(satisfied_flag)', 'COUNT(satisfied_flag)')} AS csat_pct,
+  CAST(COUNT_IF(pushed_due_to_inactivity) AS BIGINT) AS inactivity_closures
  FROM detail GROUP BY chat_date, support_team),
 agent_days AS (
  SELECT chat_date, CAST(agent_id AS INT) AS agent_id, agent_name, support_team, COUNT(*) AS resolved_chats,
   {_avg_minutes('queue_wait_seconds')} AS avg_queue_wait_minutes,
   {_avg_minutes('first_response_seconds')} AS avg_first_response_minutes,
   {_avg_minutes('resolution_seconds')} AS avg_resolution_minutes,
-  {_pct('COUNT(*) FILTER (WHERE first_response_sla_met)', 'COUNT(first_response_sla_met)')} AS first_response_sla_pct,
-  {_pct('COUNT(*) FILTER (WHERE satisfied_flag)', 'COUNT(satisfied_flag)')} AS csat_pct
+  {_pct('COUNT_IF(first_response_sla_met)', 'COUNT(first_response_sla_met)')} AS first_response_sla_pct,
+  {_pct('COUNT_IF(satisfied_flag)', 'COUNT(satisfied_flag)')} AS csat_pct
  FROM detail WHERE agent_id<>'Unassigned' GROUP BY chat_date, agent_id, agent_name, support_team)"""
 
 _EVENT_COLUMNS = "event_id, chat_id, agent_id, event_type, event_timestamp, ingestion_date"
@@ -138,75 +147,72 @@ def _rule(rule: str, entity: str, source: str) -> str:
     return f"SELECT '{rule}' AS rule_id, CAST({entity} AS VARCHAR) AS entity_id FROM {source}"
 
 
-def _chat_having(rule: str, condition: str) -> str:
-    return _rule(rule, "chat_id", f"dirty GROUP BY chat_id HAVING {condition}")
-
-
-_ORDERED = """(SELECT *, ROW_NUMBER() OVER (PARTITION BY chat_id ORDER BY event_timestamp, event_id) AS place,
- ROW_NUMBER() OVER (PARTITION BY chat_id ORDER BY event_timestamp DESC, event_id DESC) AS place_from_end,
- LAG(event_timestamp) OVER (PARTITION BY chat_id ORDER BY event_timestamp, event_id) AS previous FROM dirty)"""
-
-
-def _count(event_type: str) -> str:
-    return f"COUNT(*) FILTER (WHERE event_type='{event_type}')"
-
-
-def _first(event_type: str) -> str:
-    return f"MIN(event_timestamp) FILTER (WHERE event_type='{event_type}')"
-
-
 _ACTIVITY = "('agent_responded','chat_closed_by_agent','chat_pushed_to_queue_due_inactivity')"
-_CLOSED_CHATS = "(SELECT DISTINCT chat_id FROM dirty WHERE event_type IN CLOSURES)"
+_NO_AGENT = "('chat_started','chat_entered_queue','customer_responded','customer_closed_chat','system_closed_chat_after_inactivity')"
+_AGENT = "('agent_assignment','agent_responded','chat_closed_by_agent','chat_pushed_to_queue_due_inactivity')"
+
+# Every event with what its whole chat looks like.
+_SEEN = f"""
+seen AS (
+ SELECT *,
+  ROW_NUMBER() OVER (PARTITION BY chat_id ORDER BY event_timestamp, event_id) AS place,
+  ROW_NUMBER() OVER (PARTITION BY chat_id ORDER BY event_timestamp DESC, event_id DESC) AS place_from_end,
+  COUNT(*) OVER (PARTITION BY chat_id, event_timestamp) AS at_this_moment,
+  {_times('chat_started')} OVER chat AS starts,
+  {_times('chat_entered_queue')} OVER chat AS queue_entries,
+  {_times('agent_assignment')} OVER chat AS assignments,
+  {_CLOSINGS} OVER chat AS closings,
+  {_CLOSED_AT} OVER chat AS closed_at,
+  {_moment('chat_entered_queue')} OVER chat AS queued_at,
+  {_moment('agent_assignment')} OVER chat AS assigned_at,
+  {_moment('chat_pushed_to_queue_due_inactivity', 'MAX')} OVER chat AS last_push_at,
+  {_moment('agent_assignment')} OVER (PARTITION BY chat_id, agent_id) AS same_agent_assigned_at,
+  FIRST_VALUE(agent_id) OVER (PARTITION BY chat_id ORDER BY CASE WHEN event_type='agent_assignment' THEN 0 ELSE 1 END, event_timestamp, event_id) AS first_agent_id,
+  MIN(agent_id) OVER chat AS lowest_agent_id, MAX(agent_id) OVER chat AS highest_agent_id
+ FROM dirty WINDOW chat AS (PARTITION BY chat_id))"""
+
+
+def _chats(rule: str, condition: str) -> str:
+    """Chats with an event in ``seen`` that meets the condition."""
+    return _rule(rule, "chat_id", f"seen WHERE {condition} GROUP BY chat_id")
+
+
+_CLOSED = "SELECT chat_id FROM dirty WHERE event_type IN CLOSURES"
+_SURVEYED = "SELECT chat_id FROM dsv"
 
 _RULES = {
     "k01": _rule("K1", "event_id", "dirty GROUP BY event_id HAVING COUNT(*)>1 OR event_id IS NULL"),
     "k02": _rule("K2", "event_id", "dirty WHERE chat_id IS NULL OR event_type IS NULL OR event_timestamp IS NULL OR ingestion_date IS NULL"),
-    "k03": _rule("K3", "event_id", """dirty WHERE event_type NOT IN ('chat_started','chat_entered_queue','agent_assignment','agent_responded',
- 'customer_responded','chat_closed_by_agent','customer_closed_chat','chat_pushed_to_queue_due_inactivity','system_closed_chat_after_inactivity')"""),
-    "k04": _rule("K4", "event_id", """dirty WHERE (agent_id IS NOT NULL AND event_type IN ('chat_started','chat_entered_queue','customer_responded',
- 'customer_closed_chat','system_closed_chat_after_inactivity')) OR (agent_id IS NULL AND event_type IN ('agent_assignment','agent_responded',
- 'chat_closed_by_agent','chat_pushed_to_queue_due_inactivity'))"""),
+    "k03": _rule("K3", "event_id", f"dirty WHERE event_type NOT IN {_NO_AGENT} AND event_type NOT IN {_AGENT}"),
+    "k04": _rule("K4", "event_id", f"dirty WHERE CASE WHEN agent_id IS NULL THEN event_type IN {_AGENT} ELSE event_type IN {_NO_AGENT} END"),
     "k05": _rule("K5", "survey_id", "dsv GROUP BY survey_id HAVING COUNT(*)>1 OR survey_id IS NULL"),
     "k06": _rule("K6", "chat_id", "dsv WHERE chat_id IS NOT NULL GROUP BY chat_id HAVING COUNT(*)>1")
     + " UNION ALL "
     + _rule("K6", "COALESCE(chat_id, survey_id)", "dsv WHERE chat_id IS NULL OR survey_skipped IS NULL"),
     "k07": _rule("K7", "chat_id", "dsv WHERE customer_input NOT IN ('satisfied','dissatisfied')"),
     "k08": _rule("K8", "chat_id", "dsv WHERE survey_skipped AND customer_input IS NOT NULL"),
-    "v01": _chat_having("V1", f"{_count('chat_started')}<>1"),
-    "v02": _rule("V2", "chat_id", f"{_ORDERED} WHERE place=1 AND event_type<>'chat_started'"),
-    "v03": f"SELECT DISTINCT 'V3' AS rule_id, chat_id AS entity_id FROM {_ORDERED} WHERE event_timestamp<=previous",
-    "v04": _chat_having("V4", f"{_count('agent_assignment')}>1"),
-    "v05": _chat_having("V5", "COUNT(DISTINCT agent_id) FILTER (WHERE agent_id IS NOT NULL)>1"),
-    "v06": f"""SELECT DISTINCT 'V6' AS rule_id, chat_id AS entity_id FROM dirty e WHERE event_type IN {_ACTIVITY}
- AND NOT EXISTS (SELECT 1 FROM dirty a WHERE a.chat_id=e.chat_id AND a.event_type='agent_assignment'
-  AND a.agent_id=e.agent_id AND a.event_timestamp<e.event_timestamp)""",
-    "v07": """SELECT DISTINCT 'V7' AS rule_id, chat_id AS entity_id FROM dirty c WHERE event_type='system_closed_chat_after_inactivity'
- AND NOT EXISTS (SELECT 1 FROM dirty p WHERE p.chat_id=c.chat_id AND p.event_type='chat_pushed_to_queue_due_inactivity'
-  AND p.event_timestamp=c.event_timestamp - INTERVAL '1 hour')""",
-    "v08": _chat_having("V8", "COUNT(*) FILTER (WHERE event_type IN CLOSURES)>1"),
-    "v09": """SELECT DISTINCT 'V9' AS rule_id, e.chat_id AS entity_id FROM dirty e JOIN (SELECT chat_id, MIN(event_timestamp) AS closed_at
- FROM dirty WHERE event_type IN CLOSURES GROUP BY chat_id) c ON c.chat_id=e.chat_id WHERE e.event_timestamp>c.closed_at""",
-    "v10a": f"SELECT 'V10a' AS rule_id, c.chat_id AS entity_id FROM {_CLOSED_CHATS} c LEFT JOIN dsv s ON s.chat_id=c.chat_id WHERE s.chat_id IS NULL",
-    "v10b": """SELECT DISTINCT 'V10b' AS rule_id, s.chat_id AS entity_id FROM dsv s LEFT JOIN dirty c ON c.chat_id=s.chat_id
- AND c.event_type IN CLOSURES WHERE c.chat_id IS NULL""",
-    "p01": _chat_having("P1", f"{_count('chat_entered_queue')}<>1"),
-    "p02": _chat_having("P2", f"{_first('chat_entered_queue')}<=MIN(event_timestamp)"),
-    "p03": _chat_having("P3", f"{_first('agent_assignment')}<={_first('chat_entered_queue')}"),
-    "p04": """SELECT DISTINCT 'P4' AS rule_id, e.chat_id AS entity_id FROM dirty e JOIN (SELECT chat_id, agent_id,
- ROW_NUMBER() OVER (PARTITION BY chat_id ORDER BY event_timestamp, event_id) AS place FROM dirty WHERE event_type='agent_assignment') a
- ON a.chat_id=e.chat_id AND a.place=1 WHERE e.agent_id<>a.agent_id""",
-    "p05": f"""SELECT DISTINCT 'P5' AS rule_id, e.chat_id AS entity_id FROM dirty e LEFT JOIN (SELECT chat_id, MIN(event_timestamp) AS assigned_at
- FROM dirty WHERE event_type='agent_assignment' GROUP BY chat_id) a ON a.chat_id=e.chat_id
- WHERE event_type IN {_ACTIVITY} AND (assigned_at IS NULL OR e.event_timestamp<=assigned_at)""",
-    "p06": f"""SELECT 'P6' AS rule_id, chat_id AS entity_id FROM {_ORDERED} GROUP BY chat_id HAVING COUNT(*) FILTER (WHERE event_type IN CLOSURES)<>1
- OR COUNT(*) FILTER (WHERE place_from_end=1 AND event_type IN CLOSURES)=0""",
-    "p07": """SELECT DISTINCT 'P7' AS rule_id, c.chat_id AS entity_id FROM dirty c LEFT JOIN (SELECT chat_id, MAX(event_timestamp) AS pushed_at
- FROM dirty WHERE event_type='chat_pushed_to_queue_due_inactivity' GROUP BY chat_id) p ON p.chat_id=c.chat_id
- WHERE event_type='system_closed_chat_after_inactivity' AND (pushed_at IS NULL OR c.event_timestamp<>pushed_at + INTERVAL '1 hour')""",
-    "p09": f"""SELECT DISTINCT 'P9' AS rule_id, chat_id AS entity_id FROM (
- SELECT c.chat_id FROM {_CLOSED_CHATS} c LEFT JOIN dsv s ON s.chat_id=c.chat_id WHERE s.chat_id IS NULL
- UNION ALL SELECT s.chat_id FROM dsv s LEFT JOIN {_CLOSED_CHATS} c ON c.chat_id=s.chat_id WHERE c.chat_id IS NULL
- UNION ALL SELECT chat_id FROM dsv GROUP BY chat_id HAVING COUNT(*)>1)""",
+    "v01": _chats("V1", "starts<>1"),
+    "v02": _chats("V2", "place=1 AND event_type<>'chat_started'"),
+    "v03": _chats("V3", "at_this_moment>1"),
+    "v04": _chats("V4", "assignments>1"),
+    "v05": _chats("V5", "lowest_agent_id<highest_agent_id"),
+    "v06": _chats("V6", f"event_type IN {_ACTIVITY} AND COALESCE(agent_id IS NULL OR same_agent_assigned_at>=event_timestamp, TRUE)"),
+    "v07": _rule("V7", "closed_chat", """(SELECT DISTINCT chat_id AS closed_chat FROM (
+ SELECT chat_id, event_timestamp - INTERVAL '1 hour' AS moment FROM dirty WHERE event_type='system_closed_chat_after_inactivity'
+ EXCEPT SELECT chat_id, event_timestamp FROM dirty WHERE event_type='chat_pushed_to_queue_due_inactivity'))"""),
+    "v08": _chats("V8", "closings>1"),
+    "v09": _chats("V9", "event_timestamp>closed_at"),
+    "v10a": _rule("V10a", "chat_id", f"({_CLOSED} EXCEPT {_SURVEYED})"),
+    "v10b": _rule("V10b", "chat_id", f"({_SURVEYED} EXCEPT {_CLOSED})"),
+    "p01": _chats("P1", "queue_entries<>1"),
+    "p02": _chats("P2", "place=1 AND queued_at<=event_timestamp"),
+    "p03": _chats("P3", "assigned_at<=queued_at"),
+    "p04": _chats("P4", "assignments>0 AND agent_id<>first_agent_id"),
+    "p05": _chats("P5", f"event_type IN {_ACTIVITY} AND COALESCE(event_timestamp<=assigned_at, TRUE)"),
+    "p06": _chats("P6", "closings<>1 OR (place_from_end=1 AND event_type NOT IN CLOSURES)"),
+    "p07": _chats("P7", "event_type='system_closed_chat_after_inactivity' AND COALESCE(event_timestamp<>last_push_at + INTERVAL '1 hour', TRUE)"),
+    "p09": _rule("P9", "chat_id", f"""(({_CLOSED} EXCEPT {_SURVEYED}) UNION ({_SURVEYED} EXCEPT {_CLOSED})
+ UNION SELECT chat_id FROM dsv GROUP BY chat_id HAVING COUNT(*)>1)"""),
 }
 
 _GATE_ORDER = ("v01", "v02", "v03", "v04", "v05", "v06", "v07", "v08", "v09", "v10a", "v10b")
@@ -215,9 +221,8 @@ _CONTRACT_RULES = ("k01", "k03", "v02", "v01", "v03", "p01", "p02", "v04", "p03"
 def _capacity(events: str) -> str:
     return f"""
 assigned AS (
- SELECT chat_id, MAX(agent_id) FILTER (WHERE event_type='agent_assignment') AS agent_id,
-  MIN(event_timestamp) FILTER (WHERE event_type='agent_assignment') AS assigned_at,
-  MIN(event_timestamp) FILTER (WHERE event_type IN CLOSURES) AS closed_at
+ SELECT chat_id, MAX(CASE WHEN event_type='agent_assignment' THEN agent_id END) AS agent_id,
+  {_moment('agent_assignment')} AS assigned_at, {_CLOSED_AT} AS closed_at
  FROM {events} GROUP BY chat_id),
 changes AS (
  SELECT agent_id, assigned_at AS moment, 1 AS change FROM assigned WHERE agent_id IS NOT NULL
@@ -258,7 +263,7 @@ batch_log AS (SELECT source_date, COALESCE(source_chat_count,0) AS source_chat_c
 
 _OLD_EVENTS = "old_clean AS (SELECT * FROM clean WHERE year(ingestion_date)<>1997), old_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM old_clean))"
 _OLD_FACT = _fact("old_clean", "old_sv")
-_SLA = _pct("COUNT(*) FILTER (WHERE first_response_sla_met)", "COUNT(first_response_sla_met)")
+_SLA = _pct("COUNT_IF(first_response_sla_met)", "COUNT(first_response_sla_met)")
 
 
 def statements() -> dict[str, str]:
@@ -316,14 +321,15 @@ def statements() -> dict[str, str]:
             _DIRTY_FACT,
         ),
         "gate_summary": with_fixture(
-            _all_rules(_GATE_ORDER, ", MIN(entity_id) AS entity_id"), "dirty"
+            _all_rules(_GATE_ORDER, ", MIN(entity_id) AS entity_id"), "dirty", _SEEN
         ),
         "gate_first_failure": with_fixture(
             f"SELECT * FROM ({_all_rules(_GATE_ORDER, ', MIN(entity_id) AS entity_id')}) WHERE rule_id='V1'",
             "dirty",
+            _SEEN,
         ),
         "contract_summary": with_fixture(
-            _all_rules(_CONTRACT_RULES, ", MIN(entity_id) AS entity_id"), "dirty", _capacity("dirty")
+            _all_rules(_CONTRACT_RULES, ", MIN(entity_id) AS entity_id"), "dirty", _SEEN, _capacity("dirty")
         ),
         "p08_capacity": with_fixture(
             """SELECT agent_id, MIN(moment) FILTER (WHERE open_chats>2) AS first_breach_at, CAST(MAX(open_chats) AS BIGINT) AS peak_open_chats
@@ -376,10 +382,10 @@ def statements() -> dict[str, str]:
             f"SELECT {_avg_minutes('first_response_seconds')} AS avg_first_response_minutes FROM detail"
         ),
         "d04_resolution_sla": _reports(
-            f"SELECT {_pct('COUNT(*) FILTER (WHERE resolution_sla_met)', 'COUNT(*)')} AS resolution_sla_pct FROM detail"
+            f"SELECT {_pct('COUNT_IF(resolution_sla_met)', 'COUNT(*)')} AS resolution_sla_pct FROM detail"
         ),
         "d05_csat": _reports(
-            f"SELECT {_pct('COUNT(*) FILTER (WHERE satisfied_flag)', 'COUNT(satisfied_flag)')} AS csat_pct FROM detail"
+            f"SELECT {_pct('COUNT_IF(satisfied_flag)', 'COUNT(satisfied_flag)')} AS csat_pct FROM detail"
         ),
         "d06_resolved_by_team": _reports(
             "SELECT support_team, CAST(SUM(resolved_chats) AS BIGINT) AS resolved_chats FROM kpi GROUP BY support_team"
@@ -418,5 +424,5 @@ def statements() -> dict[str, str]:
         ),
     }
     alone = {name: body for name, body in _RULES.items() if name != "p08"}
-    sql.update({name: with_fixture(body, "dirty") for name, body in alone.items()})
+    sql.update({name: with_fixture(body, "dirty", _SEEN) for name, body in alone.items()})
     return sql
