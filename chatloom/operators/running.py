@@ -6,45 +6,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+SLICE = "slice"
+
+
+def sliced(df: DataFrame, keys: list[str], order: list[str], label: str) -> DataFrame:
+    """Write ``df`` in even slices along ``keys`` and ``order``, numbered in that order.
+
+    Spark samples the rows to find the cuts, so the slices are even whatever
+    the keys look like: a key with a third of all rows gets a third of the
+    slices. The table is written because the cuts of another run may differ.
+    """
+    ranged = df.repartitionByRange(*keys, *order)
+    return materialize(ranged.withColumn(SLICE, F.spark_partition_id()), label)
 
-def opening_balances(
-    df: DataFrame, keys: list[str], bucket: str, values: dict[str, Column]
-) -> DataFrame:
-    """What each key had summed up before each of its buckets.
 
-    The sums per (key, bucket) combine map-side, so the window below sees one
-    row per bucket and never the detail rows. Returns ``keys``, ``bucket`` and
-    for each value ``<name>_before``.
+def opening_balances(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """What each key had summed up before each of its slices, as ``<name>_before``.
 
-    The result is partitioned by key and bucket. Left partitioned by key, it
-    would let a join hand that on, and all of a key's buckets would meet in one
-    task again.
+    The sums per (key, slice) combine map-side, so the window below sees one
+    row per slice of a key and never the detail rows. The result is partitioned
+    by key and slice: partitioned by key alone, a join would hand that on, and
+    all of a key's slices would meet in one task again.
     """
-    per_bucket = df.groupBy(*keys, bucket).agg(*[F.sum(v).alias(n) for n, v in values.items()])
-    earlier = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    return per_bucket.select(
+    per_slice = df.groupBy(*keys, SLICE).agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    earlier = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    return per_slice.select(
         *keys,
-        bucket,
+        SLICE,
         *[
             F.coalesce(F.sum(n).over(earlier), F.lit(0)).cast("bigint").alias(f"{n}_before")
             for n in values
         ],
-    ).repartition(*keys, bucket)
+    ).repartition(*keys, SLICE)
 
 
 def running_within(
-    df: DataFrame, keys: list[str], bucket: str, order: list[Column], values: dict[str, Column]
+    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column]
 ) -> DataFrame:
-    """Add ``<name>_running`` to rows that carry their ``<name>_before``.
-
-    Sorting happens per (key, bucket): a key with very many rows is spread over
-    as many tasks as it has buckets.
-    """
+    """Add ``<name>_running`` to sliced rows that carry their ``<name>_before``."""
     so_far = (
-        W.partitionBy(*keys, bucket)
-        .orderBy(*order)
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+        W.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     return df.withColumns(
         {f"{n}_running": F.col(f"{n}_before") + F.sum(v).over(so_far) for n, v in values.items()}
     )
+
+
+def running_totals(
+    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], label: str
+) -> DataFrame:
+    """``df`` with the running total of every value per key."""
+    rows = sliced(df, keys, order, label)
+    opening = opening_balances(rows, keys, values)
+    return running_within(rows.join(opening, [*keys, SLICE]), keys, order, values)

@@ -23,7 +23,7 @@ from ..schemas import (
 )
 from .constraints import violations
 from .profile import chat_ends, chat_profile
-from .running import opening_balances, running_within
+from .running import running_totals
 
 
 def event_profile_rules() -> dict[str, Column]:
@@ -153,18 +153,9 @@ def agent_load(profile: DataFrame) -> DataFrame:
             )
         ),
     ).where(F.col("moment").isNotNull())
-    # Never NULL: otherwise the join below adds a filter to one of its sides,
-    # and Spark computes the netted changes twice instead of sharing them.
-    hour = F.coalesce(F.unix_date(F.col("moment").cast("date")) * 24 + F.hour("moment"), F.lit(0))
-    net = (
-        changes.groupBy("agent_id", "moment")
-        .agg(F.sum("change").alias("change"))
-        .withColumn("hour", hour)
-    )
-    values = {"change": F.col("change")}
-    opening = opening_balances(net, ["agent_id"], "hour", values)
-    return running_within(
-        net.join(opening, ["agent_id", "hour"]), ["agent_id"], "hour", [F.col("moment")], values
+    net = changes.groupBy("agent_id", "moment").agg(F.sum("change").alias("change"))
+    return running_totals(
+        net, ["agent_id"], ["moment"], {"change": F.col("change")}, "agent-load"
     ).select("agent_id", "moment", F.col("change_running").alias("open_chats"))
 
 

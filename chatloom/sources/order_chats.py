@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.running import opening_balances, running_within
+from ..operators.running import SLICE, opening_balances, running_within, sliced
 from ..schemas import (
     AGENT_REPLY,
     ASSIGNED,
@@ -33,9 +33,8 @@ from ..session import materialize
 EVENT_COLUMNS = CHAT_EVENTS.fieldNames()
 SURVEY_COLUMNS = SURVEYS.fieldNames()
 
-# Line numbers per bucket when message offsets are summed up. An ordinary
-# order fits in one bucket; an order with millions of lines spreads out.
-LINES_PER_BUCKET = 1024
+# Lines equal in all of these have equal gap and author.
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
 
 
 @dataclass(frozen=True)
@@ -169,32 +168,25 @@ def _milestones(chats: DataFrame) -> DataFrame:
 def derive_chat_log(orders: DataFrame, lineitem: DataFrame) -> ChatLog:
     lines = lineitem.select(
         F.col("l_orderkey").alias("n"),
-        F.call_function("div", F.col("l_linenumber"), F.lit(LINES_PER_BUCKET)).alias("bucket"),
         ((20 + F.col("l_partkey") % 400) * 1000000 + (F.col("l_suppkey") % 4) * 250000).alias("gap"),
         (F.col("l_suppkey") % 2 == 0).alias("by_agent"),
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
+        *LINE_ORDER,
     )
     sums = {"gap": F.col("gap"), "position": F.lit(1)}
     talk = lines.groupBy("n").agg(F.sum("gap").alias("talk_us"), F.count("*").alias("lines"))
     chats = _with_end(_chats(orders), talk)
 
-    # The chat's attributes join the few (chat, bucket) rows and reach the
+    # The chat's attributes join the one row per chat and slice and reach the
     # lines with the opening balances, so no join is keyed on the chat alone.
-    opening = opening_balances(lines, ["n"], "bucket", sums).join(
+    slices = sliced(lines, ["n"], LINE_ORDER, "lines")
+    opening = opening_balances(slices, ["n"], sums).join(
         chats.where(F.col("kind") != "abandoned").select(
             "n", "chat_id", "started_at", "assigned_at", "agent_id"
         ),
         "n",
     )
-    # Lines equal in all three sort columns have equal gap and author.
     messages = running_within(
-        lines.join(opening, ["n", "bucket"]),
-        ["n"],
-        "bucket",
-        [F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")],
-        sums,
+        slices.join(opening, ["n", SLICE]), ["n"], LINE_ORDER, sums
     ).select(
         "n",
         "chat_id",
