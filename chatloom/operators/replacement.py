@@ -70,8 +70,10 @@ def replace_dates(
     frames are kept in the frames derived from them.
     """
     key = replace_key(replace_by)
-    # A literal list, so that partitions are pruned by it.
-    in_run = F.coalesce(key.isin(*dates), F.lit(False))
+    # Stored events have the date as a partition column; with a literal list
+    # only the partitions concerned are read.
+    stored_key = F.col(replace_by) if replace_by in old_events.columns else key
+    in_run = F.coalesce(stored_key.isin(*dates), F.lit(False))
     replaced = old_events.where(in_run)
     kept_events = old_events.where(~in_run)
 
@@ -85,7 +87,7 @@ def replace_dates(
     overtaken = F.coalesce(F.col("replaced_at") > F.col("place"), F.lit(False))
     new_events = placed.where(~overtaken).drop("replaced_on", "replaced_at", "place")
 
-    deleted_from = replaced.withColumn("replaced_on", key).join(key_place, "replaced_on")
+    deleted_from = replaced.withColumn("replaced_on", stored_key).join(key_place, "replaced_on")
     deleted_chats = (
         deleted_from.select("chat_id", "replaced_at")
         .unionByName(placed.where(overtaken).select("chat_id", "replaced_at"))

@@ -15,7 +15,7 @@ from ..operators.gate import source_gate
 from ..operators.lookup import matching
 from ..operators.profile import chat_profile
 from ..operators.replacement import EVENT_DATE
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from ..sources.deliveries import write_deliveries, write_delivery
 from ..sources.raw_layer import RawLayer
 from .mart import build_mart, current_version, load_mart, publish_mart, version_path
@@ -158,10 +158,12 @@ def run_batch(
     elif backup_root:
         write_deliveries(events, surveys, backup_root)
     totals = RunTotals(0, 0, 0)
-    if dates:
-        totals = RunTotals(**run_totals(raw.load(events, surveys, dates, replace_by)).first().asDict())
-    if full_refresh:
-        refresh(raw, f"{root}/mart")
-    else:
-        refresh_touched(raw, f"{root}/mart")
+    with scratch_scope(spark):
+        if dates:
+            log = raw.load(events, surveys, dates, replace_by)
+            totals = RunTotals(**run_totals(log).first().asDict())
+        if full_refresh:
+            refresh(raw, f"{root}/mart")
+        else:
+            refresh_touched(raw, f"{root}/mart")
     return totals

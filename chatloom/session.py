@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import itertools
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 _serial = itertools.count()
+_scopes: list[list[str]] = []
 
 
 def build_session(app_name: str = "chatloom", **settings: str) -> SparkSession:
@@ -49,5 +52,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{next(_serial)}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized inside are deleted at the end, also after an error."""
+    written: list[str] = []
+    _scopes.append(written)
+    try:
+        yield
+    finally:
+        _scopes.remove(written)
+        for name in written:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,6 +1,7 @@
 """The batch run: dates, gate, refresh, publish."""
 
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from chatloom.plans.mart import (
     register_views,
 )
 from chatloom.schemas import ASSIGNED, CUSTOMER_REPLY, FACT_CHAT_RESOLUTION
+from chatloom.session import scratch_root
 from chatloom.sources.deliveries import read_deliveries
 from chatloom.sources.folders import read_or_empty
 from chatloom.sources.raw_layer import RawLayer
@@ -84,6 +86,14 @@ def test_backup_of_one_day(spark, tmp_path):
     assert read_deliveries(spark, str(tmp_path / "backup"), [DAY]).events.count() == 12
 
 
+def test_a_run_leaves_no_intermediate_tables(spark, tmp_path):
+    scratch = Path(scratch_root(spark))
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    run(spark, tmp_path, {DAY: day_chats(DAY, 2)})
+    run(spark, tmp_path, {NEXT: day_chats(NEXT, 2)})
+    assert {path for path in scratch.iterdir()} == before
+
+
 def test_no_backup_unless_asked(spark, tmp_path):
     run(spark, tmp_path, {DAY: day_chats(DAY, 1)})
     assert sorted(p.name for p in tmp_path.iterdir()) == ["mart", "raw"]

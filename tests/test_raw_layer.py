@@ -1,6 +1,7 @@
 """Replace-by-date loads, against loading one date after the other."""
 
 import random
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -191,8 +192,13 @@ def test_second_survey_of_a_chat_is_refused(spark, tmp_path):
     assert raised.value.rule_id == "K6"
 
 
-def test_dates_prune_partitions(spark, tmp_path):
+@pytest.mark.parametrize("replace_by", [EVENT_DATE, INGESTION_DATE])
+def test_replaced_dates_prune_partitions(spark, tmp_path, replace_by):
     raw = RawLayer(spark, str(tmp_path))
-    raw.load(*delivered(spark, {DAY: day_chats(DAY, 2), NEXT: day_chats(NEXT, 2)}), [DAY, NEXT])
-    plan = raw.events().where(F.col("ingestion_date") == DAY)._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(ingestion_date" in plan
+    chats = delivered(spark, {DAY: day_chats(DAY, 2), NEXT: day_chats(NEXT, 2)})
+    raw.load(*chats, [DAY, NEXT])
+    change = replace_dates(raw.stored_events(), raw.stored_surveys(), *chats, [DAY], replace_by)
+    plan = change.deleted_events._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+    assert replace_by in filters and "2026-05-01" in filters
+    assert change.deleted_events.count() == 12
