@@ -174,7 +174,8 @@ def derive_chat_log(orders: DataFrame, lineitem: DataFrame) -> ChatLog:
     )
     sums = {"gap": F.col("gap"), "position": F.lit(1)}
     talk = lines.groupBy("n").agg(F.sum("gap").alias("talk_us"), F.count("*").alias("lines"))
-    chats = _with_end(_chats(orders), talk)
+    # Written once: milestones, messages and surveys all start from the chats.
+    chats = materialize(_with_end(_chats(orders), talk), "chats")
 
     # The chat's attributes join the one row per chat and slice and reach the
     # lines with the opening balances, so no join is keyed on the chat alone.
