@@ -22,7 +22,9 @@ from ..schemas import BATCH_LOG, CHAT_EVENTS, SURVEYS, conform
 from ..session import materialize
 from .folders import read_or_empty
 
-EVENT_PARTITIONS = ["ingestion_date", "event_date"]
+PARTITIONS = {"ingestion_date", "event_date", "source_date"}
+EVENT_ORDER = ["ingestion_date", "event_date", "chat_id", "event_timestamp"]
+SURVEY_ORDER = ["source_date", "chat_id"]
 STORED_EVENTS = T.StructType([*CHAT_EVENTS.fields, T.StructField("event_date", T.DateType())])
 STORED_SURVEYS = T.StructType([*SURVEYS.fields, T.StructField("source_date", T.DateType())])
 CHAT_IDS = T.StructType([T.StructField("chat_id", T.StringType())])
@@ -102,8 +104,10 @@ class RawLayer:
         """Load the deliveries of ``dates`` and return their batch log rows.
 
         Nothing is written when a rule K1-K8 is broken. The order of the
-        writes lets a run that died be repeated: partitions first replaced,
-        rows outside the replaced dates added after them, the log last.
+        writes lets a run that died be repeated: surveys go while the events
+        that condemn them are still there, and come after their own events.
+        Rows outside the replaced dates are added last, as a repeated load by
+        event date would collide with them.
         """
         if len(set(dates)) != len(dates):
             raise ValueError("a date may occur once per run")
@@ -136,8 +140,12 @@ class RawLayer:
         # Noted before the data changes: after a failure in between, the next
         # refresh looks at more chats than it needs, never at fewer.
         touched.write.mode("append").parquet(self._path("pending_chats"))
-        self._write_surveys(staged, dates)
-        self._write_events(staged, dates, replace_by)
+        replaces = F.coalesce(replace_key(replace_by).isin(*dates), F.lit(False))
+        rows = new_events.select(*STORED_EVENTS.fieldNames())
+        self._delete_surveys(staged)
+        self._replace_events(staged, rows.where(replaces))
+        self._append("surveys", new_surveys.select(*STORED_SURVEYS.fieldNames()), SURVEY_ORDER)
+        self._append("chat_events", rows.where(~replaces), EVENT_ORDER)
         return self._append_batch_log(events, surveys, dates)
 
     def _require_valid(self, staged: Replacement) -> None:
@@ -168,67 +176,45 @@ class RawLayer:
             .distinct()
         )
 
-    def _write_partitions(
-        self, rows: DataFrame, table: str, columns: list[str], vanished: list[tuple]
+    def _clustered(self, rows: DataFrame, order: list[str]):
+        """A writer of rows clustered by partition, chat and time."""
+        in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        return in_order.write.partitionBy(*[name for name in order if name in PARTITIONS])
+
+    def _append(self, table: str, rows: DataFrame, order: list[str]) -> None:
+        if not rows.isEmpty():
+            self._clustered(rows, order).mode("append").parquet(self._path(table))
+
+    def _overwrite(
+        self, table: str, rows: DataFrame, order: list[str], before: set[tuple]
     ) -> None:
-        """Overwrite the partitions that ``rows`` has; empty the vanished ones.
+        """Overwrite the partitions that ``rows`` has; empty others of ``before``.
 
         A dynamic overwrite leaves partitions alone that get no row, hence
         their own overwrite with an empty frame.
         """
-        order = [*columns, "chat_id", *(["event_timestamp"] if "event_date" in columns else [])]
+        columns = [name for name in order if name in PARTITIONS]
         (
-            rows.repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .write.mode("overwrite")
+            self._clustered(rows, order)
+            .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*columns)
             .parquet(self._path(table))
         )
         nothing = rows.limit(0).drop(*columns)
-        for values in vanished:
+        for values in sorted(before - _distinct(rows, columns)):
             folder = "/".join(f"{name}={value.isoformat()}" for name, value in zip(columns, values))
             nothing.write.mode("overwrite").parquet(f"{self._path(table)}/{folder}")
 
-    def _write_events(
-        self, staged: Replacement, dates: Sequence[date], replace_by: str
-    ) -> None:
-        replaces = F.coalesce(replace_key(replace_by).isin(*dates), F.lit(False))
-        rows = staged.new_events.drop("source_date").select(*STORED_EVENTS.fieldNames())
-
-        def partitions(df: DataFrame) -> set[tuple]:
-            # One value per pair of dates in the run, never per row.
-            return {tuple(row) for row in df.select(*EVENT_PARTITIONS).distinct().collect()}
-
-        replacing = rows.where(replaces)
-        vanished = partitions(staged.deleted_events) - partitions(replacing)
-        self._write_partitions(replacing, "chat_events", EVENT_PARTITIONS, sorted(vanished))
-        added = rows.where(~replaces)
-        if not added.isEmpty():
-            order = [*EVENT_PARTITIONS, "chat_id", "event_timestamp"]
-            (
-                added.repartitionByRange(*order)
-                .sortWithinPartitions(*order)
-                .write.mode("append")
-                .partitionBy(*EVENT_PARTITIONS)
-                .parquet(self._path("chat_events"))
-            )
+    def _replace_events(self, staged: Replacement, rows: DataFrame) -> None:
+        before = _distinct(staged.deleted_events, ["ingestion_date", "event_date"])
+        self._overwrite("chat_events", rows, EVENT_ORDER, before)
 
-    def _write_surveys(self, staged: Replacement, dates: Sequence[date]) -> None:
-        losing = {
-            row.source_date
-            for row in staged.deleted_surveys.select("source_date").distinct().collect()
-        }
-        rewritten = sorted(losing | set(dates))
-        rows = materialize(
-            staged.kept_surveys.where(F.col("source_date").isin(*rewritten)).unionByName(
-                staged.new_surveys.select(*STORED_SURVEYS.fieldNames())
-            ),
-            "load-survey-partitions",
-        )
-        present = {row.source_date for row in rows.select("source_date").distinct().collect()}
-        vanished = [(day,) for day in rewritten if day in losing - present]
-        self._write_partitions(rows, "surveys", ["source_date"], vanished)
+    def _delete_surveys(self, staged: Replacement) -> None:
+        losing = _distinct(staged.deleted_surveys, ["source_date"])
+        if losing:
+            days = [day for (day,) in losing]
+            kept = staged.kept_surveys.where(F.col("source_date").isin(*days))
+            self._overwrite("surveys", materialize(kept, "load-kept-surveys"), SURVEY_ORDER, losing)
 
     def _append_batch_log(
         self, events: DataFrame, surveys: DataFrame, dates: Sequence[date]
@@ -247,6 +233,11 @@ class RawLayer:
         return log
 
 
+def _distinct(df: DataFrame, columns: list[str]) -> set[tuple]:
+    """Partition values, few per date of a run; never one per row."""
+    return {tuple(row) for row in df.select(*columns).distinct().collect()}
+
+
 def conform_delivery(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Delivered rows in the table's types, with their source date."""
     typed = T.StructType([*schema.fields, T.StructField("source_date", T.DateType())])

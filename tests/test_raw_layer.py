@@ -164,6 +164,28 @@ def test_replacing_by_ingestion_date_is_safe_at_midnight(spark, tmp_path):
     assert rows_of(raw.events().where("chat_id = 'chat_late'")) == before[0]
 
 
+@pytest.mark.parametrize("replace_by", [EVENT_DATE, INGESTION_DATE])
+@pytest.mark.parametrize("step", ["_replace_events", "_append", "_append_batch_log"])
+def test_a_load_that_died_can_be_repeated(spark, tmp_path, monkeypatch, step, replace_by):
+    """Fewer and new chats replace a day; the load dies before one of its writes."""
+    first = delivered(spark, {DAY: day_chats(DAY, 3), NEXT: day_chats(NEXT, 1)})
+    second = delivered(spark, {DAY: [*day_chats(DAY, 1), *day_chats(DAY, 2, "new")]})
+    whole, died = RawLayer(spark, f"{tmp_path}/whole"), RawLayer(spark, f"{tmp_path}/died")
+    for raw in (whole, died):
+        raw.load(*first, [DAY, NEXT], replace_by)
+    whole.load(*second, [DAY], replace_by)
+
+    def die(*_):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(RawLayer, step, die)
+        with pytest.raises(RuntimeError, match="died"):
+            died.load(*second, [DAY], replace_by)
+    died.load(*second, [DAY], replace_by)
+    assert _contents(died) == _contents(whole)
+
+
 @pytest.mark.parametrize(
     "broken, rule",
     [
