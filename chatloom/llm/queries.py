@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, sharding, simhash
+from . import licenses, packing, quality, sharding, simhash, spans
 
 SHARDS = 16
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,5 +29,27 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.contaminated_spans(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_license_scan, op3_simhash)}
+    listed = (
+        op1_sharding, op2_license_scan, op3_simhash, op7_decontamination, op8_quality,
+        op9_packing,
+    )
+    return {f.__name__: f for f in listed}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,20 @@ from ..operators.running import running_totals
 from ..session import scratch_root
 
 
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose machines lack that folder, pass the package by --py-files.
+    """
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, paths)])
+
+
 class Scratch:
     """Tables of one operator call, in the folder that all executors share.
 
@@ -20,6 +36,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        workers_find_package(spark)
         self.spark = spark
         self.folder = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
