@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, packing, quality, sharding, simhash, spans
+from . import language, licenses, packing, quality, sharding, simhash, spans
 
 SHARDS = 16
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,9 +48,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_scores(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         op1_sharding, op2_license_scan, op3_simhash, op7_decontamination, op8_quality,
-        op9_packing,
+        op9_packing, op10_language_scores,
     )
     return {f.__name__: f for f in listed}
