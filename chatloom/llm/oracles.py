@@ -94,5 +94,67 @@ FROM parsed LEFT JOIN told USING (id)
 """
 
 
+def _record(body: str) -> str:
+    return (
+        "'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || "
+        "'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || "
+        "chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || "
+        f"'Content-Length: ' || octet_length(encode({body})) || chr(13) || chr(10) || chr(13) || "
+        f"chr(10) || {body} || chr(13) || chr(10) || chr(13) || chr(10)"
+    )
+
+
+FIXITY = f"""
+WITH harmed AS (
+  SELECT row_number() OVER () AS id, page_id, url, coalesce(html, '') AS html,
+    coalesce(page_id % 97, 0) AS residue,
+    CASE coalesce(page_id % 97, 0) WHEN 1 THEN chr(1) || substr(coalesce(html, ''), 2)
+      WHEN 3 THEN substr(coalesce(html, ''), 1, length(coalesce(html, '')) // 2)
+      ELSE coalesce(html, '') END AS copy
+  FROM pages
+), records AS (
+  SELECT id, page_id, residue, floor(coalesce(page_id, -1) / 1024.0)::BIGINT AS file,
+    {_record("html")} AS record, {_record("copy")} AS copied
+  FROM harmed
+), laid AS (
+  SELECT *, octet_length(encode(record))::BIGINT AS length, sha256(record) AS digest,
+    octet_length(encode(copied))::BIGINT AS copy_length, sha256(copied) AS copy_digest,
+    (sum(octet_length(encode(record))) OVER (
+      PARTITION BY file ORDER BY page_id NULLS FIRST, id ROWS UNBOUNDED PRECEDING)
+      - octet_length(encode(record)))::BIGINT AS start
+  FROM records
+)
+SELECT page_id, file, start, length, digest,
+  CASE WHEN residue <> 2 THEN copy_length END AS replica_length,
+  CASE WHEN residue <> 2 THEN copy_digest END AS replica_digest,
+  CASE WHEN residue = 2 THEN 'missing' ELSE 'changed' END AS state
+FROM laid WHERE residue = 2 OR digest <> copy_digest
+"""
+
+NEAREST = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS id, vec_id,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL)) = 0
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x::DOUBLE))) = 0
+), scored AS (
+  SELECT q.id AS own, q.vec_id AS query_id, c.vec_id, c.id,
+    list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.id <> c.id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY own ORDER BY score DESC, vec_id NULLS LAST, id)::INTEGER AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": SHARDS, "op2_license_scan": LICENSES}
+    return {
+        "op1_sharding": SHARDS,
+        "op2_license_scan": LICENSES,
+        "op5_fixity": FIXITY,
+        "op6_nearest": NEAREST,
+    }
