@@ -100,28 +100,26 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
         rank, left = 0, counts[length]
         while left:
             at = bisect.bisect_left(sizes, length)
-            if at == len(sizes):
-                # As many layers as fit into new sequences, each layer a run.
-                layers = min(capacity // length, left)
-                many = left // layers
-                for layer in range(layers):
-                    moves.append((length, rank, many, opened, layer * length))
-                    rank += many
-                add(capacity - layers * length, opened, many)
-                opened += many
-                left -= layers * many
-                continue
-            gap = sizes[at]
-            first, many = gaps[gap].pop()
-            if not gaps[gap]:
-                del gaps[gap]
-                sizes.pop(at)
-            taken = min(left, many)
-            moves.append((length, rank, taken, first, capacity - gap))
-            add(gap, first + taken, many - taken)
-            add(gap - length, first, taken)
-            rank += taken
-            left -= taken
+            if at < len(sizes):
+                gap = sizes[at]
+                first, many = gaps[gap].pop()
+                if not gaps[gap]:
+                    del gaps[gap]
+                    sizes.pop(at)
+            else:
+                gap, first, many = capacity, opened, left
+            # A gap that holds several of them is filled before the next one.
+            layers = min(gap // length, left)
+            taken = min(many, left // layers)
+            for layer in range(layers):
+                moves.append((length, rank, taken, first, capacity - gap + layer * length))
+                rank += taken
+            left -= layers * taken
+            add(gap - layers * length, first, taken)
+            if first == opened:
+                opened += taken
+            else:
+                add(gap, first + taken, many - taken)
     return moves
 
 

@@ -86,7 +86,7 @@ def grid(vectors: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         .orderBy("size", "place")
         .collect()
     )
-    out = {}
+    out = {0: (np.zeros(0), np.zeros(0))}  # empty vectors meet only their like
     for size in {r.size for r in found}:
         low = np.array([r.low for r in found if r.size == size])
         high = np.array([r.high for r in found if r.size == size])
