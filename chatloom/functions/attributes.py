@@ -29,6 +29,7 @@ def calendar_columns(day: Column) -> list[Column]:
     ]
 
 
+# Agent labels and the support teams by agent number.
 def agent_name(agent_id: Column) -> Column:
     return F.concat(F.lit("Agent "), agent_id.cast("string"))
 
@@ -60,10 +61,3 @@ def kind_of(name: str) -> int:
 
 CLOSURE_KINDS = tuple(kind_of(name) for name in CLOSURES)
 
-
-def survey_response(skipped: Column, customer_input: Column) -> Column:
-    return (
-        F.when(skipped, "skipped")
-        .when(customer_input.isNull(), "no_response")
-        .otherwise(customer_input)
-    )

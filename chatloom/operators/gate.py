@@ -59,6 +59,16 @@ LOAD_CONSTRAINTS = {
 }
 
 
+LOG_CONSTRAINTS = {"K9": "batch log row {} lacks a field"}
+MART_CONSTRAINTS = {
+    "K10": "dimension key {} is missing or repeated",
+    "K11": "chat {} has several fact rows",
+    "K12": "chat {} has a key that its dimension lacks",
+    "K13": "chat {} lacks a required field of the fact",
+    "K14": "chat {} has a negative duration",
+}
+
+
 class GateError(ValueError):
     """A rule is broken; the message names one entity."""
 
@@ -68,6 +78,18 @@ class GateError(ValueError):
         self.entity_id = entity_id
 
 
+def require(violations: DataFrame, messages: dict[str, str]) -> None:
+    """Raise ``GateError`` for the first of the broken rules.
+
+    At most one row per rule reaches the driver.
+    """
+    found = violations.groupBy("rule_id").agg(F.min("entity_id").alias("entity_id")).collect()
+    entities = {row.rule_id: row.entity_id for row in found}
+    for rule_id, message in messages.items():
+        if rule_id in entities:
+            raise GateError(rule_id, entities[rule_id], message.format(entities[rule_id]))
+
+
 @dataclass(frozen=True)
 class Gate:
     """A set of rules in reporting order, over one delivery or the whole raw layer."""
@@ -146,11 +168,7 @@ class Gate:
 
         At most one row per rule reaches the driver.
         """
-        found = {row.rule_id: row for row in self.summary(events, surveys, profile).collect()}
-        for rule_id, message in self.messages.items():
-            if rule_id in found:
-                entity = found[rule_id].entity_id
-                raise GateError(rule_id, entity, message.format(entity))
+        require(self.violations(events, surveys, profile), self.messages)
 
 
 source_gate = Gate(SOURCE_GATE)

@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import dimensions
+from ..operators import constraints, dimensions
 from ..operators.fact import fact_source, synchronise, with_dimension_keys
-from ..operators.gate import source_gate
+from ..operators.gate import MART_CONSTRAINTS, require, source_gate
 from ..operators.lookup import matching
 from ..operators.profile import chat_profile
 from ..operators.replacement import EVENT_DATE
+from ..schemas import CHAT_EVENTS, SURVEYS
 from ..session import materialize, scratch_scope
-from ..sources.deliveries import write_deliveries, write_delivery
-from ..sources.raw_layer import RawLayer
-from .mart import build_mart, current_version, load_mart, publish_mart, version_path
+from ..sources.deliveries import write_deliveries
+from ..sources.raw_layer import RawLayer, conform_delivery
+from .mart import Mart, build_mart, current_version, fact_dates, load_mart, publish_mart
 
 
 def select_dates(
@@ -55,17 +56,39 @@ def run_totals(batch_log: DataFrame) -> DataFrame:
     )
 
 
+def mart_violations(source: DataFrame, mart: Mart) -> DataFrame:
+    """Rules K10-K14 on what a refresh is about to publish.
+
+    ``source`` has the new fact rows with natural keys, ``mart`` the merged
+    dimensions and the new fact rows with their keys.
+    """
+    found = constraints.fact_chats(source).unionByName(constraints.fact_rows(source))
+    for name, keys in constraints.NATURAL_KEYS.items():
+        found = found.unionByName(constraints.dimension_keys(getattr(mart, name), *keys))
+    for dimension, key in (
+        (mart.dim_date, "date_key"),
+        (mart.dim_agent, "agent_key"),
+        (mart.dim_resolution_type, "resolution_type_key"),
+        (mart.dim_survey_response, "survey_response_key"),
+    ):
+        orphans = constraints.foreign_key(mart.fact_chat_resolution, dimension, key)
+        found = found.unionByName(orphans)
+    return found
+
+
 def refresh(raw: RawLayer, mart_root: str) -> None:
     """Check the whole raw layer and rebuild the mart from it.
 
-    The profile is written once; gate and fact both read it. A broken rule
-    raises before anything is published.
+    The profile is written once; gate and fact both read it. A broken rule of
+    the gate or of the mart raises before anything is published.
     """
     events, surveys = raw.events(), raw.surveys()
     profile = materialize(chat_profile(events, surveys), "profile")
     source_gate.check(events, surveys, profile)
     old = load_mart(raw.spark, mart_root)
-    publish_mart(build_mart(events, surveys, old, profile), mart_root)
+    mart = build_mart(events, surveys, old, profile).materialized("refreshed")
+    require(mart_violations(fact_source(profile), mart), MART_CONSTRAINTS)
+    publish_mart(mart, mart_root)
     raw.clear_pending_chats()
 
 
@@ -74,7 +97,8 @@ def refresh_touched(raw: RawLayer, mart_root: str) -> None:
 
     All rules of the gate concern single chats and the other chats passed
     before, so the result equals a full refresh. Only the date partitions in
-    which a touched chat was or now is are rewritten.
+    which a touched chat was or now is are written anew, in a new version that
+    takes the others over from the versions before.
     """
     spark = raw.spark
     old = load_mart(spark, mart_root)
@@ -100,37 +124,23 @@ def refresh_touched(raw: RawLayer, mart_root: str) -> None:
     former = materialize(matching(fact, "chat_id", touched), "touched-fact")
     highest = fact.agg(F.max("chat_fact_key")).first()[0]
     fresh = materialize(synchronise(former, keyed, highest), "fresh-fact")
+    changed = Mart(dim_date, dim_agent, old.dim_resolution_type, old.dim_survey_response, fresh)
+    require(mart_violations(fact_source(profile), changed), MART_CONSTRAINTS)
 
     def days(df: DataFrame) -> set[int]:
         return {row.date_key for row in df.select("date_key").distinct().collect()}
 
-    base = version_path(mart_root, current_version(spark, mart_root))
-    # Dimensions only grow, so the old fact stays readable with the new ones.
-    dim_date.write.mode("overwrite").parquet(f"{base}/dim_date")
-    dim_agent.write.mode("overwrite").parquet(f"{base}/dim_agent")
-    before = days(former)
-    rewritten = sorted(before | days(fresh))
-    if rewritten:
-        staged = materialize(
-            fact.where(F.col("date_key").isin(*rewritten))
-            .join(touched, "chat_id", "left_anti")
-            .select(*fact.columns)
-            .unionByName(fresh),
-            "fact-partitions",
-        )
-        emptied = sorted(before - days(staged))
-        (
-            staged.repartitionByRange("date_key", "chat_id")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date_key")
-            .parquet(f"{base}/fact_chat_resolution")
-        )
-        nothing = staged.limit(0).drop("date_key")
-        for key in emptied:
-            nothing.write.mode("overwrite").parquet(
-                f"{base}/fact_chat_resolution/date_key={key}"
-            )
+    rewritten = sorted(days(former) | days(fresh))
+    staged = (
+        fact.where(F.col("date_key").isin(*rewritten))
+        .join(touched, "chat_id", "left_anti")
+        .select(*fact.columns)
+        .unionByName(fresh)
+        .repartitionByRange("date_key", "chat_id")
+    )
+    before = fact_dates(spark, mart_root, current_version(spark, mart_root))
+    kept = {day: version for day, version in before.items() if day not in rewritten}
+    publish_mart(replace(changed, fact_chat_resolution=staged), mart_root, kept)
     raw.clear_pending_chats()
 
 
@@ -143,23 +153,31 @@ def run_batch(
     replace_by: str = EVENT_DATE,
     backup_root: str | None = None,
     full_refresh: bool = False,
+    rejects: DataFrame | None = None,
 ) -> RunTotals:
     """Load the deliveries of ``dates``, then check and refresh once.
 
-    ``events`` and ``surveys`` carry ``source_date``. With ``backup_root`` the
-    deliveries are also written as JSON Lines. The raw load stays when the
-    gate fails; the mart then keeps its former state.
+    ``events`` and ``surveys`` carry ``source_date``; they are parsed once and
+    read from the written result after that. With ``backup_root`` the deliveries
+    of these dates replace their backups. ``rejects`` are the lines that did not
+    parse; they are kept with the raw layer. The raw load stays when the gate
+    fails; the mart then keeps its former state.
     """
     raw = RawLayer(spark, f"{root}/raw")
     wanted = F.col("source_date").isin(*dates)
-    events, surveys = events.where(wanted), surveys.where(wanted)
-    if backup_root and len(dates) == 1:
-        write_delivery(events, surveys, backup_root, dates[0])
-    elif backup_root:
-        write_deliveries(events, surveys, backup_root)
     totals = RunTotals(0, 0, 0)
     with scratch_scope(spark):
         if dates:
+            events = materialize(
+                conform_delivery(events.where(wanted), CHAT_EVENTS), "delivered-events"
+            )
+            surveys = materialize(
+                conform_delivery(surveys.where(wanted), SURVEYS), "delivered-surveys"
+            )
+            if backup_root:
+                write_deliveries(events, surveys, backup_root, dates)
+            if rejects is not None:
+                raw.store_rejects(rejects, dates)
             log = raw.load(events, surveys, dates, replace_by)
             totals = RunTotals(**run_totals(log).first().asDict())
         if full_refresh:

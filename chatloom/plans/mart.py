@@ -19,8 +19,16 @@ from ..schemas import (
     FACT_CHAT_RESOLUTION,
 )
 from ..session import materialize
-from ..sources.folders import read_or_empty
+from ..sources.folders import delete_folder, names_in, read_or_empty
 
+# Which version's folder holds the fact rows of a date.
+FACT_DATES = T.StructType(
+    [
+        T.StructField("date_key", T.IntegerType(), False),
+        T.StructField("written_by", T.LongType(), False),
+    ]
+)
+FACT = "fact_chat_resolution"
 VERSIONS = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
@@ -53,7 +61,7 @@ SCHEMAS = {
     "dim_agent": DIM_AGENT,
     "dim_resolution_type": DIM_RESOLUTION_TYPE,
     "dim_survey_response": DIM_SURVEY_RESPONSE,
-    "fact_chat_resolution": FACT_CHAT_RESOLUTION,
+    FACT: FACT_CHAT_RESOLUTION,
 }
 
 
@@ -114,34 +122,64 @@ def version_path(root: str, version: int) -> str:
     return f"{root}/version={version:06d}"
 
 
+def _strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table that a published version must have: a missing one is an error."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def fact_dates(spark: SparkSession, root: str, version: int) -> dict[int, int]:
+    """The version that wrote each date of the fact: one row per calendar day."""
+    rows = _strict(spark, f"{version_path(root, version)}/fact_dates", FACT_DATES).collect()
+    return {row.date_key: row.written_by for row in rows}
+
+
+def _fact(spark: SparkSession, root: str, dates: dict[int, int]) -> DataFrame:
+    if not dates:
+        return spark.createDataFrame([], FACT_CHAT_RESOLUTION)
+    paths = [
+        f"{root}/{FACT}/version={version}/date_key={day}" for day, version in sorted(dates.items())
+    ]
+    reader = spark.read.option("basePath", f"{root}/{FACT}").schema(FACT_CHAT_RESOLUTION)
+    return reader.parquet(*paths).select(*FACT_CHAT_RESOLUTION.fieldNames())
+
+
 def load_mart(spark: SparkSession, root: str) -> Mart | None:
-    """The mart that was published last, or None."""
+    """The mart that was published last, or None if there is none yet."""
     version = current_version(spark, root)
     if version is None:
         return None
     base = version_path(root, version)
-    return Mart(
-        **{
-            name: read_or_empty(spark, f"{base}/{name}", schema)
-            for name, schema in SCHEMAS.items()
-        }
-    )
+    dimensions_ = {
+        name: _strict(spark, f"{base}/{name}", schema)
+        for name, schema in SCHEMAS.items()
+        if name != FACT
+    }
+    return Mart(**dimensions_, **{FACT: _fact(spark, root, fact_dates(spark, root, version))})
 
 
-def publish_mart(mart: Mart, root: str) -> int:
-    """Write a new version of all five tables and make it current.
+def publish_mart(mart: Mart, root: str, kept: dict[int, int] | None = None) -> int:
+    """Publish the dimensions and the fact rows of ``mart`` as a new version.
 
-    The version log gets its row last, so a job that dies half-way leaves the
-    former version current.
+    ``kept`` are dates of the fact that stay as earlier versions wrote them; the
+    mart's fact has the rows of all others. Nothing of an earlier version is
+    touched, and the version log gets its row last: a job that dies on the way
+    leaves the former version current, and readers never see anything in between.
     """
     spark = mart.fact_chat_resolution.sparkSession
     version = (current_version(spark, root) or 0) + 1
     base = version_path(root, version)
     for name in SCHEMAS:
-        writer = getattr(mart, name).write.mode("overwrite")
-        if name == "fact_chat_resolution":
-            writer = writer.partitionBy("date_key")
-        writer.parquet(f"{base}/{name}")
+        if name != FACT:
+            getattr(mart, name).write.mode("overwrite").parquet(f"{base}/{name}")
+    written = f"{root}/{FACT}/version={version}"
+    mart.fact_chat_resolution.write.mode("overwrite").partitionBy("date_key").parquet(written)
+    own = {
+        int(name.removeprefix("date_key=")): version
+        for name in names_in(spark, written)
+        if name.startswith("date_key=")
+    }
+    dates = spark.createDataFrame(sorted({**(kept or {}), **own}.items()), FACT_DATES)
+    dates.coalesce(1).write.mode("overwrite").parquet(f"{base}/fact_dates")
     stamp = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.current_timestamp().alias("published_at"),
@@ -150,6 +188,25 @@ def publish_mart(mart: Mart, root: str) -> int:
     return version
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete what only versions before the last ``keep`` use; readers must have moved on."""
+    current = current_version(spark, root)
+    if current is None:
+        return
+    needed = range(max(1, current - keep + 1), current + 1)
+    used = {
+        (written_by, day)
+        for version in needed
+        for day, written_by in fact_dates(spark, root, version).items()
+    }
+    for version in range(1, needed.start):
+        delete_folder(spark, version_path(root, version))
+        folder = f"{root}/{FACT}/version={version}"
+        for name in names_in(spark, folder):
+            if name.startswith("date_key=") and (version, int(name[9:])) not in used:
+                delete_folder(spark, f"{folder}/{name}")
+
+
 def register_views(mart: Mart) -> None:
     """Expose the mart tables to ``spark.sql`` under their names."""
     for f in fields(Mart):

@@ -1,29 +1,40 @@
 """JSON Lines deliveries of chat events and surveys.
 
-A daily delivery is ``<root>/YYYY-MM-DD/{chat_logs,surveys}.jsonl``. Each name
-may be a single file or, as Spark writes it, a folder of part files. Many days
-at once are written in one job as ``<root>/{chat_logs,surveys}/source_date=...``.
-The reader takes both.
+Deliveries are written as ``<root>/{chat_logs,surveys}/source_date=YYYY-MM-DD``,
+whether a run has one date or many. Other producers deliver a day as
+``<root>/YYYY-MM-DD/{chat_logs,surveys}.jsonl``, a file or a folder of files;
+the reader takes that too, but never both for one date.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CHAT_EVENTS, SURVEYS
+from .folders import delete_folder, names_in
 
 # Text formats of a delivery.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 DATE_FORMAT = "yyyy-MM-dd"
 CORRUPT = "corrupt_record"
 
+EVENTS_NAME, SURVEYS_NAME = "chat_logs", "surveys"
+
+REJECTS = T.StructType(
+    [
+        T.StructField("source_date", T.DateType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("line", T.StringType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Deliveries:
@@ -34,60 +45,89 @@ class Deliveries:
     rejects: DataFrame
 
 
-def _json_lines(df: DataFrame):
-    names = sorted(name for name in df.columns if name != "source_date")
-    keep = ["source_date"] if "source_date" in df.columns else []
-    return (
-        df.select(*keep, *names)
+def _replace_days(rows: DataFrame, order: list[str], path: str, dates: Sequence[date]) -> None:
+    """Write the rows of ``dates`` over what these dates had, and over nothing else."""
+    names = sorted(name for name in rows.columns if name != "source_date")
+    in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    (
+        in_order.select("source_date", *names)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .option("dateFormat", DATE_FORMAT)
+        .partitionBy("source_date")
+        .json(path)
+    )
+    # A dynamic overwrite leaves a date alone that gets no row.
+    filled = {row.source_date for row in rows.select("source_date").distinct().collect()}
+    for day in dates:
+        if day not in filled:
+            delete_folder(rows.sparkSession, f"{path}/source_date={day.isoformat()}")
+
+
+def write_deliveries(
+    events: DataFrame, surveys: DataFrame, root: str, dates: Sequence[date] | None = None
+) -> None:
+    """Write the deliveries of ``dates``, or of all dates that the frames have.
+
+    Both frames carry ``source_date``. Events are ordered by time, keys sorted and
+    NULLs written out. Earlier deliveries of these dates are replaced, also by
+    empty ones; other dates stay as they are.
+    """
+    if dates is not None:
+        wanted = F.col("source_date").isin(*dates)
+        events, surveys = events.where(wanted), surveys.where(wanted)
+    by_time = ["source_date", "event_timestamp", "event_id"]
+    _replace_days(events, by_time, f"{root}/{EVENTS_NAME}", dates or [])
+    _replace_days(surveys, ["source_date", "chat_id"], f"{root}/{SURVEYS_NAME}", dates or [])
+
+
+def write_delivery(events: DataFrame, surveys: DataFrame, root: str, source_date: date) -> None:
+    """Write one day's delivery; the frames may lack ``source_date``."""
+    day = F.lit(source_date)
+    write_deliveries(
+        events.withColumn("source_date", day),
+        surveys.withColumn("source_date", day),
+        root,
+        [source_date],
     )
 
 
-def write_delivery(
-    events: DataFrame, surveys: DataFrame, root: str, source_date: date
-) -> tuple[str, str]:
-    """Write one day: events ordered by time, keys sorted, NULLs written out."""
-    day = f"{root}/{source_date.isoformat()}"
-    paths = f"{day}/chat_logs.jsonl", f"{day}/surveys.jsonl"
-    in_order = events.drop("source_date").orderBy("event_timestamp", "event_id")
-    _json_lines(in_order).json(paths[0])
-    _json_lines(surveys.drop("source_date")).json(paths[1])
-    return paths
-
-
-def write_deliveries(events: DataFrame, surveys: DataFrame, root: str) -> None:
-    """Write many days in one job; both frames carry ``source_date``."""
-    order = ["source_date", "event_timestamp", "event_id"]
-    in_order = events.repartitionByRange(*order).sortWithinPartitions(*order)
-    _json_lines(in_order).partitionBy("source_date").json(f"{root}/chat_logs")
-    by_day = surveys.repartitionByRange("source_date", "chat_id")
-    _json_lines(by_day).partitionBy("source_date").json(f"{root}/surveys")
-
-
-def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The paths that match a file or folder, found through the reader itself."""
-    found = []
-    for path in paths:
-        try:
-            spark.read.text(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            found.append(path)
+def _delivered(spark: SparkSession, root: str, name: str) -> dict[date, str]:
+    """Folder or file of every delivered date: one listing of each layout's parent."""
+    found: dict[date, str] = {}
+    for entry in names_in(spark, f"{root}/{name}"):
+        if day := re.fullmatch(r"source_date=(\d{4}-\d{2}-\d{2})", entry):
+            found[date.fromisoformat(day[1])] = f"{root}/{name}/{entry}"
+    for entry in names_in(spark, root):
+        if re.fullmatch(r"\d{4}-\d{2}-\d{2}", entry):
+            if f"{name}.jsonl" not in names_in(spark, f"{root}/{entry}"):
+                continue
+            day = date.fromisoformat(entry)
+            if day in found:
+                raise ValueError(f"{name} of {day} is delivered in both layouts under {root}")
+            found[day] = f"{root}/{entry}/{name}.jsonl"
     return found
 
 
+def is_one_object(line: Column) -> Column:
+    """Whether a line has exactly one pair of braces outside of strings, around it all.
+
+    The records are flat, so that is one JSON object and nothing beside it. Strings
+    go first, by a pattern without nested repetition, so long lines are safe.
+    """
+    bare = F.regexp_replace(line, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    return bare.rlike(r"^\s*\{[^{}]*\}\s*$")
+
+
 def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """Parsed rows with the line itself, and ``corrupt_record`` set where it does not fit.
+    """Parsed rows with ``corrupt_record`` set where the line does not fit.
 
     Lines are read as text and parsed whole. The JSON source parses only the
-    columns a query uses, so a line could be good or bad depending on the query.
+    columns a query uses, so a line could be good or bad depending on the query;
+    and it takes the first object of a line that has several.
     """
-    paths = _existing(spark, paths)
     if not paths:
         nothing = T.StructType(
             [
@@ -108,11 +148,18 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFr
         },
     )
     day = F.regexp_extract(F.col("_metadata.file_path"), r".*(\d{4}-\d{2}-\d{2})/", 1)
+    broken = F.when(~is_one_object(F.col("value")), F.col("value"))
     return (
         spark.read.text(paths)
         .where(F.length(F.trim("value")) > 0)
-        .select(parsed.alias("row"), F.to_date(day, DATE_FORMAT).alias("source_date"))
-        .select("row.*", "source_date")
+        .select(
+            parsed.alias("row"), broken.alias("broken"), F.to_date(day, DATE_FORMAT).alias("day")
+        )
+        .select(
+            *[F.col(f"row.{name}") for name in schema.fieldNames()],
+            F.coalesce("broken", f"row.{CORRUPT}").alias(CORRUPT),
+            F.col("day").alias("source_date"),
+        )
     )
 
 
@@ -121,18 +168,18 @@ def read_deliveries(
 ) -> Deliveries:
     """Read the deliveries of ``dates``, or of all days.
 
-    A line that does not fit the schema is rejected as a whole: it would
-    otherwise load with its bad field silently NULL.
+    A line that does not fit the schema, or is anything but one object, is
+    rejected as a whole: it would otherwise load with its bad field silently
+    NULL, or lose what follows the first object.
     """
-
-    days = ["*"] if dates is None else [day.isoformat() for day in dates]
+    wanted = None if dates is None else set(dates)
 
     def paths(name: str) -> list[str]:
-        daily = [f"{root}/{day}/{name}.jsonl" for day in days]
-        return daily + [f"{root}/{name}/source_date={day}" for day in days]
+        found = _delivered(spark, root, name)
+        return [path for day, path in sorted(found.items()) if wanted is None or day in wanted]
 
-    events = _read(spark, paths("chat_logs"), CHAT_EVENTS)
-    surveys = _read(spark, paths("surveys"), SURVEYS)
+    events = _read(spark, paths(EVENTS_NAME), CHAT_EVENTS)
+    surveys = _read(spark, paths(SURVEYS_NAME), SURVEYS)
 
     def rejected(df: DataFrame, name: str) -> DataFrame:
         return df.where(F.col(CORRUPT).isNotNull()).select(
@@ -145,5 +192,5 @@ def read_deliveries(
     return Deliveries(
         accepted(events),
         accepted(surveys),
-        rejected(events, "chat_logs").unionByName(rejected(surveys, "surveys")),
+        rejected(events, EVENTS_NAME).unionByName(rejected(surveys, SURVEYS_NAME)),
     )

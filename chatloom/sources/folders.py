@@ -1,4 +1,4 @@
-"""Parquet folders that may not exist yet."""
+"""Folders of Parquet and text tables, through the file system that Spark uses."""
 
 from __future__ import annotations
 
@@ -15,3 +15,22 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, by one listing; none if it is missing."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(target))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; nothing happens if it is missing."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)

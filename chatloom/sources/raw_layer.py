@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import constraints
-from ..operators.gate import LOAD_CONSTRAINTS, GateError
+from ..operators.gate import LOAD_CONSTRAINTS, LOG_CONSTRAINTS, require
 from ..operators.lookup import matching
 from ..operators.replacement import EVENT_DATE, Replacement, replace_dates, replace_key
 from ..schemas import BATCH_LOG, CHAT_EVENTS, SURVEYS, conform
 from ..session import materialize
-from .folders import read_or_empty
+from .deliveries import REJECTS
+from .folders import delete_folder, read_or_empty
 
 PARTITIONS = {"ingestion_date", "event_date", "source_date"}
 EVENT_ORDER = ["ingestion_date", "event_date", "chat_id", "event_timestamp"]
@@ -86,6 +87,16 @@ class RawLayer:
     def batch_log(self) -> DataFrame:
         return read_or_empty(self.spark, self._path("batch_log"), BATCH_LOG)
 
+    def rejects(self) -> DataFrame:
+        """Lines of the deliveries loaded last for each date that did not parse."""
+        return read_or_empty(self.spark, self._path("rejects"), REJECTS)
+
+    def store_rejects(self, rejects: DataFrame, dates: Sequence[date]) -> None:
+        """Replace the rejected lines of ``dates``."""
+        rows = rejects.where(F.col("source_date").isin(*dates)).select(*REJECTS.fieldNames())
+        before = {(day,) for day in dates}
+        self._overwrite("rejects", rows, ["source_date", "source"], before)
+
     def pending_chats(self) -> DataFrame:
         """Chats that loads have touched since the mart was last refreshed."""
         return read_or_empty(self.spark, self._path("pending_chats"), CHAT_IDS)
@@ -149,16 +160,7 @@ class RawLayer:
         return self._append_batch_log(events, surveys, dates)
 
     def _require_valid(self, staged: Replacement) -> None:
-        found = (
-            load_violations(staged)
-            .groupBy("rule_id")
-            .agg(F.min("entity_id").alias("entity_id"))
-            .collect()
-        )
-        entities = {row.rule_id: row.entity_id for row in found}
-        for rule_id, message in LOAD_CONSTRAINTS.items():
-            if rule_id in entities:
-                raise GateError(rule_id, entities[rule_id], message.format(entities[rule_id]))
+        require(load_violations(staged), LOAD_CONSTRAINTS)
 
     def _require_dates(
         self, new_events: DataFrame, new_surveys: DataFrame, dates: Sequence[date]
@@ -190,8 +192,8 @@ class RawLayer:
     ) -> None:
         """Overwrite the partitions that ``rows`` has; empty others of ``before``.
 
-        A dynamic overwrite leaves partitions alone that get no row, hence
-        their own overwrite with an empty frame.
+        A dynamic overwrite leaves partitions alone that get no row; their
+        folders are deleted.
         """
         columns = [name for name in order if name in PARTITIONS]
         (
@@ -200,10 +202,9 @@ class RawLayer:
             .option("partitionOverwriteMode", "dynamic")
             .parquet(self._path(table))
         )
-        nothing = rows.limit(0).drop(*columns)
         for values in sorted(before - _distinct(rows, columns)):
             folder = "/".join(f"{name}={value.isoformat()}" for name, value in zip(columns, values))
-            nothing.write.mode("overwrite").parquet(f"{self._path(table)}/{folder}")
+            delete_folder(self.spark, f"{self._path(table)}/{folder}")
 
     def _replace_events(self, staged: Replacement, rows: DataFrame) -> None:
         before = _distinct(staged.deleted_events, ["ingestion_date", "event_date"])
@@ -229,6 +230,7 @@ class RawLayer:
             ),
             "load-log",
         )
+        require(constraints.batch_log_fields(log), LOG_CONSTRAINTS)
         log.coalesce(1).write.mode("append").parquet(self._path("batch_log"))
         return log
 

@@ -82,7 +82,8 @@ def test_run_from_delivery_to_reports(spark, tmp_path):
 
 def test_backup_of_one_day(spark, tmp_path):
     run(spark, tmp_path, {DAY: day_chats(DAY, 2)}, backup_root=str(tmp_path / "backup"))
-    assert (tmp_path / "backup" / DAY.isoformat() / "chat_logs.jsonl").is_dir()
+    folder = tmp_path / "backup" / "chat_logs" / f"source_date={DAY.isoformat()}"
+    assert folder.is_dir()
     assert read_deliveries(spark, str(tmp_path / "backup"), [DAY]).events.count() == 12
 
 

@@ -37,14 +37,14 @@ def test_round_trip_of_one_day(spark, tmp_path):
 def test_written_lines(spark, tmp_path):
     events, answers = frames(spark, *_chats())
     write_delivery(events, answers, str(tmp_path), DAY)
-    lines = _lines(tmp_path / DAY.isoformat() / "chat_logs.jsonl")
+    lines = _lines(tmp_path / "chat_logs" / f"source_date={DAY.isoformat()}")
     assert all(list(line) == sorted(line) for line in lines)
     moments = [(line["event_timestamp"], line["event_id"]) for line in lines]
     assert moments == sorted(moments)
     assert lines[0]["agent_id"] is None
     assert lines[0]["ingestion_date"] == "2026-05-01"
     assert lines[0]["event_timestamp"].startswith("2026-05-01 07:00:00")
-    surveys = _lines(tmp_path / DAY.isoformat() / "surveys.jsonl")
+    surveys = _lines(tmp_path / "surveys" / f"source_date={DAY.isoformat()}")
     assert any(line["customer_input"] is None for line in surveys)
 
 

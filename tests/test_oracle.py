@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from chatloom.plans.registry import catalog
+from oracles.statements import statements
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-STATEMENTS = entry_module.oracle_sql()
+QUERIES = catalog()
+STATEMENTS = statements()
 
 # Violations the defects are built to cause at this scale (FIXTURES.md).
 EXPECTED_COUNTS = {
@@ -32,6 +34,8 @@ def duck():
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(STATEMENTS) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
