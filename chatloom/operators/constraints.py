@@ -6,6 +6,8 @@ condition that comes out NULL passes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +27,10 @@ def violations(rule_id: str, df: DataFrame, entity: Column | str) -> DataFrame:
     return df.select(F.lit(rule_id).alias("rule_id"), column.cast("string").alias("entity_id"))
 
 
-def repeated(df: DataFrame, key: str) -> DataFrame:
-    """Values of ``key`` on more than one row, and NULL if any row has it."""
-    counts = df.groupBy(key).agg(F.count("*").alias("rows"))
+def repeated(df: DataFrame, key: str, within: Sequence[str] = ()) -> DataFrame:
+    """Values of ``key`` on more than one row (of one group ``within``), and NULL
+    if any row has it."""
+    counts = df.groupBy(key, *within).agg(F.count("*").alias("rows"))
     return counts.where((F.col("rows") > 1) | F.col(key).isNull())
 
 
@@ -80,12 +83,12 @@ def survey_rows(surveys: DataFrame, only: str | None = None) -> DataFrame:
     return broken_rules(surveys, rules, entity)
 
 
-def event_ids(events: DataFrame) -> DataFrame:
-    return violations("K1", repeated(events, "event_id"), "event_id")
+def event_ids(events: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    return violations("K1", repeated(events, "event_id", within), "event_id")
 
 
-def survey_ids(surveys: DataFrame) -> DataFrame:
-    return violations("K5", repeated(surveys, "survey_id"), "survey_id")
+def survey_ids(surveys: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    return violations("K5", repeated(surveys, "survey_id", within), "survey_id")
 
 
 def survey_chats(surveys: DataFrame) -> DataFrame:

@@ -92,9 +92,15 @@ def require(violations: DataFrame, messages: dict[str, str]) -> None:
 
 @dataclass(frozen=True)
 class Gate:
-    """A set of rules in reporting order, over one delivery or the whole raw layer."""
+    """A set of rules in reporting order, over one delivery or the whole raw layer.
+
+    With ``per_delivery`` the rules that span chats hold within each delivery:
+    open chats (P8) and event ids (K1) of one ingestion date don't count for
+    another, nor do survey ids (K5), if the surveys carry ``source_date``.
+    """
 
     messages: dict[str, str]
+    per_delivery: bool = False
 
     def violations(
         self, events: DataFrame, surveys: DataFrame, profile: DataFrame | None = None
@@ -125,9 +131,11 @@ class Gate:
             entity = F.coalesce("chat_id", "survey_id")
             parts.append(broken_rules(surveys, on_surveys, entity))
         if "K1" in wanted:
-            parts.append(constraints.event_ids(events))
+            by = ["ingestion_date"] if self.per_delivery else []
+            parts.append(constraints.event_ids(events, by))
         if "K5" in wanted:
-            parts.append(constraints.survey_ids(surveys))
+            dated = self.per_delivery and "source_date" in surveys.columns
+            parts.append(constraints.survey_ids(surveys, ["source_date"] if dated else []))
         if "K6" in wanted:
             several = profile.where((F.col("surveys") > 1) & F.col("chat_id").isNotNull())
             parts.append(violations("K6", several, "chat_id"))
@@ -138,7 +146,9 @@ class Gate:
         if "V7" in wanted:
             parts.append(sequence.closure_without_push(events))
         if "P8" in wanted:
-            parts.append(violations("P8", sequence.agents_over_capacity(profile), "agent_id"))
+            keys = ("ingestion_date", "agent_id") if self.per_delivery else ("agent_id",)
+            over = sequence.agents_over_capacity(profile, keys=keys)
+            parts.append(violations("P8", over.select("agent_id").distinct(), "agent_id"))
         found = parts[0]
         for part in parts[1:]:
             found = found.unionByName(part)
@@ -173,4 +183,6 @@ class Gate:
 
 source_gate = Gate(SOURCE_GATE)
 delivery_contract = Gate(DELIVERY_CONTRACT)
+# For several deliveries at once, each checked as its sender did.
+deliveries_contract = Gate(DELIVERY_CONTRACT, per_delivery=True)
 load_constraints = Gate(LOAD_CONSTRAINTS)

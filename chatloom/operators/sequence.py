@@ -136,15 +136,18 @@ def closure_without_push(events: DataFrame) -> DataFrame:
     return violations("V7", broken.select("chat_id").distinct(), "chat_id")
 
 
-def agent_load(profile: DataFrame) -> DataFrame:
+def agent_load(profile: DataFrame, keys: tuple[str, ...] = ("agent_id",)) -> DataFrame:
     """Open chats per agent after each moment at which the number changes.
 
+    With the delivery date among ``keys`` each delivery counts on its own.
+
     A chat counts from its assignment to its closure, an open chat for good.
     Changes at one moment are netted first: closings count before assignments,
     so within a moment the highest value is the last one.
     """
     assigned = profile.where(F.col("assigned_agent_id").isNotNull())
     changes = assigned.select(
+        "ingestion_date",
         F.col("assigned_agent_id").alias("agent_id"),
         F.inline(
             F.array(
@@ -153,19 +156,21 @@ def agent_load(profile: DataFrame) -> DataFrame:
             )
         ),
     ).where(F.col("moment").isNotNull())
-    net = changes.groupBy("agent_id", "moment").agg(F.sum("change").alias("change"))
+    net = changes.groupBy(*keys, "moment").agg(F.sum("change").alias("change"))
     return running_totals(
-        net, ["agent_id"], ["moment"], {"change": F.col("change")}, "agent-load"
-    ).select("agent_id", "moment", F.col("change_running").alias("open_chats"))
+        net, list(keys), ["moment"], {"change": F.col("change")}, "agent-load"
+    ).select(*keys, "moment", F.col("change_running").alias("open_chats"))
 
 
 def agents_over_capacity(
-    profile: DataFrame, capacity: int = MAX_OPEN_CHATS_PER_AGENT
+    profile: DataFrame,
+    capacity: int = MAX_OPEN_CHATS_PER_AGENT,
+    keys: tuple[str, ...] = ("agent_id",),
 ) -> DataFrame:
     """P8: agents with too many open chats, when first, and the peak."""
     return (
-        agent_load(profile)
-        .groupBy("agent_id")
+        agent_load(profile, keys)
+        .groupBy(*keys)
         .agg(
             F.min(F.when(F.col("open_chats") > capacity, F.col("moment"))).alias("first_breach_at"),
             F.max("open_chats").alias("peak_open_chats"),

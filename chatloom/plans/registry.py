@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.attributes import date_key
 from ..operators import constraints, dimensions, sequence
 from ..operators.fact import (
     chat_rollup,
@@ -29,10 +30,12 @@ from ..sources.order_chats import (
     ChatLog,
     chat_log,
     defective_chat_log,
+    delivered_events,
+    delivered_surveys,
     four_hours_late,
 )
 from ..sources.raw_layer import batch_counts
-from . import reports
+from . import reports, stateful
 from .batch import run_totals, select_dates
 from .mart import Mart, build_mart, natural_fact
 
@@ -68,22 +71,6 @@ def event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_log(spark, sf_dir).events.orderBy("event_timestamp", "event_id")
 
 
-def delivered_surveys(log: ChatLog) -> DataFrame:
-    """Surveys with the date of the delivery they came in.
-
-    The chat's one start event gives the date, so the join has one row per
-    chat on either side.
-    """
-    starts = log.numbered_events.where(F.col("event_type") == "chat_started").select(
-        "chat_id", F.col("ingestion_date").alias("source_date")
-    )
-    return log.surveys.join(starts, "chat_id").select(*SURVEY_COLUMNS, "source_date")
-
-
-def delivered_events(log: ChatLog) -> DataFrame:
-    return log.events.withColumn("source_date", F.col("ingestion_date"))
-
-
 def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly deliveries written as JSON Lines in one job, and read back."""
     log = chat_log(spark, sf_dir)
@@ -180,6 +167,26 @@ def _on_dirty_fact(rule: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
+def k09(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch log in which the load times of one day of each month are missing."""
+    day = F.col("source_date")
+    log = batch_log_counts(spark, sf_dir).select(
+        date_key(day).cast("bigint").alias("batch_id"),
+        "source_date",
+        "source_chat_count",
+        "source_event_count",
+        F.when(F.day(day) != 13, F.to_timestamp_ltz(day)).alias("loaded_at"),
+    )
+    return constraints.batch_log_fields(log)
+
+
+def k10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An agent dimension that has every fourth agent twice."""
+    agents = dim_agent(spark, sf_dir)
+    twice = agents.unionByName(agents.where(F.col("agent_id") % 4 == 0))
+    return constraints.dimension_keys(twice, "agent_id")
+
+
 def k12(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = mart_of(spark, sf_dir)
     reduced = mart.dim_agent.where(F.col("agent_id") != 1005)
@@ -212,6 +219,12 @@ def p08_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.agents_over_capacity(chat_profile(chat_log(spark, sf_dir).events))
 
 
+def p08_per_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capacity within each delivery, as its sender checks it."""
+    profile = chat_profile(stateful.within_days(four_hours_late(chat_log(spark, sf_dir))).events)
+    return sequence.agents_over_capacity(profile, keys=("ingestion_date", "agent_id"))
+
+
 # Mart
 
 
@@ -436,4 +449,8 @@ def catalog() -> dict[str, Query]:
         "d10_team_averages": _report(reports.team_averages),
         "d11_readiness": _report(reports.readiness),
         "d12_reconciliation": reconciliation,
+        "k09": k09,
+        "k10": k10,
+        "p08_per_delivery": p08_per_delivery,
+        **stateful.catalog(),
     }

@@ -343,6 +343,22 @@ def four_hours_late(log: ChatLog) -> ChatLog:
     return ChatLog(moved, log.numbered_surveys)
 
 
+def delivered_surveys(log: ChatLog) -> DataFrame:
+    """Surveys with the date of the delivery they came in.
+
+    The chat's one start event gives the date, so the join has one row per
+    chat on either side.
+    """
+    starts = log.numbered_events.where(F.col("event_type") == "chat_started").select(
+        "chat_id", F.col("ingestion_date").alias("source_date")
+    )
+    return log.surveys.join(starts, "chat_id").select(*SURVEY_COLUMNS, "source_date")
+
+
+def delivered_events(log: ChatLog) -> DataFrame:
+    return log.events.withColumn("source_date", F.col("ingestion_date"))
+
+
 _written: dict[tuple[str, str, str], ChatLog] = {}
 
 
@@ -390,6 +406,8 @@ __all__ = [
     "ChatLog",
     "chat_log",
     "defective_chat_log",
+    "delivered_events",
+    "delivered_surveys",
     "derive_chat_log",
     "four_hours_late",
     "with_defects",

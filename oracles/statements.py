@@ -218,17 +218,17 @@ _RULES = {
 _GATE_ORDER = ("v01", "v02", "v03", "v04", "v05", "v06", "v07", "v08", "v09", "v10a", "v10b")
 _CONTRACT_RULES = ("k01", "k03", "v02", "v01", "v03", "p01", "p02", "v04", "p03", "k04", "p04", "p05", "p06", "p07", "p08", "k05", "p09", "k08", "k07")
 
-def _capacity(events: str) -> str:
+def _capacity(events: str, by: str = "") -> str:
     return f"""
 assigned AS (
  SELECT chat_id, MAX(CASE WHEN event_type='agent_assignment' THEN agent_id END) AS agent_id,
-  {_moment('agent_assignment')} AS assigned_at, {_CLOSED_AT} AS closed_at
+  {_moment('agent_assignment')} AS assigned_at, {_CLOSED_AT} AS closed_at, MAX(ingestion_date) AS ingestion_date
  FROM {events} GROUP BY chat_id),
 changes AS (
- SELECT agent_id, assigned_at AS moment, 1 AS change FROM assigned WHERE agent_id IS NOT NULL
- UNION ALL SELECT agent_id, closed_at, -1 FROM assigned WHERE agent_id IS NOT NULL AND closed_at IS NOT NULL),
+ SELECT ingestion_date, agent_id, assigned_at AS moment, 1 AS change FROM assigned WHERE agent_id IS NOT NULL
+ UNION ALL SELECT ingestion_date, agent_id, closed_at, -1 FROM assigned WHERE agent_id IS NOT NULL AND closed_at IS NOT NULL),
 load AS (
- SELECT agent_id, moment, SUM(change) OVER (PARTITION BY agent_id ORDER BY moment, change ROWS UNBOUNDED PRECEDING) AS open_chats FROM changes)"""
+ SELECT ingestion_date, agent_id, moment, SUM(change) OVER (PARTITION BY {by}agent_id ORDER BY moment, change ROWS UNBOUNDED PRECEDING) AS open_chats FROM changes)"""
 
 
 _RULES["p08"] = _rule("P8", "agent_id", "load GROUP BY agent_id HAVING MAX(open_chats)>2")
@@ -266,8 +266,66 @@ _OLD_FACT = _fact("old_clean", "old_sv")
 _SLA = _pct("COUNT_IF(first_response_sla_met)", "COUNT(first_response_sla_met)")
 
 
+_AGAIN = "DATE '1997-02-01'"
+_BACKED_UP = f"""
+months AS (SELECT *, CAST(date_trunc('month', ingestion_date) AS DATE) AS source_date FROM clean),
+moved AS (SELECT *, CAST(date_trunc('month', ingestion_date) AS DATE) AS source_date FROM late),
+dated AS (SELECT sv.*, source_date FROM sv JOIN months USING (chat_id) WHERE event_type='chat_started')"""
+_SHAPED = """
+shaped AS (SELECT *, CAST(date_trunc('month', ingestion_date) AS DATE) AS source_date, n%97 IN (1,2,3,4) AS bad FROM clean)"""
+_RUNS = f"""
+packed AS (SELECT event_id, n, chat_id, agent_id, event_type,
+  event_timestamp + to_days(CAST(date_diff('day', ingestion_date, DATE '1997-01-01' + CAST(n%60 AS INT)) AS INT)) AS event_timestamp,
+  CAST(DATE '1997-01-01' + CAST(n%60 AS INT) AS DATE) AS ingestion_date FROM late),
+after AS (SELECT * FROM packed WHERE ingestion_date<>{_AGAIN} OR n%2=0),
+after_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM after))"""
+_LOGGED = """
+starts AS (SELECT chat_id, n, ingestion_date AS source_date FROM packed WHERE event_type='chat_started'),
+counted AS (SELECT source_date, CAST(COUNT(*) AS INT) AS source_event_count, CAST(COUNT(*) FILTER (n%2=0) AS INT) AS half_events
+ FROM packed JOIN (SELECT chat_id, source_date FROM starts) USING (chat_id) GROUP BY source_date),
+answered AS (SELECT source_date, CAST(COUNT(*) AS INT) AS source_chat_count, CAST(COUNT(*) FILTER (sv.n%2=0) AS INT) AS half_chats
+ FROM sv JOIN (SELECT chat_id, source_date FROM starts) USING (chat_id) GROUP BY source_date),
+both_counts AS (SELECT source_date, COALESCE(source_chat_count,0) AS source_chat_count, source_event_count, COALESCE(half_chats,0) AS half_chats, half_events
+ FROM counted LEFT JOIN answered USING (source_date))"""
+
+
 def statements() -> dict[str, str]:
     sql = {
+        "k09": with_fixture(
+            _rule("K9", "STR(year(source_date)*10000+month(source_date)*100+day(source_date))", "batch_log WHERE day(source_date)=13"),
+            _DELIVERED,
+        ),
+        "k10": _reports("SELECT 'K10' AS rule_id, concat('agent_id ', STR(agent_id)) AS entity_id FROM dim_agent WHERE agent_id%4=0"),
+        "p08_per_delivery": with_fixture(
+            """SELECT ingestion_date, agent_id, MIN(moment) FILTER (WHERE open_chats>2) AS first_breach_at, CAST(MAX(open_chats) AS BIGINT) AS peak_open_chats
+ FROM load GROUP BY ALL HAVING MAX(open_chats)>2""",
+            "late",
+            _RUNS,
+            _capacity("packed", "ingestion_date, "),
+        ),
+        "backup_after_two_runs": with_fixture(
+            f"SELECT {_EVENT_COLUMNS}, source_date FROM months WHERE source_date<>{_AGAIN} UNION ALL SELECT {_EVENT_COLUMNS}, source_date FROM moved WHERE source_date={_AGAIN}",
+            "late",
+            _BACKED_UP,
+        ),
+        "backup_surveys": with_fixture(
+            f"SELECT {_SURVEY_COLUMNS}, source_date FROM dated WHERE source_date<>{_AGAIN} OR NOT survey_skipped",
+            "late",
+            _BACKED_UP,
+        ),
+        "rejected_lines": with_fixture(
+            "SELECT source_date, COUNT(*) FILTER (WHERE NOT bad) AS accepted, COUNT(*) FILTER (WHERE bad) AS rejected FROM shaped GROUP BY source_date",
+            _SHAPED,
+        ),
+        "raw_after_runs": with_fixture(f"SELECT {_EVENT_COLUMNS} FROM after", "late", _RUNS),
+        "batch_log_after_runs": with_fixture(
+            f"""SELECT source_date, source_chat_count, source_event_count FROM both_counts
+ UNION ALL SELECT source_date, half_chats, half_events FROM both_counts WHERE source_date={_AGAIN}""",
+            "late",
+            _RUNS,
+            _LOGGED,
+        ),
+        "mart_after_reload": with_fixture("SELECT * FROM fact", "late", _RUNS, _fact("after", "after_sv")),
         "chat_events": with_fixture(f"SELECT {_EVENT_COLUMNS} FROM clean"),
         "surveys": with_fixture(f"SELECT {_SURVEY_COLUMNS} FROM sv"),
         "event_order": with_fixture(
