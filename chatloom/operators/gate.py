@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import constraints, sequence
 from .constraints import broken_rules, violations
-from .profile import chat_ends, chat_profile
+from .profile import chat_profile
 
 # Rules in the order in which they are reported, with messages.
 SOURCE_GATE = {
@@ -108,23 +108,22 @@ class Gate:
         """All ``(rule_id, entity_id)``; pass ``profile`` when it is already written."""
         wanted = set(self.messages)
         if profile is None:
-            profile = chat_profile(events, surveys)
-            if "P8" in wanted:
-                # The capacity rule reads it twice more: written once, computed once.
-                profile = materialize(profile, "gate-profile")
+            # Several rules read it: written once, computed once.
+            profile = materialize(chat_profile(events, surveys), "gate-profile")
         parts: list[DataFrame] = []
 
         def rules(catalog: dict) -> dict:
             return {rule: test for rule, test in catalog.items() if rule in wanted}
 
         on_profile = rules(sequence.event_profile_rules()) | rules(sequence.survey_profile_rules())
-        on_ends = rules(sequence.ends_rules())
+        on_profile |= rules(sequence.ends_rules())
+        on_ends = rules(sequence.tied_ends_rules())
         on_events = rules(constraints.event_row_rules())
         on_surveys = rules(constraints.survey_row_rules())
         if on_profile:
             parts.append(broken_rules(profile, on_profile, "chat_id"))
-        if on_ends:
-            parts.append(broken_rules(chat_ends(events), on_ends, "chat_id"))
+        if on_ends and sequence.has_tied_ends(profile):
+            parts.append(broken_rules(sequence.tied_ends(events, profile), on_ends, "chat_id"))
         if on_events:
             parts.append(broken_rules(events, on_events, "event_id"))
         if on_surveys:
@@ -141,10 +140,8 @@ class Gate:
             parts.append(violations("K6", several, "chat_id"))
         if "V3" in wanted:
             parts.append(sequence.equal_timestamps(events))
-        if "V6" in wanted:
-            parts.append(sequence.activity_without_assignment(events))
-        if "V7" in wanted:
-            parts.append(sequence.closure_without_push(events))
+        if both := [rule for rule in ("V6", "V7") if rule in wanted]:
+            parts.append(sequence.activity_and_pushes(events, *both))
         if "P8" in wanted:
             keys = ("ingestion_date", "agent_id") if self.per_delivery else ("agent_id",)
             over = sequence.agents_over_capacity(profile, keys=keys)

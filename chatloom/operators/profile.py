@@ -56,6 +56,7 @@ def _event_rows(events: DataFrame) -> DataFrame:
         "chat_id",
         "agent_id",
         event_kind(F.col("event_type")).alias("kind"),
+        (F.col("event_type").isNull() | F.col("event_timestamp").isNull()).alias("unclear"),
         "event_timestamp",
         "ingestion_date",
     )
@@ -117,6 +118,10 @@ def chat_profile(events: DataFrame, surveys: DataFrame | None = None) -> DataFra
         F.min(agent).alias("lowest_agent_id"),
         F.max(agent).alias("highest_agent_id"),
         F.max("ingestion_date").alias("ingestion_date"),
+        F.min(F.when(~is_(STARTED), moment)).alias("first_other_at"),
+        F.max(F.when(closing, moment)).alias("last_closure_at"),
+        F.max(F.when(~closing, moment)).alias("last_other_at"),
+        F.coalesce(F.bool_or("unclear"), F.lit(False)).alias("unclear"),
         *survey_counts,
     )
 
@@ -125,7 +130,7 @@ def chat_ends(events: DataFrame) -> DataFrame:
     """First and last event type per chat by (event_timestamp, event_id).
 
     Comparing structs needs sort-based aggregation, so this stays apart from
-    the profile; it combines map-side as well, so no chat is sorted in one task.
+    the profile, and only chats that the profile can't decide come here.
     """
     placed = F.struct("event_timestamp", "event_id", "event_type")
     closing = event_kind(F.col("event_type")).isin(*CLOSURE_KINDS)

@@ -21,6 +21,7 @@ from ..schemas import (
     PUSHED,
     STARTED,
 )
+from ..session import materialize
 from .constraints import violations
 from .profile import chat_ends, chat_profile
 from .running import running_totals
@@ -70,14 +71,45 @@ def survey_profile_rules() -> dict[str, Column]:
     }
 
 
+def _tied_ends() -> Column:
+    """Chats whose first or last event is one of several at the same moment, or that
+    have an event without a type or time: their ends depend on the event ids."""
+    at_start = F.col("started_at") == F.col("first_other_at")
+    at_end = F.col("last_closure_at") == F.col("last_other_at")
+    return F.coalesce(F.col("unclear") | at_start | at_end, F.col("unclear"))
+
+
 def ends_rules() -> dict[str, Column]:
-    """Rules on the first and the last event."""
+    """Rules on the first and the last event, where the moments alone decide."""
+    c = F.col
+    late_start = (c("events") > 0) & (
+        c("started_at").isNull() | (c("first_other_at") < c("started_at"))
+    )
+    open_end = (c("closures") != 1) | (c("last_other_at") > c("last_closure_at"))
+    decided = ~_tied_ends()
+    return {"V2": decided & late_start, "P6": decided & (c("events") > 0) & open_end}
+
+
+def tied_ends(events: DataFrame, profile: DataFrame) -> DataFrame:
+    """First and last event types of the chats that their moments don't decide."""
+    chats = profile.where(_tied_ends()).select(F.col("chat_id").alias("tied"))
+    return chat_ends(
+        events.join(chats, F.col("chat_id").eqNullSafe(F.col("tied")), "left_semi")
+    )
+
+
+def tied_ends_rules() -> dict[str, Column]:
+    """The same rules on first and last event types."""
     return {
         "V2": F.col("first_type") != STARTED,
         "P6": (F.col("closures") != 1) | ~F.col("last_type").isin(*CLOSURES),
     }
 
 
+def has_tied_ends(profile: DataFrame) -> bool:
+    return not profile.where(_tied_ends()).isEmpty()
+
+
 def equal_timestamps(events: DataFrame) -> DataFrame:
     """V3: timestamps of a chat strictly increase.
 
@@ -92,48 +124,64 @@ def equal_timestamps(events: DataFrame) -> DataFrame:
     return violations("V3", shared.select("chat_id").distinct(), "chat_id")
 
 
-def activity_without_assignment(events: DataFrame) -> DataFrame:
-    """V6: agent activity follows an assignment of the same agent.
+def activity_and_pushes(events: DataFrame, *rules: str) -> DataFrame:
+    """V6: agent activity follows an assignment of the same agent. V7: a system
+    closure has a push exactly one hour before it.
 
     The earliest activity of a (chat, agent) is the hardest to satisfy, so two
-    minima replace the NOT EXISTS join. NULL agents form a group that no
-    assignment can satisfy.
+    minima replace the NOT EXISTS join; NULL agents form a group that no
+    assignment can satisfy. For V7 closures and pushes meet on the moment of the
+    push. Both are one pass over the events and one grouping; only the rules
+    asked for contribute rows.
     """
     event_type, moment = F.col("event_type"), F.col("event_timestamp")
-    per_agent = (
-        events.where(event_type.isin(ASSIGNED, *AGENT_ACTIVITY))
-        .groupBy("chat_id", "agent_id")
-        .agg(
-            F.min(F.when(event_type == ASSIGNED, moment)).alias("assigned_at"),
-            F.min(F.when(event_type != ASSIGNED, moment)).alias("first_activity_at"),
-        )
-    )
-    broken = per_agent.where(
-        F.col("first_activity_at").isNotNull()
-        & (
-            F.col("agent_id").isNull()
-            | F.col("assigned_at").isNull()
-            | (F.col("assigned_at") >= F.col("first_activity_at"))
+    closing = event_type == CLOSED_BY_SYSTEM
+    nothing = F.lit(None).cast("timestamp_ntz")
+
+    def part(rule: str, agent: Column, pushed_at: Column, assigned: Column, active: Column):
+        return F.struct(
+            F.lit(rule).alias("rule_id"),
+            agent.alias("agent_id"),
+            pushed_at.alias("pushed_at"),
+            assigned.alias("assigned_at"),
+            active.alias("first_activity_at"),
         )
-    )
-    return violations("V6", broken.select("chat_id").distinct(), "chat_id")
 
-
-def closure_without_push(events: DataFrame) -> DataFrame:
-    """V7: a system closure has a push exactly one hour before it."""
-    event_type, moment = F.col("event_type"), F.col("event_timestamp")
-    closing = event_type == CLOSED_BY_SYSTEM
+    assigning = event_type == ASSIGNED
+    of_agent = part(
+        "V6",
+        F.col("agent_id"),
+        nothing,
+        F.when(assigning, moment),
+        F.when(~assigning, moment),
+    )
     expected_push = F.when(closing, moment - F.expr(INACTIVITY_DELAY)).otherwise(moment)
-    per_push = (
-        events.where(event_type.isin(CLOSED_BY_SYSTEM, PUSHED))
-        .groupBy("chat_id", expected_push.alias("pushed_at"))
-        .agg(
-            F.count_if(closing).alias("closures"),
-            F.count_if(event_type == PUSHED).alias("pushes"),
-        )
+    of_push = part("V7", F.lit(None).cast("int"), expected_push, nothing, nothing)
+    wanted = {
+        "V6": F.when(event_type.isin(ASSIGNED, *AGENT_ACTIVITY), of_agent),
+        "V7": F.when(event_type.isin(CLOSED_BY_SYSTEM, PUSHED), of_push),
+    }
+    types = {"V6": [ASSIGNED, *AGENT_ACTIVITY], "V7": [CLOSED_BY_SYSTEM, PUSHED]}
+    read = sorted({name for rule in rules for name in types[rule]})
+    rows = events.where(event_type.isin(*read)).select(
+        "chat_id",
+        closing.alias("closing"),
+        F.inline(F.array_compact(F.array(*[wanted[rule] for rule in rules]))),
+    )
+    grouped = rows.groupBy("chat_id", "rule_id", "agent_id", "pushed_at").agg(
+        F.min("assigned_at").alias("assigned_at"),
+        F.min("first_activity_at").alias("first_activity_at"),
+        F.count_if("closing").alias("closures"),
+        F.count_if(~F.col("closing")).alias("pushes"),
+    )
+    unassigned = F.col("first_activity_at").isNotNull() & (
+        F.col("agent_id").isNull()
+        | F.col("assigned_at").isNull()
+        | (F.col("assigned_at") >= F.col("first_activity_at"))
     )
-    broken = per_push.where((F.col("closures") > 0) & (F.col("pushes") == 0))
-    return violations("V7", broken.select("chat_id").distinct(), "chat_id")
+    unpushed = (F.col("closures") > 0) & (F.col("pushes") == 0)
+    broken = grouped.where(F.when(F.col("rule_id") == "V6", unassigned).otherwise(unpushed))
+    return broken.select("rule_id", F.col("chat_id").alias("entity_id")).distinct()
 
 
 def agent_load(profile: DataFrame, keys: tuple[str, ...] = ("agent_id",)) -> DataFrame:
@@ -183,14 +231,17 @@ def chat_rule(rule_id: str, events: DataFrame, surveys: DataFrame) -> DataFrame:
     """One V or P rule on its own; Spark prunes the aggregates it does not use."""
     if rule_id == "V3":
         return equal_timestamps(events)
-    if rule_id == "V6":
-        return activity_without_assignment(events)
-    if rule_id == "V7":
-        return closure_without_push(events)
+    if rule_id in ("V6", "V7"):
+        return activity_and_pushes(events, rule_id)
     if rule_id == "P8":
         return violations("P8", agents_over_capacity(chat_profile(events)), "agent_id")
     if rule_id in (ends := ends_rules()):
-        return violations(rule_id, chat_ends(events).where(ends[rule_id]), "chat_id")
+        profile = materialize(chat_profile(events), "ends-profile")
+        found = violations(rule_id, profile.where(ends[rule_id]), "chat_id")
+        if not has_tied_ends(profile):
+            return found
+        tied = tied_ends(events, profile).where(tied_ends_rules()[rule_id])
+        return found.unionByName(violations(rule_id, tied, "chat_id"))
     if rule_id in (own := event_profile_rules()):
         return violations(rule_id, chat_profile(events).where(own[rule_id]), "chat_id")
     joint = survey_profile_rules()[rule_id]

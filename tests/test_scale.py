@@ -168,8 +168,19 @@ def test_profile_and_fact_take_one_shuffle_and_no_join(spark):
 
 def test_single_rules_take_one_shuffle(spark):
     events, surveys, _ = _written_mart(spark)
-    for rule in ("V1", "V2", "V4", "V5", "V8", "V9", "V10a", "P1", "P2", "P5", "P6", "P7", "P9"):
+    for rule in ("V1", "V4", "V5", "V8", "V9", "V10a", "P1", "P2", "P5", "P7", "P9"):
         assert exchanges(sequence.chat_rule(rule, events, surveys)) == 1
+    # These read a written profile.
+    for rule in ("V2", "P6"):
+        assert exchanges(sequence.chat_rule(rule, events, surveys)) == 0
+
+
+def test_the_gate_reads_little_and_sorts_nothing(spark):
+    events, surveys, _ = _written_mart(spark)
+    found = source_gate.violations(events, surveys)
+    assert plan_of(found).count("ReadSchema") <= 3
+    assert exchanges(found) <= 5
+    assert "SortAggregate" not in plan_of(found)
 
 
 def test_reports_shuffle_only_their_groups(spark):
