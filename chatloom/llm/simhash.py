@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +25,8 @@ HALF_MASK = (1 << HALF) - 1
 BLOCK = 1 << 16
 
 
-def fingerprint(words: list[str], size: int = SHINGLE_WORDS) -> int:
-    """Unsigned 64-bit SimHash of a word sequence; 0 without words.
+def fingerprint(words: list[bytes], size: int = SHINGLE_WORDS) -> int:
+    """Unsigned 64-bit SimHash of a sequence of UTF-8 words; 0 without words.
 
     A bit is 1 if it is set in over half of the shingle hashes, repeats included.
     A sequence shorter than a shingle is one shingle.
@@ -35,9 +34,9 @@ def fingerprint(words: list[str], size: int = SHINGLE_WORDS) -> int:
     if not words:
         return 0
     if len(words) <= size:
-        shingles = [" ".join(words)]
+        shingles = [b" ".join(words)]
     else:
-        shingles = map(" ".join, zip(*(words[i:] for i in range(size))))
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(size))))
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype="<u8")
     ones = np.zeros(64, dtype=np.int64)
@@ -53,10 +52,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         at = batch.schema.get_field_index("text")
         prints = []
-        # Text by text: the words of a whole batch would take far more memory.
-        for value in pc.ascii_lower(batch.column(at)):
-            words = pc.ascii_split_whitespace(value).as_py()
-            unsigned = fingerprint([w for w in words if w])
+        # Text by text: the words of a whole batch would take far more memory. On
+        # bytes, lower() and split() know ASCII letters and white space only.
+        for value in batch.column(at):
+            unsigned = fingerprint(value.as_buffer().to_pybytes().lower().split())
             prints.append(unsigned - (1 << 64) if unsigned >> 63 else unsigned)
         yield pa.RecordBatch.from_arrays(
             [batch.column(i) for i in range(batch.num_columns) if i != at]
