@@ -16,11 +16,19 @@ from ..session import scratch_root
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
+# Texts are long, so fewer rows than Spark's default travel to a Python worker at once.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+DEFAULT_BATCH, TEXT_BATCH = "10000", "2000"
+
+
 def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it, and send
+    them small batches, unless the session sets a size of its own.
 
     On a cluster whose machines lack that folder, pass the package by --py-files.
     """
+    if spark.conf.get(BATCH_ROWS) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_ROWS, TEXT_BATCH)
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in paths:
