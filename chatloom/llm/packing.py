@@ -36,10 +36,10 @@ def token_pieces(
     checksum of these as little-endian 32-bit numbers."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        own_encoder = encoder(tokenizer)
         for batch in batches:
             out: dict[str, list] = defaultdict(list)
-            texts = encode(batch.column("text"))
+            texts = own_encoder.encode(batch.column("text"))
             for row, doc, ids in zip(
                 batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), texts
             ):
@@ -54,6 +54,8 @@ def token_pieces(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], f.type) for f in schema], schema=schema
             )
+        # The worker may serve other stages next; they need the memory.
+        own_encoder.forget()
 
     fields = [
         ("row", pa.int64()),
