@@ -23,7 +23,7 @@ SMOOTHING = 0.1
 # Text bytes whose words share one dictionary.
 BLOCK_BYTES = 16 << 20
 # Words that are segmented together.
-WORDS_AT_ONCE = 60_000
+WORDS_AT_ONCE = 20_000
 
 
 def held_out(key: Column) -> Column:
@@ -63,17 +63,23 @@ def _pack(table: pa.RecordBatch) -> bytes:
 def _block(number: int, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """One row (place -1) with the word numbers of all texts, and one per distinct word."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(part.column("text").cast(pa.large_string())))
-    doc = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    texts = len(lists)
+    doc = np.repeat(
+        np.arange(texts, dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    )
     values = lists.flatten()
+    del lists
     full = pc.greater(pc.binary_length(values), 0)
     doc = doc[full.to_numpy(zero_copy_only=False)]
     coded = values.filter(full).dictionary_encode()
+    del values
     words, size = coded.dictionary, max(len(coded.dictionary), 1)
-    key, count = np.unique(doc * size + coded.indices.to_numpy(), return_counts=True)
+    key, count = np.unique(doc.astype(np.int64) * size + coded.indices, return_counts=True)
+    del coded
     doc, code = key // size, key % size
     held = part.column("held_out").to_numpy(zero_copy_only=False)
     seen = np.bincount(code, np.where(held[doc], 0, count), minlength=len(words))
-    ends = np.searchsorted(doc, np.arange(len(lists) + 1))
+    ends = np.searchsorted(doc, np.arange(texts + 1))
 
     def listed(values: np.ndarray) -> pa.Array:
         return pa.LargeListArray.from_arrays(
@@ -99,16 +105,29 @@ def _block(number: int, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of whole texts: batches are gathered up to ``BLOCK_BYTES``."""
     number = TaskContext.get().partitionId() << 32
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-        turn = np.cumsum(sizes, dtype=np.int64) // BLOCK_BYTES
-        cuts = [0, *(np.flatnonzero(np.diff(turn)) + 1), batch.num_rows]
-        for a, b in zip(cuts[:-1], cuts[1:]):
+        turn = (size + np.cumsum(sizes, dtype=np.int64)) // BLOCK_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(turn, prepend=0))), batch.num_rows]
+        for place, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if place and held:
+                yield from _block(number, _joined(held))
+                held, size, number = [], 0, number + 1
+                pa.default_memory_pool().release_unused()
             if b > a:
                 # Copied, since kernels don't heed the offset of a slice everywhere.
-                yield from _block(number, batch.take(pa.array(np.arange(a, b))))
-                number += 1
+                held.append(batch.take(pa.array(np.arange(a, b))))
+                size += int(sizes[a:b].sum(dtype=np.int64))
+    if held:
+        yield from _block(number, _joined(held))
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:

@@ -10,7 +10,7 @@ START = "▁"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # any odd number mixes
 _BITS = 22
 _NOTHING = np.uint64(0x110000)  # beyond every character
-_CELLS = 1 << 22
+_CELLS = 1 << 20
 
 
 def _hash(text: str) -> int:
