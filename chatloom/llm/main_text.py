@@ -65,7 +65,8 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hosts.append(host[1].lower() if host else None)
             articles.append(_signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))))
             hashes.append(sorted(set(digests[1:])) if host else [])
-            packed.append(zlib.compress(json.dumps([blocks, parents, digests]).encode(), 1))
+            page = json.dumps([blocks, parents, digests], ensure_ascii=False)
+            packed.append(zlib.compress(page.encode("utf-8", "surrogatepass")))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
@@ -82,7 +83,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remaining(packed: bytes, removed: set[int]) -> str:
     """The text of a page without the blocks inside of removed elements."""
-    blocks, parents, digests = json.loads(zlib.decompress(packed))
+    blocks, parents, digests = json.loads(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
     gone = [False] * len(parents)
     for number in range(1, len(parents)):
         gone[number] = gone[parents[number]] or digests[number] in removed
@@ -155,8 +156,13 @@ def main_texts(
         .groupBy("row")
         .agg(F.collect_set("hash").alias("removed"))
     )
+    # A page without any element that may be a template loses none.
+    some = F.size("hashes") > 0
+    joined = pages.filter(some).join(removed, "row", "left")
+    alone = pages.filter(~some).withColumn("removed", F.lit(None).cast("array<bigint>"))
+    kept = ["page_id", "url", "packed", "removed"]
     return (
-        pages.join(removed, "row", "left")
-        .select("page_id", "url", "packed", "removed")
+        joined.select(kept)
+        .union(alone.select(kept))
         .mapInArrow(_texts, "page_id bigint, url string, text string, n_chars bigint")
     )
