@@ -16,9 +16,9 @@ PATTERN = (
 # Unicode white space, as the pattern's \s has it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # Words remembered by one Python worker; beyond that the memory is emptied.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 400_000
 # Text bytes turned into ids at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def _byte_values() -> dict[str, int]:
