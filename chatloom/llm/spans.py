@@ -23,6 +23,7 @@ BATCH_CHARS = 1 << 21
 CELLS = 1 << 21
 
 _SEPARATOR = 0x110000  # beyond every character
+_NEVER = np.int32(1 << 29)  # edits of what is no alignment
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # any odd number mixes
 _BITS = 22
 
@@ -162,8 +163,9 @@ class Index:
         at = np.flatnonzero(near & there)
         return at, hashes[at]
 
-    def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, first diagonal) of every band with as many q-grams as the lemma asks."""
+    def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, document, first diagonal) of every band with as many q-grams of one
+        document as the lemma asks. Separators end the documents of ``codes``."""
         at, hashes = self.hits(codes)
         found = np.searchsorted(self.hashes, hashes)
         found = np.minimum(found, len(self.hashes) - 1)
@@ -174,28 +176,47 @@ class Index:
         posting = posting + np.arange(len(posting))
         item = self.owner[posting]
         diagonal = np.repeat(at, many) - self.place[posting]
+        _, ends = borders(codes)
+        document = np.repeat(np.searchsorted(ends, at), many)
         step = self.steps[item]
         band = diagonal // step
         also = diagonal - band * step < self.edits[item]
         item = np.concatenate([item, item[also]])
+        document = np.concatenate([document, document[also]])
         band = np.concatenate([band, band[also] - 1])
         # Diagonals may start before the text by an item's length: shifted to be positive.
         shift = int(self.lengths.max(initial=0)) + 16
-        key, n = np.unique(item * (len(codes) + 2 * shift) + band + shift, return_counts=True)
-        item, band = key // (len(codes) + 2 * shift), key % (len(codes) + 2 * shift) - shift
+        size = len(codes) + 2 * shift
+        key = (item * len(ends) + document) * size + band + shift
+        key, n = np.unique(key, return_counts=True)
+        band = key % size - shift
+        item, document = np.divmod(key // size, len(ends))
         enough = n >= np.maximum(self.least[item], 1)
-        item, band = item[enough], band[enough]
-        return item, band * self.steps[item]
+        item, document, band = item[enough], document[enough], band[enough]
+        return item, document, band * self.steps[item]
+
+
+def borders(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the documents begin and end that separators part."""
+    ends = np.append(np.flatnonzero(codes == _SEPARATOR), len(codes))
+    return np.concatenate([[0], ends[:-1] + 1]), ends
 
 
 def align(
-    patterns: list[np.ndarray], text: np.ndarray, starts: np.ndarray, width: int
+    patterns: list[np.ndarray],
+    text: np.ndarray,
+    starts: np.ndarray,
+    width: int,
+    low: np.ndarray,
+    high: np.ndarray,
+    fixed: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Least edits of each pattern against ``text`` on its band, and where they end.
 
     A band holds the diagonals starts[i] to starts[i] + width - 1; all bands are
     computed together, a row of the matrix at a time. A pattern may begin and
-    end on any of its diagonals.
+    end on any of its diagonals, but reads only text[low[i]:high[i]]; if ``fixed``
+    it begins at low[i].
     """
     sizes = np.array([len(p) for p in patterns])
     rows = np.full((len(patterns), sizes.max(initial=0)), _SEPARATOR + 1, dtype=np.uint32)
@@ -203,9 +224,12 @@ def align(
         row[: len(pattern)] = pattern
     padded = np.append(text, np.uint32(_SEPARATOR))
     steps = np.arange(width, dtype=np.int32)
-    cost = np.zeros((len(patterns), width), dtype=np.int32)
-    last = np.zeros_like(cost)
     at = starts[:, None] + steps
+    # Places in the text never go back: what begins inside and ends inside has read
+    # nothing else, so only beginnings and ends need to be held within the limits.
+    barred = at != low[:, None] if fixed else at < low[:, None]
+    cost = np.where(barred, _NEVER, np.int32(0))
+    last = np.zeros_like(cost)
     for i in range(rows.shape[1]):
         read = padded[np.where((at >= 0) & (at < len(text)), at, len(text))]
         step = cost + (read != rows[:, i, None])
@@ -213,26 +237,32 @@ def align(
         step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
         # An extra character of the text goes one diagonal on, at one edit each.
         cost = np.minimum.accumulate(step - steps, axis=1) + steps
+        at = at + 1
         ended = sizes == i + 1
         if ended.any():
-            last[ended] = cost[ended]
-        at = at + 1
+            last[ended] = np.where(at[ended] > high[ended, None], _NEVER, cost[ended])
     best = last.argmin(axis=1)
     return last[np.arange(len(patterns)), best], starts + sizes + best
 
 
 def verified(index: Index, codes: np.ndarray) -> Iterator[tuple[Item, int, int]]:
     """(item, end, edits) of the bands that hold an alignment within the budget."""
-    owner, diagonal = index.bands(codes)
+    owner, document, diagonal = index.bands(codes)
     # Bands of like lengths go together, so that none waits long for another.
     order = np.argsort(index.lengths[owner], kind="stable")
-    owner, diagonal = owner[order], diagonal[order]
+    owner, document, diagonal = owner[order], document[order], diagonal[order]
+    begins, limits = borders(codes)
     width = int((index.steps + index.edits).max(initial=1))
     many = max(1, CELLS // (16 * width))
     for at in range(0, len(owner), many):
-        own = owner[at : at + many]
+        own, inside = owner[at : at + many], document[at : at + many]
         edits, ends = align(
-            [index.items[o].codes for o in own], codes, diagonal[at : at + many], width
+            [index.items[o].codes for o in own],
+            codes,
+            diagonal[at : at + many],
+            width,
+            begins[inside],
+            limits[inside],
         )
         for o, e, end in zip(own, edits, ends):
             if e <= index.items[o].edits:
@@ -243,21 +273,24 @@ def matches(index: Index, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(item number, start, end, edits) of every verified band."""
     found = list(dict.fromkeys((i.number, end, e) for i, end, e in verified(index, codes)))
     by_number = {i.number: i for i in index.items}
+    begins, limits = borders(codes)
     # The same alignments from their ends backwards tell where the matches start.
     spans = []
     for at in range(0, len(found), 256):
         part = found[at : at + 256]
         reach = max(e for *_, e in part) + 1
-        left = np.array([len(codes) - end for _, end, _ in part], dtype=np.int64)
+        ends = np.array([end for _, end, _ in part], dtype=np.int64)
+        left = len(codes) - ends
         _, back = align(
             [by_number[n].codes[::-1] for n, _, _ in part],
             codes[::-1],
             left - reach,
             2 * reach + 1,
+            left,
+            len(codes) - begins[np.searchsorted(limits, ends)],
+            fixed=True,
         )
-        spans += [
-            (n, max(0, len(codes) - int(b)), end, e) for (n, end, e), b in zip(part, back)
-        ]
+        spans += [(n, len(codes) - int(b), end, e) for (n, end, e), b in zip(part, back)]
     for item in index.short:
         size = len(item.codes)
         if len(codes) >= size:
@@ -278,16 +311,15 @@ def _one_per_place(spans: list[tuple]) -> list[tuple]:
 
 def document_spans(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
     """Matches in each of several whole texts, all searched in one array."""
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    begins = np.cumsum(sizes + 1) - (sizes + 1)
     gap = np.full(1, _SEPARATOR, np.uint32)
     codes = np.concatenate([part for t in texts for part in (codes_of(t), gap)])
+    begins, limits = borders(codes)
     found: list[list[tuple]] = [[] for _ in texts]
     for number, start, end, edits in matches(index, codes):
-        # The end lies inside the text or right behind its last character.
-        doc = int(np.searchsorted(begins, max(end - 1, 0), side="right")) - 1
+        # No match goes beyond its document's separator.
+        doc = int(np.searchsorted(limits, end))
         low = int(begins[doc])
-        found[doc].append((number, max(start - low, 0), min(end - low, int(sizes[doc])), edits))
+        found[doc].append((number, start - low, end - low, edits))
     return [_one_per_place(f) for f in found]
 
 

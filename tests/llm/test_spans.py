@@ -118,3 +118,22 @@ def test_nothing_to_search(spark, documents):
     assert contaminated_spans(documents([]), some).count() == 0
     assert without_contaminated(documents([(1, "x")]), none).count() == 1
     assert np.array_equal(gram_hashes(codes_of("short")), np.zeros(0, np.uint64))
+
+
+def test_items_cut_at_the_border_stay_in_their_text():
+    rng = random.Random(8)
+    item = "".join(rng.choice("abcdefgh ") for _ in range(120)).strip()
+    index = Index([item_of(1, item)])
+    budget = index.items[0].edits
+    clean = "".join(rng.choice("abcdefgh ") for _ in range(200))
+    texts = []
+    for cut in range(1, budget + 1):
+        # The neighbour begins or ends with what is left out, and with chance matches.
+        texts += [clean + item[:-cut], item[-cut + 1 :] + clean, clean, clean + item[: cut - 1]]
+        texts += [item[cut:] + clean, "", clean + item[: cut + 1], "", item[cut:-1] if cut > 1 else ""]
+    alone = [search_texts(index, [t])[0] for t in texts]
+    assert search_texts(index, texts) == alone
+    pattern = index.items[0].codes.tolist()
+    for text, found in zip(texts, alone):
+        least = least_edits(pattern, codes_of(text).tolist())
+        assert [e for *_, e in found] == ([least] if least <= budget else [])
