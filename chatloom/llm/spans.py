@@ -206,29 +206,31 @@ def align(
     patterns: list[np.ndarray],
     text: np.ndarray,
     starts: np.ndarray,
-    width: int,
+    widths: np.ndarray,
     low: np.ndarray,
     high: np.ndarray,
     fixed: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Least edits of each pattern against ``text`` on its band, and where they end.
 
-    A band holds the diagonals starts[i] to starts[i] + width - 1; all bands are
-    computed together, a row of the matrix at a time. A pattern may begin and
-    end on any of its diagonals, but reads only text[low[i]:high[i]]; if ``fixed``
-    it begins at low[i].
+    A band holds the diagonals starts[i] to starts[i] + widths[i] - 1 and no others;
+    all bands are computed together, a row of the matrix at a time. A pattern may
+    begin and end on any of its diagonals, but reads only text[low[i]:high[i]]; if
+    ``fixed`` it begins at low[i].
     """
     sizes = np.array([len(p) for p in patterns])
     rows = np.full((len(patterns), sizes.max(initial=0)), _SEPARATOR + 1, dtype=np.uint32)
     for row, pattern in zip(rows, patterns):
         row[: len(pattern)] = pattern
     padded = np.append(text, np.uint32(_SEPARATOR))
-    steps = np.arange(width, dtype=np.int32)
+    steps = np.arange(widths.max(initial=1), dtype=np.int32)
+    wall = np.where(steps >= widths[:, None], _NEVER, np.int32(0))
+    walled = bool(wall.any())
     at = starts[:, None] + steps
     # Places in the text never go back: what begins inside and ends inside has read
     # nothing else, so only beginnings and ends need to be held within the limits.
     barred = at != low[:, None] if fixed else at < low[:, None]
-    cost = np.where(barred, _NEVER, np.int32(0))
+    cost = np.where(barred, _NEVER, wall)
     last = np.zeros_like(cost)
     for i in range(rows.shape[1]):
         read = padded[np.where((at >= 0) & (at < len(text)), at, len(text))]
@@ -237,6 +239,8 @@ def align(
         step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
         # An extra character of the text goes one diagonal on, at one edit each.
         cost = np.minimum.accumulate(step - steps, axis=1) + steps
+        if walled:
+            np.maximum(cost, wall, out=cost)
         at = at + 1
         ended = sizes == i + 1
         if ended.any():
@@ -252,15 +256,15 @@ def verified(index: Index, codes: np.ndarray) -> Iterator[tuple[Item, int, int]]
     order = np.argsort(index.lengths[owner], kind="stable")
     owner, document, diagonal = owner[order], document[order], diagonal[order]
     begins, limits = borders(codes)
-    width = int((index.steps + index.edits).max(initial=1))
-    many = max(1, CELLS // (16 * width))
+    widths = (index.steps + index.edits)[owner]
+    many = max(1, CELLS // (16 * int(widths.max(initial=1))))
     for at in range(0, len(owner), many):
         own, inside = owner[at : at + many], document[at : at + many]
         edits, ends = align(
             [index.items[o].codes for o in own],
             codes,
             diagonal[at : at + many],
-            width,
+            widths[at : at + many],
             begins[inside],
             limits[inside],
         )
@@ -278,7 +282,7 @@ def matches(index: Index, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
     spans = []
     for at in range(0, len(found), 256):
         part = found[at : at + 256]
-        reach = max(e for *_, e in part) + 1
+        reach = np.array([e for *_, e in part], dtype=np.int64)
         ends = np.array([end for _, end, _ in part], dtype=np.int64)
         left = len(codes) - ends
         _, back = align(

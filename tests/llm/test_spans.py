@@ -137,3 +137,21 @@ def test_items_cut_at_the_border_stay_in_their_text():
     for text, found in zip(texts, alone):
         least = least_edits(pattern, codes_of(text).tolist())
         assert [e for *_, e in found] == ([least] if least <= budget else [])
+
+
+def test_every_item_keeps_to_its_own_band():
+    rng = random.Random(9)
+    short = "".join(rng.choice("abcdefgh") for _ in range(60))
+    long = "".join(rng.choice("abcdefgh") for _ in range(1500))
+    edited = short[:20] + "z" + short[21:45] + "q" + short[46:]
+    index = Index([item_of(1, short), item_of(2, long)])
+    one = f"some words before {edited} then {short} and {long[:700]}x{long[700:]}"
+    texts = ["it ends with " + edited, short + " begins it", one, "nothing"]
+    got = search_texts(index, texts)
+    assert [sorted((n, e) for n, _, _, e in own) for own in got] == [
+        [(1, 2)], [(1, 0)], [(1, 0), (1, 2), (2, 1)], []
+    ]
+    for text, own in zip(texts, got):
+        for number, start, end, _ in own:
+            want = {edited, short} if number == 1 else {long[:700] + "x" + long[700:]}
+            assert text[start:end] in want
