@@ -54,6 +54,11 @@ def codes_of(text: str) -> np.ndarray:
     return _tables[0][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
 
 
+def searched_text(text: str) -> str:
+    """An item's text as it is searched for: lower case, words parted by one space."""
+    return "".join(map(chr, codes_of(" ".join(text.split()))))
+
+
 def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
     """A number for every run of ``q`` codes, by doubling: 1, 2, 4, ... codes."""
     if len(codes) < q:
@@ -345,10 +350,15 @@ def search_texts(index: Index, texts: list[str]) -> list[list[tuple[int, int, in
 def item_blocks(items: DataFrame, text: str = "text", key: str = "item_id") -> Iterator[list[tuple]]:
     """The items in blocks of ``BLOCK_CHARS`` characters at most, or of one item.
 
-    The driver holds one block at a time; items without a key or text are left out.
+    The driver holds one block at a time. An item is a key, which may be null, and
+    a text as it is searched for: texts of one key that differ are items of their
+    own, others are one. Only items without text are left out.
     """
-    rows = items.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"))
-    rows = rows.filter("k is not null and t is not null").distinct().orderBy("k", "t")
+    searched = F.udf(searched_text, "string")
+    rows = items.filter(F.col(text).isNotNull()).select(
+        F.col(key).cast("bigint").alias("k"), searched(F.col(text)).alias("t")
+    )
+    rows = rows.filter("t != ''").distinct().orderBy("k", "t")
     block: list[tuple] = []
     held = 0
     for row in rows.toLocalIterator():
@@ -368,7 +378,8 @@ def _index(block: list[tuple]) -> Index:
     key = hash(tuple(block))
     if key not in _indexes:
         _indexes.clear()
-        _indexes[key] = Index([i for i in (item_of(k, t) for k, t in block) if i])
+        # Numbered by their places in the block, as keys may be null or repeated.
+        _indexes[key] = Index([i for i in (item_of(n, t) for n, (_, t) in enumerate(block)) if i])
     return _indexes[key]
 
 
@@ -380,7 +391,8 @@ def contaminated_spans(
     Columns: key, ``item_id``, ``span_start`` and ``span_end`` (characters of the
     text), ``edits``. Case and kinds of white space don't count as edits. Null and
     empty texts hold nothing; repeated rows each report their own; a null key stays
-    null. Without items the result is empty.
+    null, an item's too. Different texts of one ``item_id`` are searched for each on
+    its own, items without text not at all. Without items the result is empty.
     """
     spark = df.sparkSession
     workers_find_package(spark)
@@ -396,7 +408,11 @@ def contaminated_spans(
             for batch in batches:
                 docs = batch.column("doc_id").to_pylist()
                 spans = search_texts(index, batch.column("text").to_pylist())
-                flat = [(doc, *s) for doc, own in zip(docs, spans) for s in own]
+                flat = [
+                    (doc, shared.value[n][0], *s)
+                    for doc, own in zip(docs, spans)
+                    for n, *s in own
+                ]
                 columns = list(zip(*flat)) or [[]] * 5
                 kinds = [pa.int64()] * 4 + [pa.int32()]
                 yield pa.RecordBatch.from_arrays(
@@ -411,7 +427,11 @@ def contaminated_spans(
 def without_contaminated(
     df: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """``df`` without the rows that hold an item. Each block of items is one filter."""
+    """``df`` without the rows that hold an item. Each block of items is one filter.
+
+    Items are told by their texts; an ``item_id`` that is null or repeated doesn't
+    matter. Items without text are no items.
+    """
     spark: SparkSession = df.sparkSession
     workers_find_package(spark)
     out = df

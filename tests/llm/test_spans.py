@@ -155,3 +155,21 @@ def test_every_item_keeps_to_its_own_band():
         for number, start, end, _ in own:
             want = {edited, short} if number == 1 else {long[:700] + "x" + long[700:]}
             assert text[start:end] in want
+
+
+def test_items_with_null_or_repeated_keys(spark, documents):
+    keyless = "a passage of the benchmark whose key got lost on its long way here"
+    first = "the first of two texts that stand under one and the same number there"
+    second = "quite another sentence, longer than the one before it, under this number as well"
+    items = spark.createDataFrame(
+        [(None, keyless), (7, first), (7, second), (7, second.upper()), (8, " "), (None, None)], ITEMS
+    )
+    rows = [(1, f"x {keyless} y"), (2, f"xy {first}"), (3, f"{second} z"), (4, "none of them")]
+    got = contaminated_spans(documents(rows), items).collect()
+    assert sorted(map(tuple, got)) == [
+        (1, None, 2, 2 + len(keyless), 0),
+        (2, 7, 3, 3 + len(first), 0),
+        (3, 7, 0, len(second), 0),
+    ]
+    clean = without_contaminated(documents(rows), items)
+    assert [r.doc_id for r in clean.collect()] == [4]
