@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lattice import Lattice, vocabulary
-from .tables import Scratch, text_rows
+from .tables import Scratch, packed_batch, text_rows
 
 # One text in so many is held out from learning.
 FOLDS = 10
@@ -51,15 +51,6 @@ _BLOCK = pa.schema(
 _BLOCK_DDL = "block bigint, docs binary, word string, place int, seen bigint"
 
 
-def _pack(table: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(
-        sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")
-    ) as writer:
-        writer.write_batch(table)
-    return sink.getvalue().to_pybytes()
-
-
 def _block(number: int, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """One row (place -1) with the word numbers of all texts, and one per distinct word."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(part.column("text").cast(pa.large_string())))
@@ -89,7 +80,7 @@ def _block(number: int, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     docs = pa.RecordBatch.from_arrays(
         [part.column("doc_id"), part.column("held_out"), listed(code), listed(count)], schema=_DOCS
     )
-    texts = {"block": number, "docs": _pack(docs), "word": "", "place": -1, "seen": 0}
+    texts = {"block": number, "docs": packed_batch(docs), "word": "", "place": -1, "seen": 0}
     yield pa.RecordBatch.from_pylist([texts], schema=_BLOCK)
     n = len(words)
     yield pa.RecordBatch.from_arrays(

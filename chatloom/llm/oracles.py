@@ -151,10 +151,56 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+DIVERGENCE = r"""
+WITH rows_ AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), listed AS (SELECT id, lang, source, unnest(terms) AS term FROM rows_),
+counted AS (SELECT lang, source, term, count(*) AS c FROM listed GROUP BY ALL),
+kept AS (
+  SELECT lang, term, count(*) AS c FROM listed GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM rows_),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(x.c, 0) AS c, k.c AS lang_c
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counted x USING (lang, source, term)
+), totals AS (SELECT lang, source, sum(c) AS n FROM dense GROUP BY ALL),
+shares AS (
+  SELECT d.lang, d.source, d.term, d.c,
+    (1 + 1000000000::HUGEINT * (d.c + 1) // (t.n + l.v))::BIGINT AS p,
+    (1 + 1000000000::HUGEINT * (d.lang_c + 1) // (l.n + l.v))::BIGINT AS q
+  FROM dense d JOIN totals t USING (lang, source) JOIN langs l USING (lang)
+), summed AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce(s.value, 0)::BIGINT AS value, 9223372036854775807 AS most
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value,
+    200::BIGINT AS most
+  FROM shares WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+) WHERE rank <= most
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_sharding": SHARDS,
         "op2_license_scan": LICENSES,
         "op5_fixity": FIXITY,
         "op6_nearest": NEAREST,
+        "op13_divergence": DIVERGENCE,
     }

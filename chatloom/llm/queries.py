@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixity, language, licenses, main_text, packing, quality, sharding, simhash, spans
-from . import vafile
+from . import alignment, divergence, fixity, language, licenses, main_text, packing, quality
+from . import sentence_pieces, sharding, simhash, spans, vafile
 from .tables import Scratch
 
 SHARDS = 16
@@ -104,9 +104,36 @@ def op10_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path(TOKENIZER),
+        public_tokenizers.path(PIECES),
+    )
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of what they decode to."""
+    encoded = sentence_pieces.encode_texts(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
+    )
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         op1_sharding, op2_license_scan, op3_simhash, op4_main_text, op5_fixity, op6_nearest,
         op7_decontamination, op8_quality, op9_packing, op10_language_scores,
+        op11_alignment, op12_sentence_pieces, op13_divergence,
     )
     return {f.__name__: f for f in listed}

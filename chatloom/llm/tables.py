@@ -6,6 +6,7 @@ import os
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,19 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def packed_batch(batch: pa.RecordBatch) -> bytes:
+    """A batch as one compressed value, which travels as a row's column."""
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked_batch(packed: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(packed).read_next_batch()
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores added until no column of ``df`` has that name."""
     taken = {c.lower() for c in df.columns}

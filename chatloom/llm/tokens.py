@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +31,25 @@ def _byte_values() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of whole texts, special tokens' strings being ordinary text.
+    """Ids of whole texts, as the tokenizers library gives them for the file.
 
-    Texts are cut before single spaces, where the split pattern cuts too. Every
+    Strings of the file's added tokens are these tokens if ``special``, as in a
+    tokenizer as it is loaded, and ordinary text otherwise. Texts are cut before single spaces, where the split pattern cuts too. Every
     distinct piece is encoded once and its ids are remembered. A text with white
     space before a space could be cut elsewhere and is encoded in one go.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            told = json.load(file)
+        vocabulary = told["model"]["vocab"]
+        self.added: dict[str, int] = {}
+        for token in told["added_tokens"] if special else []:
+            if any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+                raise ValueError("an added token takes more than its own string")
+            self.added[token["content"]] = token["id"]
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.adding = "|".join(map(re.escape, longest_first))
         values = _byte_values()
         ranks = {
             bytes(values[c] for c in token): number
@@ -51,6 +61,7 @@ class Encoder:
         self.core = tiktoken.Encoding(
             "published", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
+        self.ranks = ranks
         self.widths = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, number in ranks.items():
             self.widths[number] = len(token)
@@ -62,9 +73,27 @@ class Encoder:
         self.starts = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
 
+    def surfaces(self) -> list[bytes]:
+        """The bytes of every id that ordinary text can have."""
+        out = [b""] * len(self.widths)
+        for token, number in self.ranks.items():
+            out[number] = token
+        return out
+
     def one(self, text: str) -> np.ndarray:
         return self.core.encode_to_numpy(text, disallowed_special=())
 
+    def whole(self, text: str) -> np.ndarray:
+        """Ids of a text that may hold added tokens: these stand between other parts."""
+        if not self.added:
+            return self.one(text)
+        parts = re.split(f"({self.adding})", text)
+        ids = [
+            np.array([self.added[part]], dtype=np.uint32) if place % 2 else self.one(part)
+            for place, part in enumerate(parts)
+        ]
+        return np.concatenate(ids).astype(np.uint32)
+
     def learn(self, words: list[str]) -> None:
         """Remember the ids of new words, by one call for all of them."""
         # A line feed between two words is always a token of its own, unless a
@@ -121,9 +150,11 @@ class Encoder:
         """Ids of every text; a null counts as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.match_substring_regex(texts, f"[{SPACE}] ").to_numpy(zero_copy_only=False)
+        for token in self.added:
+            odd = odd | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         out: list = [None] * len(texts)
         for i in np.flatnonzero(odd):
-            out[i] = self.one(texts[i].as_py())
+            out[i] = self.whole(texts[i].as_py())
         plain = np.flatnonzero(~odd)
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)[plain]
         blocks = np.cumsum(sizes) // BLOCK_BYTES
@@ -133,11 +164,11 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per file and Python worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, special: bool = True) -> Encoder:
+    """One encoder per file, reading of added tokens, and Python worker."""
+    if (path, special) not in _encoders:
+        _encoders[path, special] = Encoder(path, special)
+    return _encoders[path, special]

@@ -18,15 +18,22 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD_TEXTS = [
     "", " ", "  ", "a  b", "a   b \n c", "\n\nfoo\n bar  ", "x ", " y", "tab\t z", "it's  don't\n\n",
     "  z", "日本語 テスト　 x", "a\x1c b", "<|endoftext|> hi", "foo\n", "😀 😀", "\x85 a \x85", "a\x0b b",
+    "a<|endoftext|> hi", "a <|endoftext|>", "x  <|endoftext|><|endoftext|>\n b", "<|endoftext|", "y <|endoftext|>z",
     "one two\nthree  four\t five", None, "  x", "ça va, très bien!", "1234 5678", "a\n b\n\n c",
 ]
 
 
+def published(special):
+    """The tokenizer as it is loaded, or with added tokens' strings as ordinary text."""
+    loaded = Tokenizer.from_file(PATH)
+    if not special:
+        loaded.encode_special_tokens = True
+    return lambda text: loaded.encode(text or "", add_special_tokens=False).ids
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
-    published = Tokenizer.from_file(PATH)
-    published.encode_special_tokens = True
-    return lambda text: published.encode(text or "", add_special_tokens=False).ids
+    return published(special=True)
 
 
 def random_texts(count):
@@ -35,9 +42,10 @@ def random_texts(count):
     return ["".join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(count)]
 
 
-def test_ids_equal_the_published_tokenizer(tokenizer, monkeypatch):
+@pytest.mark.parametrize("special", [True, False])
+def test_ids_equal_the_published_tokenizer(special, monkeypatch):
     texts = ODD_TEXTS + random_texts(1500)
-    encoder = tokens.Encoder(PATH)
+    encoder, tokenizer = tokens.Encoder(PATH, special), published(special)
     assert [x.tolist() for x in encoder.encode(pa.array(texts, pa.string()))] == [
         tokenizer(t) for t in texts
     ]

@@ -24,7 +24,7 @@ def duck():
 
 def test_all_are_registered():
     named = entry_module.queries()
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.queries()) | {"pipeline"} <= set(named)
     assert set(oracles.oracle_sql()) <= set(entry_module.oracle_sql())
 
