@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,53 +10,58 @@ from .tables import Scratch, free_name, text_rows
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
-SEED = 42
 
 # Fingerprints are looked up by halves. Of two that differ in three bits or
 # fewer, one half differs in at most one bit.
 HALF = 32
 HALF_MASK = (1 << HALF) - 1
-# Hashes turned into bits at once; bounds the memory that a very long text takes.
-BLOCK = 1 << 16
+# Two counters of 32 bits lie in one sum: those of a bit and of the one HALF above it.
+LANES = (1 << HALF) + 1
+
 
+def _words(text: Column) -> Column:
+    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.filter(F.split(lower, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
-def fingerprint(words: list[bytes], size: int = SHINGLE_WORDS) -> int:
-    """Unsigned 64-bit SimHash of a sequence of UTF-8 words; 0 without words.
 
-    A bit is 1 if it is set in over half of the shingle hashes, repeats included.
-    A sequence shorter than a shingle is one shingle.
+def fingerprints(rows: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
+    """(row, doc_id, print) for rows (row, doc_id, text), by JVM expressions alone.
+
+    A bit is 1 if it is set in over half of the hashes of all shingles, repeats
+    included; Spark's xxhash64 is XXH64 with seed 42. A text of fewer words than a
+    shingle is one shingle; without words the print is 0. The hashes of a row are
+    counted where it is read, so a row of any length is a few numbers in the shuffle.
     """
-    if not words:
-        return 0
-    if len(words) <= size:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(size))))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype="<u8")
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), BLOCK):
-        bits = np.unpackbits(
-            hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
-        )
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(sum(1 << int(i) for i in np.flatnonzero(2 * ones > len(hashes))))
-
-
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = batch.schema.get_field_index("text")
-        prints = []
-        # Text by text: the words of a whole batch would take far more memory. On
-        # bytes, lower() and split() know ASCII letters and white space only.
-        for value in batch.column(at):
-            unsigned = fingerprint(value.as_buffer().to_pybytes().lower().split())
-            prints.append(unsigned - (1 << 64) if unsigned >> 63 else unsigned)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(i) for i in range(batch.num_columns) if i != at]
-            + [pa.array(prints, pa.int64())],
-            names=[n for i, n in enumerate(batch.schema.names) if i != at] + ["print"],
-        )
+    # The words stand in a column of their own, so that no lambda splits again.
+    split = rows.select("row", "doc_id", F.explode(F.array(_words(F.col("text")))).alias("words"))
+    many = F.size("words")
+    shingle = F.transform(
+        F.slice("words", F.lit(1), F.greatest(many - (size - 1), F.lit(1))),
+        lambda w, i: F.xxhash64(
+            F.concat_ws(" ", w, *(F.get("words", i + place) for place in range(1, size)))
+        ),
+    )
+    hashes = split.select("row", "doc_id", F.explode_outer(F.when(many > 0, shingle)).alias("hash"))
+    counted = hashes.groupBy("row", "doc_id").agg(
+        F.count("hash").alias("shingles"),
+        *(
+            F.sum(F.shiftright("hash", bit).bitwiseAND(F.lit(LANES))).alias(f"ones{bit}")
+            for bit in range(HALF)
+        ),
+    )
+
+    def bits(lane: int) -> Column:
+        found = F.lit(0).cast("bigint")
+        for bit in range(HALF):
+            ones = F.col(f"ones{bit}")
+            ones = F.shiftrightunsigned(ones, HALF) if lane else ones.bitwiseAND(F.lit(HALF_MASK))
+            place = 1 << (bit + HALF * lane)
+            signed = place - (1 << 64) if place >> 63 else place
+            value = F.when(2 * ones > F.col("shingles"), F.lit(signed).cast("bigint"))
+            found = found.bitwiseOR(F.coalesce(value, F.lit(0).cast("bigint")))
+        return found
+
+    return counted.select("row", "doc_id", bits(0).bitwiseOR(bits(1)).alias("print"))
 
 
 def _half(value: Column, which: int) -> Column:
@@ -150,12 +150,7 @@ def simhash_components(numbered: DataFrame, scratch: Scratch) -> DataFrame:
     prints, so that copies never meet as pairs. ``component_id`` is the smallest
     key of the component; ``keeper`` the one row that stands for it.
     """
-    printed = scratch.put(
-        numbered.select("row", "doc_id", "text").mapInArrow(
-            _fingerprints, "row bigint, doc_id bigint, print bigint"
-        ),
-        "printed",
-    )
+    printed = scratch.put(fingerprints(numbered), "printed")
     # The smallest key comes first; a row without a key only stands for its like.
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     per_print = scratch.put(printed.groupBy("print").agg(first.alias("first")), "prints")

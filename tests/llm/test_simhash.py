@@ -6,7 +6,7 @@ from collections import Counter
 import xxhash
 
 from chatloom.llm.components import components
-from chatloom.llm.simhash import _linked, simhash_classes, without_near_copies
+from chatloom.llm.simhash import _linked, fingerprints, simhash_classes, without_near_copies
 from chatloom.llm.tables import Scratch
 
 
@@ -113,3 +113,18 @@ def test_one_row_of_each_group_stays(documents, awkward):
 def test_empty_table(documents):
     assert simhash_classes(documents([])).count() == 0
     assert without_near_copies(documents([])).count() == 0
+
+
+def test_fingerprints_need_no_python_worker(spark, documents):
+    rows = documents([(1, "one two three four"), (2, None)]).selectExpr("1L AS row", "doc_id", "text")
+    plan = fingerprints(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_fingerprint_of_a_very_long_text(spark, documents):
+    rng = random.Random(4)
+    text = " ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(300_000))
+    for value in (text, "x" * 3_000_000, "a b " * 200_000):
+        frame = documents([(1, value)]).selectExpr("1L AS row", "doc_id", "coalesce(text, '') AS text")
+        (row,) = fingerprints(frame).collect()
+        assert row.print == signed(plain_print(value))
