@@ -32,22 +32,33 @@ SIBLINGS = {
 }
 SIBLING_SCOPE = set("ul ol menu dl table select".split())
 
-# Elements and words of class, id or role that mark what isn't the article.
-ASIDE_TAGS = set(
-    "head nav footer aside form button select menu dialog svg math canvas object audio video "
-    "map applet label fieldset datalist".split()
-)
+# Elements that are never part of an article, nor anything they hold.
+ASIDE_TAGS = set("head nav footer aside button select menu svg canvas audio video applet datalist".split())
+# These are neither, unless the article stands inside of them.
+WRAPPING_TAGS = {"form", "dialog"}
+# Nouns that say what an element is if they end a token of its class, id or role, or
+# begin one that ends in a word for a part of something.
 ASIDE_WORDS = set(
     "ad ads advert adverts advertisement advertisements advertising adsense adbox sponsor sponsored "
     "sponsors promo promotion promotions banner cookie cookies consent gdpr notice notices alert "
     "alerts popup modal overlay newsletter subscribe subscription signup share sharing social "
     "sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs pagination pager "
-    "footer masthead toolbar comment comments commentlist disqus respond replies reader related "
-    "recommended recommendations widget widgets search login contentinfo complementary form "
-    "disclaimer copyright".split()
+    "footer masthead toolbar related recommended recommendations widget widgets search login "
+    "contentinfo complementary form disclaimer copyright".split()
+)
+COMMENT_WORDS = set("comment comments commentlist disqus respond replies".split())
+PART_WORDS = set(
+    "area articles bar block body box button buttons container footer header icons inner item items "
+    "left link links list panel posts right section slot text thread title top unit wrap wrapper".split()
 )
+# Before such a noun these say what an element has or lacks, not what it is.
+STATE_WORDS = set("has no not without with is open closed hide show toggle enable disable".split())
 # These mark a page's head only outside of its article.
 HEADER_WORDS = {"header", "topbar"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# How sure a mark is: SOFT ones say nothing of an element that holds the article.
+SOFT, COMMENT, HARD = 1, 2, 3
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # Within an article only these can be a site's template; paragraphs never are.
 CONTAINERS = set("div section ul ol dl table figure details".split())
 
@@ -56,9 +67,10 @@ CONTAINERS = set("div section ul ol dl table figure details".split())
 class Element:
     tag: str
     parent: int
-    aside: bool
+    mark: int
     article: bool
     main: bool
+    aside: bool = False
     parts: list[str] = field(default_factory=list)
     digest: int = 0
 
@@ -90,30 +102,75 @@ class Page:
         ]
 
 
-def _stands_aside(tag: str, rest: str, article: bool) -> bool:
-    if tag in ("html", "body", "article", "main") and "class" not in rest and "id" not in rest:
-        return False
-    if tag in ASIDE_TAGS:
-        return True
-    if tag == "header" and not article:
-        return True
-    if "=" not in rest and "hidden" not in rest:
-        return False
+def _token_mark(token: str, article: bool) -> int:
+    """What one token of a class, id or role says of its element; 0 for nothing."""
+    parts = [p.lower() for p in _PART.findall(token)]
+    if not parts or (len(parts) > 1 and parts[0] in STATE_WORDS):
+        return 0
+    words = {parts[-1], parts[0] if parts[-1] in PART_WORDS else parts[-1]}
+    if words & COMMENT_WORDS:
+        return COMMENT
+    return SOFT if words & ASIDE_WORDS or (not article and words & HEADER_WORDS) else 0
+
+
+def _mark(tag: str, rest: str, article: bool) -> int:
+    """Whether an element stands aside, by itself. Whole tokens count, as parts of
+    slugs and states do not; ids of headings and within an article are slugs, unless
+    they name the comments."""
+    if tag in ASIDE_TAGS or (tag == "header" and not article):
+        return HARD
+    found = SOFT if tag in WRAPPING_TAGS else 0
+    if tag in ("html", "body", "main") or ("=" not in rest and "hidden" not in rest):
+        return found
     for name, value in _ATTRIBUTE.findall(rest):
         name = name.lower()
         if name == "hidden":
-            return True
-        if name in ("class", "id", "role") and tag not in ("html", "body", "main"):
-            words = set(re.split(r"[^a-z]+", value.lower()))
-            if words & ASIDE_WORDS or (not article and words & HEADER_WORDS):
-                return True
-    return False
+            found = max(found, SOFT)
+        if name in ("class", "id", "role"):
+            slug = name == "id" and (article or tag in HEADINGS)
+            for token in value.strip("\"'").split():
+                mark = _token_mark(token, article)
+                if mark == COMMENT or not slug:
+                    found = max(found, 0 if tag in HEADINGS and name == "id" else mark)
+    return found
+
+
+def _settle(elements: list[Element], blocks: list[tuple[str, int]]) -> None:
+    """Decide which elements stand aside.
+
+    An article, or an element that holds one, is not aside because of a soft mark.
+    Reader comments may be articles too, and teasers in a sidebar, so comments and
+    elements such as nav or aside stay aside; but if that leaves no text at all,
+    nothing that is or holds an article is.
+    """
+
+    def held(below: int) -> list[bool]:
+        """Elements that are or hold an article; those behind a mark of at least
+        ``below`` don't count."""
+        hidden = [False] * len(elements)
+        for i, e in enumerate(elements[1:], start=1):
+            hidden[i] = hidden[e.parent] or e.mark >= below
+        out = [e.tag in ("article", "main") and not hidden[i] for i, e in enumerate(elements)]
+        for i in range(len(elements) - 1, 0, -1):
+            if out[i]:
+                out[elements[i].parent] = True
+        return out
+
+    def decide(below: int) -> None:
+        holds = held(below)
+        for i, e in enumerate(elements[1:], start=1):
+            own = e.mark and not (holds[i] and e.mark < below)
+            e.aside = elements[e.parent].aside or bool(own)
+
+    decide(COMMENT)
+    if all(elements[e].aside for _, e in blocks):
+        decide(HARD + 1)
 
 
 def parse(html: str) -> Page:
     """The elements and blocks of a page. Faulty markup never fails: what isn't closed
     ends with its parent, and what closes nothing is passed over."""
-    root = Element("", -1, False, False, False)
+    root = Element("", -1, 0, False, False)
     elements, blocks = [root], []
     stack = [0]
     buffer: list[str] = []
@@ -158,8 +215,9 @@ def parse(html: str) -> Page:
         tag = name.lower()
         rest = token["rest"] or token["rest2"] or ""
         if token["end"] or token["end2"]:
-            depth = find({tag}, set() if tag in BLOCK or tag in ASIDE_TAGS else BLOCK)
-            if depth and (tag in BLOCK or elements[stack[depth]].aside):
+            wide = tag in BLOCK or tag in ASIDE_TAGS or tag in WRAPPING_TAGS
+            depth = find({tag}, set() if wide else BLOCK)
+            if depth and (tag in BLOCK or elements[stack[depth]].mark):
                 close(depth)
             continue
         if tag in RAW:
@@ -184,21 +242,22 @@ def parse(html: str) -> Page:
                 if depth:
                     close(depth)
         inside = elements[stack[-1]]
-        aside = inside.aside or _stands_aside(tag, rest, inside.article)
-        if aside != inside.aside:
+        mark = _mark(tag, rest, inside.article)
+        if mark:
             flush()
         if rest.endswith("/") and tag not in BLOCK:
             continue
-        if tag in BLOCK or aside != inside.aside:
+        if tag in BLOCK or mark:
             elements.append(
                 Element(
                     tag,
                     stack[-1],
-                    aside,
+                    mark,
                     inside.article or tag == "article",
                     inside.main or tag == "main" or re.search(r"role\s*=\s*[\"']?main", rest) is not None,
                 )
             )
             stack.append(len(elements) - 1)
     close(1)
+    _settle(elements, blocks)
     return Page(elements, blocks)

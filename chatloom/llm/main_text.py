@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from .html import parse
 from .tables import Scratch
 
-# An element is a site's template if it stands on so many different pages of a host
-# and on such a share of them. Pages with the same article count as one.
+# An element is a site's template if it stands on so many different pages of a host,
+# and on such a share of them or on so many that the share doesn't matter: a large
+# host has several designs. Pages with the same article count as one.
 LEAST_PAGES = 8
 LEAST_SHARE = 0.3
+MANY_PAGES = 100
 JOINT = "\n\n"
 
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
@@ -120,7 +122,8 @@ def templates(pages: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("of"))
     )
     often = spread.filter(F.col("pages") >= LEAST_PAGES).join(sizes, "host")
-    return often.filter(F.col("pages") >= LEAST_SHARE * F.col("of")).select("host", "hash")
+    bar = F.least(LEAST_SHARE * F.col("of"), F.lit(MANY_PAGES))
+    return often.filter(F.col("pages") >= bar).select("host", "hash")
 
 
 def main_texts(
@@ -131,8 +134,9 @@ def main_texts(
     The text is the article's blocks in page order, white space within a block made
     one space, joined by an empty line. It lacks menus, headers, footers, sidebars,
     notices, adverts, forms, scripts, styles and readers' comments, told by element
-    and by class, id or role, and element subtrees that recur across the host's
-    pages. A null or empty page has an empty text; pages without a host keep all
+    and by whole tokens of class, id or role, and element subtrees that recur across
+    the host's pages. An element that holds the article is never left out for its
+    class, id or role. A null or empty page has an empty text; pages without a host keep all
     blocks, as there is nothing to compare them with. Repeated rows each give a row.
     """
     scratch = Scratch(df.sparkSession, "pages")
