@@ -54,6 +54,15 @@ class Scratch:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def written(self, name: str, schema: str) -> DataFrame:
+        """The tables that were put below ``name``, as one; empty without any."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return self.spark.createDataFrame([], schema)
+        read = self.spark.read.schema(schema).option("recursiveFileLookup", True)
+        return read.parquet(f"{self.folder}/{name}")
+
     def drop(self, *names: str) -> None:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")

@@ -15,8 +15,13 @@ from .tables import Scratch
 SCALE = 256
 # One cell number of a component takes one byte.
 CELLS = 256
-# Query vectors that are held against the whole file in one pass.
+# Query vectors that are held against the whole file in one pass, and their bytes.
 QUERY_BLOCK = 8192
+QUERY_BYTES = 64 << 20
+# The candidates of a query are dealt over so many slices.
+SLICES = 16
+# Scores beyond a bigint become its ends.
+LARGEST = 2**63 - 1
 # Cells of a score matrix that are computed at once.
 MATRIX = 1 << 22
 
@@ -218,9 +223,17 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _dot(a, b)
             for a, b in zip(batch.column("asked").to_pylist(), batch.column("vector").to_pylist())
         ]
+        within = [min(max(s, -LARGEST - 1), LARGEST) for s in scores]
+        # Zero unless the score is beyond a bigint: these rank by their double.
+        beyond = [float(s) if s != w else 0.0 for s, w in zip(scores, within)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("query"), batch.column("entry"), pa.array(scores, pa.int64())],
-            names=["query", "entry", "score"],
+            [
+                batch.column("query"),
+                batch.column("entry"),
+                pa.array(within, pa.int64()),
+                pa.array(beyond, pa.float64()),
+            ],
+            names=["query", "entry", "score", "beyond"],
         )
 
 
@@ -231,21 +244,38 @@ def _scored(pairs: DataFrame, entries: DataFrame) -> DataFrame:
         pairs.select("query", "entry")
         .join(asked, "query")
         .join(vectors, "entry")
-        .mapInArrow(_exact, "query bigint, entry bigint, score bigint")
+        .mapInArrow(_exact, "query bigint, entry bigint, score bigint, beyond double")
     )
 
 
 def _blocks(queries: DataFrame) -> Iterator[list[tuple]]:
-    block = []
+    """The queries in blocks of bounded number and size; the driver holds one."""
+    block, held = [], 0
     for row in queries.select("entry", "size", "vector").toLocalIterator():
-        block.append((row.entry, row.size, bytes(row.vector)))
-        if len(block) == QUERY_BLOCK:
+        if block and (len(block) == QUERY_BLOCK or held + len(row.vector) > QUERY_BYTES):
             yield block
-            block = []
+            block, held = [], 0
+        block.append((row.entry, row.size, bytes(row.vector)))
+        held += len(row.vector)
     if block:
         yield block
 
 
+def _best(rows: DataFrame, many: int, *order: Column) -> DataFrame:
+    """The first ``many`` rows of every query, with their ``place``. Spark cuts each
+    task's rows before the shuffle, so a query of many candidates brings few."""
+    over = W.partitionBy("query").orderBy(*order)
+    return rows.withColumn("place", F.row_number().over(over)).filter(F.col("place") <= many)
+
+
+def _with_bar(rows: DataFrame, bars: DataFrame) -> DataFrame:
+    """Rows (query, entry) with their query's bar, null without one; a query of many
+    rows is dealt over slices."""
+    sliced = rows.withColumn("slice", F.pmod("entry", F.lit(SLICES)))
+    every = bars.withColumn("slice", F.explode(F.array(*map(F.lit, range(SLICES)))))
+    return sliced.join(every, ["query", "slice"], "left").drop("slice")
+
+
 def nearest(
     df: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -258,7 +288,9 @@ def nearest(
     vectors of different lengths don't meet. ``is_query`` is a condition on the key.
 
     Equal vectors are one entry of the file. It names the k + 1 first of them by
-    key, as no query can need more; copies, however many, don't meet as pairs. The
+    key, as no query can need more; copies, however many, don't meet as pairs. A
+    score beyond a bigint is given as the bigint's end; such scores rank by their
+    double among themselves. The
     file is scanned once per block of queries for bounds; exact vectors are then
     read in the order of their bounds, first the best few, then the rest that the
     kth exact score doesn't rule out.
@@ -293,34 +325,30 @@ def nearest(
     file = scratch.put(approximated(entries, cells), "file")
     asked = entries.join(asking.select(F.col("query").alias("entry")).distinct(), "entry", "semi")
     schema = "query bigint, entry bigint, least double, most double"
-    bounds = df.sparkSession.createDataFrame([], schema)
     for place, block in enumerate(_blocks(asked)):
-        bounds = bounds.union(scratch.put(_bounded(file, block, cells, wanted), f"bounds-{place}"))
-    by_least = W.partitionBy("query").orderBy(F.col("least").desc())
-    by_most = W.partitionBy("query").orderBy(F.col("most").desc())
-    every = W.partitionBy("query")
+        scratch.put(_bounded(file, block, cells, wanted), f"bounds/block={place}")
+    bounds = scratch.written("bounds", schema)
     # The lower bounds of the best few rule out whatever lies below them for sure.
-    ranked = bounds.withColumn("place", F.row_number().over(by_least))
-    sure = F.max(F.when(F.col("place") == wanted, F.col("least"))).over(every)
-    able = ranked.withColumn("sure", sure).filter("sure is null or most >= sure")
-    ordered = scratch.put(able.withColumn("turn", F.row_number().over(by_most)), "ordered")
-    early = scratch.put(_scored(ordered.filter(F.col("turn") <= 2 * wanted), entries), "early")
-    by_score = W.partitionBy("query").orderBy(F.col("score").desc())
-    reached = (
-        early.withColumn("place", F.row_number().over(by_score))
-        .filter(F.col("place") == wanted)
-        .select("query", F.col("score").alias("reached"))
-    )
-    rest = ordered.filter(F.col("turn") > 2 * wanted).join(reached, "query")
-    late = _scored(rest.filter(F.col("most") >= F.col("reached")), entries)
+    sure = _best(bounds, wanted, F.col("least").desc()).filter(F.col("place") == wanted)
+    sure = sure.select("query", F.col("least").alias("sure"))
+    able = _with_bar(bounds, sure).filter("sure is null or most >= sure").drop("sure")
+    able = scratch.put(able, "able")
+    first_few = _best(able, 2 * wanted, F.col("most").desc(), F.col("entry"))
+    early = scratch.put(_scored(first_few, entries), "early")
+    reached = _best(early, wanted, F.col("score").desc()).filter(F.col("place") == wanted)
+    reached = reached.select("query", F.col("score").alias("reached"))
+    rest = _with_bar(able, reached).filter("reached is not null and most >= reached")
+    rest = rest.join(early.select("query", "entry"), ["query", "entry"], "left_anti")
+    late = _scored(rest, entries)
     found = (
         early.union(late)
         .join(entries.select("entry", F.explode("members").alias("member")), "entry")
-        .select("query", "score", "member.vec_id", F.col("member.row").alias("other"))
+        .select("query", "score", "beyond", "member.vec_id", F.col("member.row").alias("other"))
     )
-    order = [F.col("score").desc(), F.col("vec_id").asc_nulls_last(), F.col("other")]
-    few = found.withColumn("place", F.row_number().over(every.orderBy(*order)))
-    few = few.filter(F.col("place") <= wanted).drop("place")
+    order = [
+        F.col("score").desc(), F.col("beyond").desc(), F.col("vec_id").asc_nulls_last(), F.col("other"),
+    ]
+    few = _best(found, wanted, *order).drop("place")
     own = asking.select("query", F.col("row").alias("own"), F.col("vec_id").alias("query_id"))
     each = W.partitionBy("own").orderBy(*order)
     return (

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ def plain_nearest(rows, k, step):
         if vector is not None and all(x is not None and math.isfinite(x) for x in vector):
             taken.append((row, key, [math.floor(256 * x) for x in vector]))
     out = []
+    largest = 2**63 - 1
     for row, key, v in taken:
         if key is not None and key % step == 0:
             others = [
@@ -28,19 +30,24 @@ def plain_nearest(rows, k, step):
                 if at != row and len(v) == len(w)
             ]
             out += [
-                (key, rank, None if none else other, -score)
+                (key, rank, None if none else other, min(max(-score, -largest - 1), largest))
                 for rank, (score, none, other) in enumerate(sorted(others)[:k], 1)
             ]
     return sorted(out, key=repr)
 
 
+def held(value):
+    """A component as the table's float column holds it."""
+    return None if value is None else float(np.float32(value))
+
+
 def vector_rows():
     rng = random.Random(9)
     rows = [(i, [rng.randrange(-64, 64) / 256 for _ in range(6)]) for i in range(400)]
     hot = [0.25] * 6
     rows += [(1000 + i, hot) for i in range(300)]
     rows += [(2000, None), (2050, [0.1, None]), (2100, [float("nan")] * 6), (None, hot), (2150, [])]
-    rows += [(2200, [0.5, 0.5]), (2201, [0.25, 0.5]), (2250, [1e30, -1.0]), (50, hot), (50, hot), (-50, hot)]
+    rows += [(2200, [0.5, 0.5]), (2201, [0.25, 0.5]), (2250, [1e30, -1.0]), (2300, [2e30, 3.0]), (2301, [-1e30, 0.0]), (50, hot), (50, hot), (-50, hot)]
     rows += [(3000 + i, [rng.choice([0.0, 0.5]) for _ in range(6)]) for i in range(120)]
     return rows
 
@@ -48,7 +55,7 @@ def vector_rows():
 @pytest.mark.parametrize("block", [8192, 5])
 def test_nearest_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(vafile, "QUERY_BLOCK", block)
-    rows = [r for r in vector_rows() if r[1] is None or r[1][:1] != [1e30]]
+    rows = [(k, v and [held(x) for x in v]) for k, v in vector_rows()]
     frame = spark.createDataFrame([(k, v, 0) for k, v in rows], VECTORS)
     frame = frame.selectExpr("*", "1 AS row", "2 AS score", "3 AS entry")
     got = nearest(frame, F.col("vec_id") % 50 == 0, 5).collect()
