@@ -173,3 +173,21 @@ def test_items_with_null_or_repeated_keys(spark, documents):
     ]
     clean = without_contaminated(documents(rows), items)
     assert [r.doc_id for r in clean.collect()] == [4]
+
+
+def test_many_copies_in_one_text_overlap_nowhere():
+    """A repetitive item matches at many shifts of each of its copies."""
+    item = "ab ab ac " * 12
+    for copies in (120, 300, 1000):
+        text = " | ".join(item[:40] + "x" * (i % 3) + item[40:] for i in range(copies))
+        index = Index([item_of(1, item), item_of(2, item[9:])])
+        (found,) = search_texts(index, [text])
+        for number in (1, 2):
+            own = sorted((s, e) for n, s, e, _ in found if n == number)
+            assert len(own) >= copies
+            assert all(a[1] <= b[0] for a, b in zip(own, own[1:]))
+
+
+def test_budgets_as_stated():
+    edits = {n: item_of(1, "".join(chr(97 + i % 26) for i in range(n))).edits for n in (17, 18, 50, 100, 1000)}
+    assert edits == {17: 0, 18: 1, 50: 4, 100: 8, 1000: 93}
