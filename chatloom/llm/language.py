@@ -17,8 +17,6 @@ from .tables import Scratch, packed_batch, text_rows
 
 # One text in so many is held out from learning.
 FOLDS = 10
-# Pseudo-counts that the vocabulary's own weights have against the corpus.
-PRIOR = 1000.0
 SMOOTHING = 0.1
 # Text bytes whose words share one dictionary.
 BLOCK_BYTES = 16 << 20
@@ -133,55 +131,17 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _learned(words: DataFrame, prior: dict[str, float], kinds: int) -> tuple[dict, float]:
-    """Log probabilities of pieces and of the end of a text.
-
-    One step of expectation and maximisation: the vocabulary's weights share every
-    word of the training texts among all its segmentations; the expected counts of
-    the pieces and the weights as pseudo-counts give the probabilities. A word
-    counts once however often it occurs, as the pieces have to spell the new
-    words. The driver receives one row per piece of the vocabulary.
-    """
-    shared = words.sparkSession.sparkContext.broadcast({p: math.log(w) for p, w in prior.items()})
-
-    def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(shared.value)
-        counts = np.zeros(len(lattice.pieces))
-        for table in _gathered(batches):
-            counts += lattice.expected(table.column("word").to_pylist())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lattice.pieces, pa.string()), pa.array(counts)], names=["piece", "times"]
-        )
-
-    pieces = words.filter("seen > 0").select("word").mapInArrow(
-        expected, "piece string, times double"
-    )
-    counts = {r.piece: r.times for r in pieces.groupBy("piece").agg(F.sum("times").alias("times")).collect()}
-    total = sum(counts.values()) + PRIOR + kinds + 1.0
-    logs = {p: math.log((counts.get(p, 0.0) + PRIOR * w) / total) for p, w in prior.items()}
-    return logs, math.log((kinds + 1.0) / total)
-
-
-def _weighed(words: DataFrame, logs: dict[str, float], new: float, total: int) -> DataFrame:
-    """(word, seen, weight): log10 of the sum over all segmentations of the word.
-
-    A word seen in training also has one arc over its whole length, with its share
-    of the training tokens; ``new`` is the weight of the ways through pieces.
-    """
+def _weighed(words: DataFrame, logs: dict[str, float]) -> DataFrame:
+    """(word, seen, weight): log10 of the sum over all segmentations of the word."""
     shared = words.sparkSession.sparkContext.broadcast(logs)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(shared.value)
         for table in _gathered(batches):
             words = table.column("word").combine_chunks()
-            seen = table.column("seen").to_numpy()
-            weights = math.log(new) + lattice.marginals(words.to_pylist())
-            known = seen > 0
-            whole = np.log((1 - new) * seen[known] / max(total, 1))
-            weights[known] = np.logaddexp(weights[known], whole)
+            weights = lattice.marginals(words.to_pylist()) / math.log(10)
             yield from pa.table(
-                [words, pa.array(seen), pa.array(weights / math.log(10))],
-                names=["word", "seen", "weight"],
+                [words, table.column("seen"), pa.array(weights)], names=["word", "seen", "weight"]
             ).to_batches()
 
     return words.select("word", "seen").mapInArrow(weigh, "word string, seen bigint, weight double")
@@ -196,7 +156,11 @@ def language_scores(
     these seen in training texts), ``train_tokens``, ``base_score`` (single words,
     smoothed by 0.1) and ``score`` (lattice). Null and empty texts are the end
     alone. Repeated rows each count and each give a row; null keys are held out.
-    Without training texts every token has base probability 1.
+    Without training texts every token has base probability 1, and an end, which has
+    the share of ends among the training tokens, probability 1/2.
+
+    The vocabulary's own weights weigh the segmentations of a word; they are not
+    fitted to the corpus. What is learned is how often a text ends.
 
     Words don't cross white space, so the sum over the segmentations of a text is
     the product of those of its words. Every distinct word is weighed once. Texts
@@ -208,16 +172,13 @@ def language_scores(
     blocks = scratch.put(rows.mapInArrow(_blocks, _BLOCK_DDL), "blocks")
     entries = blocks.filter("place >= 0").select("block", "word", "place", "seen")
     words = scratch.put(entries.groupBy("word").agg(F.sum("seen").alias("seen")), "words")
-    told = words.agg(
-        F.sum("seen"), F.count_if(F.col("seen") > 0), F.count_if(F.col("seen") == 1)
-    ).first()
+    told = words.agg(F.sum("seen"), F.count_if(F.col("seen") > 0)).first()
     ends = rows.filter(~F.col("held_out")).count()
     total, kinds = (told[0] or 0) + ends, told[1] + (ends > 0)
-    # As many tokens will be new as are seen once now (Good and Turing).
-    new = min(max(told[2] / total, 0.01), 0.99) if total else 1.0
-    logs, end = _learned(words, vocabulary(vocabulary_path), kinds)
-    end = math.log10(new * math.exp(end) + ((1 - new) * ends / total if total else 0.0))
-    weighed = scratch.put(_weighed(words, logs, new, total), "weighed")
+    share = (ends + SMOOTHING) / (total + 2 * SMOOTHING)
+    end, onward = math.log10(share), math.log10(1 - share)
+    logs = {piece: math.log(weight) for piece, weight in vocabulary(vocabulary_path).items()}
+    weighed = scratch.put(_weighed(words, logs), "weighed")
     scale = total + SMOOTHING * (kinds + 1)
     known = entries.drop("seen").join(weighed, "word").select("block", "place", "seen", "weight")
 
@@ -226,7 +187,7 @@ def language_scores(
         place = own.column("place").to_numpy()
         seen, weight = np.zeros(size), np.zeros(size)
         seen[place] = own.column("seen").to_numpy()
-        weight[place] = own.column("weight").to_numpy()
+        weight[place] = own.column("weight").to_numpy() + onward
         base = np.log10((seen + SMOOTHING) / scale)
         parts = []
         for packed in docs.column("docs"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import sentencepiece
 
@@ -11,6 +13,9 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # any odd number mixes
 _BITS = 22
 _NOTHING = np.uint64(0x110000)  # beyond every character
 _CELLS = 1 << 20
+# Words of as many characters go by windows, one at a time.
+LONG = 1 << 12
+WINDOW = 1 << 14
 
 
 def _hash(text: str) -> int:
@@ -27,8 +32,8 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 def vocabulary(path: str) -> dict[str, float]:
     """Pieces of a published vocabulary file with prior probabilities that sum to 1.
 
-    The file's scores are negated merge ranks; a piece of rank r has weight
-    1 / (r + 1), as in Zipf's law. A byte gets the weight of the last rank. A
+    The file's scores are negated merge ranks, not logarithms; a piece of rank r has
+    weight 1 / (r + 1), as in Zipf's law. A byte gets the weight of the last rank. A
     piece with the word mark anywhere but at its start can't occur in a word.
     """
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -46,7 +51,7 @@ def vocabulary(path: str) -> dict[str, float]:
 
 
 class Lattice:
-    """Forward and backward sums over the segmentations of many words at a time.
+    """Forward sums over the segmentations of many words at a time.
 
     ``logs`` has the natural logarithm of every piece's probability. A character
     that is no piece is spelled by its UTF-8 bytes, so that any word has a
@@ -110,6 +115,7 @@ class Lattice:
         """Words of like lengths: their places, their marked texts, the longest length."""
         sizes = np.array([len(w) + 1 for w in words])
         order = np.argsort(sizes, kind="stable")
+        order = order[: np.searchsorted(sizes[order], LONG, side="right")]
         at = 0
         while at < len(order):
             least = sizes[order[at]]
@@ -120,14 +126,6 @@ class Lattice:
             yield own, [START + words[i] for i in own], int(sizes[own].max())
             at = end
 
-    def _ahead(self, arcs: list, tall: int, wide: int) -> np.ndarray:
-        """Log probability of every prefix, summed over its segmentations."""
-        ahead = np.full((tall + 1, wide), -np.inf)
-        ahead[0] = 0.0
-        for start, end, columns, _, weights in arcs:
-            ahead[end, columns] = np.logaddexp(ahead[end, columns], ahead[start, columns] + weights)
-        return ahead
-
     def marginals(self, words: list[str]) -> np.ndarray:
         """Log probability of every word, summed over all its segmentations."""
         out = np.zeros(len(words))
@@ -140,29 +138,55 @@ class Lattice:
                 )
             sizes = np.array([len(t) for t in texts])
             out[own] = ahead[sizes, np.arange(len(texts))]
+        for place, word in enumerate(words):
+            if len(word) >= LONG:
+                out[place] = self._marginal_of_long(START + word)
         return out
 
-    def expected(self, words: list[str]) -> np.ndarray:
-        """How often each piece is expected in all the words together."""
-        counts = np.zeros(len(self.pieces))
-        for _, texts, tall in self._groups(words):
-            arcs = [(*arc, self._weights(arc[3])) for arc in self._arcs(texts, tall)]
-            ahead = self._ahead(arcs, tall, len(texts))
-            sizes = np.array([len(t) for t in texts])
-            every = np.arange(len(texts))
-            total = ahead[sizes, every]
-            behind = np.full_like(ahead, -np.inf)
-            behind[sizes, every] = 0.0
-            for start, end, columns, numbers, weights in reversed(arcs):
-                rest = weights + behind[end, columns]
-                behind[start, columns] = np.logaddexp(behind[start, columns], rest)
-                share = np.exp(ahead[start, columns] + rest - total[columns])
-                known = numbers >= 0
-                counts += np.bincount(numbers[known], share[known], minlength=len(counts))
-                for code in np.unique(numbers[~known]):
-                    for number in self._spelled(chr(-1 - code)):
-                        counts[number] += share[numbers == code].sum()
-        return counts
+    def _window(self, codes: np.ndarray, start: int, end: int):
+        """(start, end, weight) lists of the arcs that begin in a stretch of one text,
+        in the order of their starts, which count from the stretch's."""
+        found = []
+        hashes = np.zeros(end - start, dtype=np.uint64)
+        for size in range(1, min(self.longest, len(codes) - start) + 1):
+            # An arc ends within the text, so the last ones of it are shorter.
+            hashes = hashes[: len(codes) - start - size + 1]
+            behind = codes[start + size - 1 : start + size - 1 + len(hashes)]
+            hashes = hashes * _MULTIPLIER + behind + np.uint64(1)
+            places = np.flatnonzero(self.marked[_slot(hashes)])
+            at = np.minimum(np.searchsorted(self.hashes, hashes[places]), len(self.hashes) - 1)
+            real = self.hashes[at] == hashes[places]
+            places, numbers = places[real], self.numbers[at[real]]
+            if size == 1:
+                lone = np.ones(len(hashes), dtype=bool)
+                lone[places] = False
+                lone = np.flatnonzero(lone)
+                places = np.concatenate([places, lone])
+                spelled = -1 - behind[lone].astype(np.int64)
+                numbers = np.concatenate([numbers, spelled])
+            found.append((places, places + size, self._weights(numbers)))
+        starts, ends, weights = (np.concatenate(parts) for parts in zip(*found))
+        order = np.argsort(starts, kind="stable")
+        return starts[order].tolist(), ends[order].tolist(), weights[order].tolist()
+
+    def _marginal_of_long(self, text: str) -> float:
+        """The same for one long text: only the sums of the next ``longest`` places
+        are carried from window to window."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        codes = codes.astype(np.uint64)
+        carried = [0.0] + [-math.inf] * self.longest
+        for start in range(0, len(codes), WINDOW):
+            end = min(start + WINDOW, len(codes))
+            ahead = carried + [-math.inf] * (end - start)
+            for a, b, weight in zip(*self._window(codes, start, end)):
+                new, old = ahead[a] + weight, ahead[b]
+                more, less = (new, old) if new > old else (old, new)
+                if less == -math.inf:
+                    ahead[b] = more
+                else:
+                    ahead[b] = more + math.log1p(math.exp(less - more))
+            carried = ahead[end - start : end - start + self.longest + 1]
+        return carried[0]
 
 
 def byte_pieces(char: str) -> list[str]:
