@@ -122,7 +122,7 @@ class Gate:
         on_surveys = rules(constraints.survey_row_rules())
         if on_profile:
             parts.append(broken_rules(profile, on_profile, "chat_id"))
-        if on_ends and sequence.has_tied_ends(profile):
+        if on_ends:
             parts.append(broken_rules(sequence.tied_ends(events, profile), on_ends, "chat_id"))
         if on_events:
             parts.append(broken_rules(events, on_events, "event_id"))

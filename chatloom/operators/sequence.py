@@ -21,7 +21,6 @@ from ..schemas import (
     PUSHED,
     STARTED,
 )
-from ..session import materialize
 from .constraints import violations
 from .profile import chat_ends, chat_profile
 from .running import running_totals
@@ -91,11 +90,14 @@ def ends_rules() -> dict[str, Column]:
 
 
 def tied_ends(events: DataFrame, profile: DataFrame) -> DataFrame:
-    """First and last event types of the chats that their moments don't decide."""
+    """First and last event types of the chats that their moments don't decide.
+
+    Such chats are rare: without any the events are not read, as the condition on
+    them is known before.
+    """
     chats = profile.where(_tied_ends()).select(F.col("chat_id").alias("tied"))
-    return chat_ends(
-        events.join(chats, F.col("chat_id").eqNullSafe(F.col("tied")), "left_semi")
-    )
+    some = events.where(chats.exists())
+    return chat_ends(some.join(chats, F.col("chat_id").eqNullSafe(F.col("tied")), "left_semi"))
 
 
 def tied_ends_rules() -> dict[str, Column]:
@@ -106,10 +108,6 @@ def tied_ends_rules() -> dict[str, Column]:
     }
 
 
-def has_tied_ends(profile: DataFrame) -> bool:
-    return not profile.where(_tied_ends()).isEmpty()
-
-
 def equal_timestamps(events: DataFrame) -> DataFrame:
     """V3: timestamps of a chat strictly increase.
 
@@ -236,10 +234,8 @@ def chat_rule(rule_id: str, events: DataFrame, surveys: DataFrame) -> DataFrame:
     if rule_id == "P8":
         return violations("P8", agents_over_capacity(chat_profile(events)), "agent_id")
     if rule_id in (ends := ends_rules()):
-        profile = materialize(chat_profile(events), "ends-profile")
+        profile = chat_profile(events)
         found = violations(rule_id, profile.where(ends[rule_id]), "chat_id")
-        if not has_tied_ends(profile):
-            return found
         tied = tied_ends(events, profile).where(tied_ends_rules()[rule_id])
         return found.unionByName(violations(rule_id, tied, "chat_id"))
     if rule_id in (own := event_profile_rules()):

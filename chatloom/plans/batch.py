@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
@@ -17,9 +17,13 @@ from ..operators.profile import chat_profile
 from ..operators.replacement import EVENT_DATE
 from ..schemas import CHAT_EVENTS, SURVEYS
 from ..session import materialize, scratch_scope
+from ..sources.commits import CommitConflict, MissingTable
 from ..sources.deliveries import write_deliveries
 from ..sources.raw_layer import RawLayer, conform_delivery
-from .mart import Mart, build_mart, current_version, fact_dates, load_mart, publish_mart
+from .mart import Mart, Published, build_mart, publish_mart, published
+
+# How often a refresh that another one overtakes is tried in all.
+REFRESH_ATTEMPTS = 3
 
 
 def select_dates(
@@ -76,20 +80,49 @@ def mart_violations(source: DataFrame, mart: Mart) -> DataFrame:
     return found
 
 
+def _last_consistent(raw: RawLayer, mart_root: str) -> Published | None:
+    """The mart published last; a raw layer older than what it shows has lost commits."""
+    old = published(raw.spark, mart_root)
+    if old is not None and old.raw_commit > raw.commit_number():
+        raise MissingTable(f"{raw.root} is behind {mart_root}: commits of loads are lost")
+    return old
+
+
+def pending_chats(raw: RawLayer, mart_root: str) -> DataFrame:
+    """Chats that loads have touched since the mart was refreshed last."""
+    old = published(raw.spark, mart_root)
+    return raw.touched_since(old.raw_commit if old else 0)[0]
+
+
+def _unless_overtaken(attempt: Callable[[RawLayer, str], None], raw: RawLayer, root: str) -> None:
+    """Run a refresh; one that another refresh overtook starts again from its result."""
+    for left in reversed(range(REFRESH_ATTEMPTS)):
+        try:
+            return attempt(raw.pinned(), root)
+        except CommitConflict:
+            if not left:
+                raise
+
+
 def refresh(raw: RawLayer, mart_root: str) -> None:
     """Check the whole raw layer and rebuild the mart from it.
 
     The profile is written once; gate and fact both read it. A broken rule of
-    the gate or of the mart raises before anything is published.
+    the gate or of the mart raises before anything is published. Rows that a load
+    adds meanwhile are left to the next refresh, which finds them pending.
     """
+    _unless_overtaken(_refresh_all, raw, mart_root)
+
+
+def _refresh_all(raw: RawLayer, mart_root: str) -> None:
+    last = _last_consistent(raw, mart_root)
     events, surveys = raw.events(), raw.surveys()
     profile = materialize(chat_profile(events, surveys), "profile")
     source_gate.check(events, surveys, profile)
-    old = load_mart(raw.spark, mart_root)
-    mart = build_mart(events, surveys, old, profile).materialized("refreshed")
+    old, highest = (last.mart(), last.highest_key) if last else (None, None)
+    mart = build_mart(events, surveys, old, profile, highest).materialized("refreshed")
     require(mart_violations(fact_source(profile), mart), MART_CONSTRAINTS)
-    publish_mart(mart, mart_root)
-    raw.clear_pending_chats()
+    publish_mart(mart, mart_root, last, raw.commit_number())
 
 
 def refresh_touched(raw: RawLayer, mart_root: str) -> None:
@@ -98,16 +131,23 @@ def refresh_touched(raw: RawLayer, mart_root: str) -> None:
     All rules of the gate concern single chats and the other chats passed
     before, so the result equals a full refresh. Only the date partitions in
     which a touched chat was or now is are written anew, in a new version that
-    takes the others over from the versions before.
+    takes the others over from the versions before. What is read is bounded by the
+    spans of the touched chats: partitions of events, surveys and fact whose spans
+    they don't meet are not opened, and the highest key comes from the version.
     """
-    spark = raw.spark
-    old = load_mart(spark, mart_root)
-    if old is None:
-        return refresh(raw, mart_root)
-    touched = materialize(raw.pending_chats().distinct(), "touched")
+    _unless_overtaken(_refresh_touched, raw, mart_root)
+
+
+def _refresh_touched(raw: RawLayer, mart_root: str) -> None:
+    last = _last_consistent(raw, mart_root)
+    if last is None:
+        return _refresh_all(raw, mart_root)
+    old = last.mart()
+    touched, spans = raw.touched_since(last.raw_commit)
+    touched = materialize(touched, "touched")
     # The touched chats' rows are read out once.
-    events = materialize(matching(raw.events(), "chat_id", touched), "touched-events")
-    surveys = materialize(matching(raw.surveys(), "chat_id", touched), "touched-surveys")
+    events = materialize(matching(raw.events_of(spans), "chat_id", touched), "touched-events")
+    surveys = materialize(matching(raw.surveys_of(spans), "chat_id", touched), "touched-surveys")
     profile = materialize(chat_profile(events, surveys), "touched-profile")
     source_gate.check(events, surveys, profile)
 
@@ -120,28 +160,27 @@ def refresh_touched(raw: RawLayer, mart_root: str) -> None:
     keyed = with_dimension_keys(
         fact_source(profile), dim_agent, old.dim_resolution_type, old.dim_survey_response
     )
-    fact = old.fact_chat_resolution
-    former = materialize(matching(fact, "chat_id", touched), "touched-fact")
-    highest = fact.agg(F.max("chat_fact_key")).first()[0]
-    fresh = materialize(synchronise(former, keyed, highest), "fresh-fact")
+    fact = last.fact_table()
+    former = matching(fact.read(fact.holding("chat_id", spans)), "chat_id", touched)
+    former = materialize(former, "touched-fact")
+    fresh = materialize(synchronise(former, keyed, last.highest_key), "fresh-fact")
     changed = Mart(dim_date, dim_agent, old.dim_resolution_type, old.dim_survey_response, fresh)
     require(mart_violations(fact_source(profile), changed), MART_CONSTRAINTS)
 
-    def days(df: DataFrame) -> set[int]:
-        return {row.date_key for row in df.select("date_key").distinct().collect()}
+    def days(df: DataFrame) -> set[str]:
+        return {str(row.date_key) for row in df.select("date_key").distinct().collect()}
 
-    rewritten = sorted(days(former) | days(fresh))
+    rewritten = days(former) | days(fresh)
     staged = (
-        fact.where(F.col("date_key").isin(*rewritten))
+        fact.read(sorted(rewritten & fact.parts.keys()))
         .join(touched, "chat_id", "left_anti")
-        .select(*fact.columns)
+        .select(*fact.schema.fieldNames())
         .unionByName(fresh)
         .repartitionByRange("date_key", "chat_id")
     )
-    before = fact_dates(spark, mart_root, current_version(spark, mart_root))
-    kept = {day: version for day, version in before.items() if day not in rewritten}
-    publish_mart(replace(changed, fact_chat_resolution=staged), mart_root, kept)
-    raw.clear_pending_chats()
+    kept = [day for day in fact.parts if day not in rewritten]
+    changed = replace(changed, fact_chat_resolution=staged)
+    publish_mart(changed, mart_root, last, raw.commit_number(), kept)
 
 
 def run_batch(
@@ -164,6 +203,7 @@ def run_batch(
     fails; the mart then keeps its former state.
     """
     raw = RawLayer(spark, f"{root}/raw")
+    raw.create()
     wanted = F.col("source_date").isin(*dates)
     totals = RunTotals(0, 0, 0)
     with scratch_scope(spark):
@@ -176,9 +216,7 @@ def run_batch(
             )
             if backup_root:
                 write_deliveries(events, surveys, backup_root, dates)
-            if rejects is not None:
-                raw.store_rejects(rejects, dates)
-            log = raw.load(events, surveys, dates, replace_by)
+            log = raw.load(events, surveys, dates, replace_by, rejects)
             totals = RunTotals(**run_totals(log).first().asDict())
         if full_refresh:
             refresh(raw, f"{root}/mart")

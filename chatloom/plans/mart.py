@@ -19,22 +19,12 @@ from ..schemas import (
     FACT_CHAT_RESOLUTION,
 )
 from ..session import materialize
-from ..sources.folders import delete_folder, names_in, read_or_empty
-
-# Which version's folder holds the fact rows of a date.
-FACT_DATES = T.StructType(
-    [
-        T.StructField("date_key", T.IntegerType(), False),
-        T.StructField("written_by", T.LongType(), False),
-    ]
-)
+from .daily_sums import DAILY_SUMS, daily_sums
+from ..sources.commits import Commits, StoredTable, fresh_folder, summaries
+from ..sources.folders import delete_folder, names_in
+
 FACT = "fact_chat_resolution"
-VERSIONS = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("published_at", T.TimestampType(), False),
-    ]
-)
+SUMS = "daily_sums"
 
 
 @dataclass(frozen=True)
@@ -70,11 +60,12 @@ def build_mart(
     surveys: DataFrame,
     old: Mart | None = None,
     profile: DataFrame | None = None,
+    highest_key: int | None = None,
 ) -> Mart:
     """Dimensions and fact for the whole raw layer, keeping the keys of ``old``.
 
     The raw layer must have passed the gate. Pass ``profile`` when it is
-    already written.
+    already written, and ``highest_key`` when the old fact's is known.
     """
     spark = events.sparkSession
     profile = chat_profile(events, surveys) if profile is None else profile
@@ -90,7 +81,7 @@ def build_mart(
         dim_agent=agents,
         dim_resolution_type=resolutions,
         dim_survey_response=responses,
-        fact_chat_resolution=synchronise(old and old.fact_chat_resolution, keyed),
+        fact_chat_resolution=synchronise(old and old.fact_chat_resolution, keyed, highest_key),
     )
 
 
@@ -110,16 +101,74 @@ def natural_fact(mart: Mart) -> DataFrame:
     )
 
 
-def _versions(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(spark, f"{root}/versions", VERSIONS)
+def _versions(spark: SparkSession, root: str) -> Commits:
+    return Commits(spark, f"{root}/versions")
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    return _versions(spark, root).agg(F.max("version")).first()[0]
+    """The version published last, None before the first one.
+
+    Versions that are gone while tables of theirs remain are an error: a mart
+    that began anew would hand out keys a second time.
+    """
+    commits = _versions(spark, root)
+    number = commits.last()
+    if not number:
+        commits.require_none(root, ["dimensions", FACT, SUMS])
+    return number or None
+
+
+@dataclass(frozen=True)
+class Published:
+    """A version of the mart and what its commit says of it.
+
+    ``highest_key`` is the highest ``chat_fact_key`` handed out so far, and
+    ``raw_commit`` the commit of the raw layer that the version shows: loads up to
+    it are consumed.
+    """
+
+    spark: SparkSession
+    root: str
+    number: int
+    state: dict
+
+    @property
+    def highest_key(self) -> int:
+        return self.state["highest_key"]
+
+    @property
+    def raw_commit(self) -> int:
+        return self.state["raw_commit"]
+
+    def _by_date(self, name: str, schema: T.StructType) -> StoredTable:
+        return StoredTable(
+            self.spark,
+            f"{self.root}/{name}",
+            schema,
+            ["date_key"],
+            self.state["dates"],
+            self.state["written"],
+        )
+
+    def fact_table(self) -> StoredTable:
+        return self._by_date(FACT, FACT_CHAT_RESOLUTION)
+
+    def daily_sums(self) -> DataFrame:
+        """The sums of every date, each written with the date's fact rows."""
+        return self._by_date(SUMS, DAILY_SUMS).read()
+
+    def mart(self) -> Mart:
+        base = dimensions_path(self.root, self.state)
+        tables = {
+            name: _strict(self.spark, f"{base}/{name}", schema)
+            for name, schema in SCHEMAS.items()
+            if name != FACT
+        }
+        return Mart(**tables, **{FACT: self.fact_table().read()})
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root}/version={version:06d}"
+def dimensions_path(root: str, state: dict) -> str:
+    return f"{root}/dimensions/load={state['folder']}"
 
 
 def _strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -127,84 +176,78 @@ def _strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def fact_dates(spark: SparkSession, root: str, version: int) -> dict[int, int]:
-    """The version that wrote each date of the fact: one row per calendar day."""
-    rows = _strict(spark, f"{version_path(root, version)}/fact_dates", FACT_DATES).collect()
-    return {row.date_key: row.written_by for row in rows}
-
-
-def _fact(spark: SparkSession, root: str, dates: dict[int, int]) -> DataFrame:
-    if not dates:
-        return spark.createDataFrame([], FACT_CHAT_RESOLUTION)
-    paths = [
-        f"{root}/{FACT}/version={version}/date_key={day}" for day, version in sorted(dates.items())
-    ]
-    reader = spark.read.option("basePath", f"{root}/{FACT}").schema(FACT_CHAT_RESOLUTION)
-    return reader.parquet(*paths).select(*FACT_CHAT_RESOLUTION.fieldNames())
+def published(spark: SparkSession, root: str, number: int | None = None) -> Published | None:
+    """The version published last, or that of a number; None if there is none yet."""
+    number = number or current_version(spark, root)
+    if number is None:
+        return None
+    return Published(spark, root, number, _versions(spark, root).read(number))
 
 
 def load_mart(spark: SparkSession, root: str) -> Mart | None:
     """The mart that was published last, or None if there is none yet."""
-    version = current_version(spark, root)
-    if version is None:
-        return None
-    base = version_path(root, version)
-    dimensions_ = {
-        name: _strict(spark, f"{base}/{name}", schema)
-        for name, schema in SCHEMAS.items()
-        if name != FACT
-    }
-    return Mart(**dimensions_, **{FACT: _fact(spark, root, fact_dates(spark, root, version))})
+    last = published(spark, root)
+    return None if last is None else last.mart()
 
 
-def publish_mart(mart: Mart, root: str, kept: dict[int, int] | None = None) -> int:
-    """Publish the dimensions and the fact rows of ``mart`` as a new version.
+def publish_mart(
+    mart: Mart, root: str, old: Published | None, raw_commit: int, kept: list[str] | None = None
+) -> int:
+    """Publish the dimensions and the fact rows of ``mart`` as the version after ``old``.
 
     ``kept`` are dates of the fact that stay as earlier versions wrote them; the
-    mart's fact has the rows of all others. Nothing of an earlier version is
-    touched, and the version log gets its row last: a job that dies on the way
-    leaves the former version current, and readers never see anything in between.
+    mart's fact has the rows of all others. Rows go into folders of this call's
+    own; then one commit makes them the current version and the loads up to
+    ``raw_commit`` consumed. A job that dies before leaves the former version
+    current, and ``CommitConflict`` tells that another refresh came first.
     """
     spark = mart.fact_chat_resolution.sparkSession
-    version = (current_version(spark, root) or 0) + 1
-    base = version_path(root, version)
+    folder = fresh_folder()
+    state = {"folder": folder, "raw_commit": raw_commit}
     for name in SCHEMAS:
         if name != FACT:
-            getattr(mart, name).write.mode("overwrite").parquet(f"{base}/{name}")
-    written = f"{root}/{FACT}/version={version}"
-    mart.fact_chat_resolution.write.mode("overwrite").partitionBy("date_key").parquet(written)
-    own = {
-        int(name.removeprefix("date_key=")): version
-        for name in names_in(spark, written)
-        if name.startswith("date_key=")
-    }
-    dates = spark.createDataFrame(sorted({**(kept or {}), **own}.items()), FACT_DATES)
-    dates.coalesce(1).write.mode("overwrite").parquet(f"{base}/fact_dates")
-    stamp = spark.range(1).select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.current_timestamp().alias("published_at"),
-    )
-    stamp.coalesce(1).write.mode("append").parquet(f"{root}/versions")
-    return version
+            getattr(mart, name).write.mode("errorifexists").parquet(
+                f"{dimensions_path(root, state)}/{name}"
+            )
+    path = f"{root}/{FACT}/load={folder}"
+    mart.fact_chat_resolution.write.mode("errorifexists").partitionBy("date_key").parquet(path)
+    rows = _strict(spark, path, FACT_CHAT_RESOLUTION)
+    daily_sums(rows).repartition("date_key").write.mode("errorifexists").partitionBy(
+        "date_key"
+    ).parquet(f"{root}/{SUMS}/load={folder}")
+    own = summaries(rows, ["date_key"], ["chat_id", "chat_fact_key"])
+    before = old.state if old else {"dates": {}, "written": {}, "highest_key": 0}
+    state["dates"] = {day: before["dates"][day] for day in kept or []}
+    state["dates"] |= {day: {folder: summary} for day, summary in own.items()}
+    used = {f for folders in state["dates"].values() for f in folders}
+    written = {**before["written"], folder: len(own)}
+    state["written"] = {f: many for f, many in written.items() if f in used}
+    highest = (summary["chat_fact_key"][1] for summary in own.values())
+    state["highest_key"] = max([before["highest_key"], *highest])
+    number = old.number + 1 if old else 1
+    _versions(spark, root).add(number, state)
+    return number
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
-    """Delete what only versions before the last ``keep`` use; readers must have moved on."""
+    """Delete what only versions before the last ``keep`` use, and what refreshes that
+    died have left; readers must have moved on and no refresh may be running."""
     current = current_version(spark, root)
     if current is None:
         return
-    needed = range(max(1, current - keep + 1), current + 1)
-    used = {
-        (written_by, day)
-        for version in needed
-        for day, written_by in fact_dates(spark, root, version).items()
-    }
-    for version in range(1, needed.start):
-        delete_folder(spark, version_path(root, version))
-        folder = f"{root}/{FACT}/version={version}"
-        for name in names_in(spark, folder):
-            if name.startswith("date_key=") and (version, int(name[9:])) not in used:
-                delete_folder(spark, f"{folder}/{name}")
+    commits = _versions(spark, root)
+    states = [commits.read(n) for n in range(max(1, current - keep + 1), current + 1)]
+    dimensions_ = {state["folder"] for state in states}
+    used = {folder for s in states for folders in s["dates"].values() for folder in folders}
+    for entry in names_in(spark, f"{root}/dimensions"):
+        if entry.removeprefix("load=") not in dimensions_:
+            delete_folder(spark, f"{root}/dimensions/{entry}")
+    for table in (FACT, SUMS):
+        for entry in names_in(spark, f"{root}/{table}"):
+            if entry.removeprefix("load=") not in used:
+                delete_folder(spark, f"{root}/{table}/{entry}")
+    for number in range(1, current - keep + 1):
+        delete_folder(spark, commits.path(number))
 
 
 def register_views(mart: Mart) -> None:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
-from datetime import date
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.replacement import INGESTION_DATE
-from ..session import scratch_root
+from ..operators.replacement import EVENT_DATE, INGESTION_DATE
+from ..session import scratch_root, scratch_scope
 from ..sources.deliveries import (
     DATE_FORMAT,
     TIMESTAMP_FORMAT,
@@ -28,22 +28,34 @@ from ..sources.order_chats import (
     four_hours_late,
 )
 from ..sources.raw_layer import RawLayer
-from .batch import run_batch
-from .mart import load_mart, natural_fact
+from . import daily_sums
+from .batch import refresh_touched, run_batch, select_dates
+from .mart import Published, current_version, natural_fact, published
 
 AGAIN = date(1997, 2, 1)
+WITHDRAWN = (date(1996, 5, 2), date(1998, 3, 4))
 DAMAGE_STEP = 97
 FIRST_DAY = date(1997, 1, 1)
 DAYS = 60
 
-_runs: dict[tuple[str, str], _Run] = {}
+_runs: dict[tuple[str, str, str], _Run] = {}
 _backups: dict[tuple[str, str], Deliveries] = {}
 
 
 @dataclass(frozen=True)
 class _Run:
+    """A raw layer and its mart, with the commits and versions that queries look at."""
+
     raw: RawLayer
     mart_root: str
+    commits: dict[str, int]
+    versions: dict[str, int]
+
+    def raw_at(self, moment: str) -> RawLayer:
+        return replace(self.raw, at=self.commits[moment])
+
+    def mart_at(self, moment: str) -> Published:
+        return published(self.raw.spark, self.mart_root, self.versions[moment])
 
 
 def _fresh_folder(spark: SparkSession, label: str) -> str:
@@ -51,7 +63,12 @@ def _fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def _calendar(events: DataFrame) -> list[date]:
-    """The delivery dates: one value per calendar day."""
+    """Every day from the first delivery to the day after the last."""
+    first, last = events.agg(F.min("source_date"), F.max("source_date")).first()
+    return select_dates(start=first, end=last + timedelta(days=1)) if first else []
+
+
+def _months(events: DataFrame) -> list[date]:
     return sorted(row.source_date for row in events.select("source_date").distinct().collect())
 
 
@@ -75,33 +92,132 @@ def within_days(log: ChatLog) -> ChatLog:
     return ChatLog(moved, log.numbered_surveys)
 
 
-def _after_runs(spark: SparkSession, sf_dir: str) -> _Run:
-    """A run of all dates, then one date delivered again with half of its chats.
-
-    Both refresh incrementally. Written once per application.
+def _failing_load(raw: RawLayer, events: DataFrame, surveys: DataFrame) -> None:
+    """A load that dies after it has written its events and surveys."""
+    line = F.raise_error("the disk is full").cast("string").alias("line")
+    rejects = raw.spark.range(1).select(
+        F.lit(AGAIN).alias("source_date"), F.lit("chat_logs").alias("source"), line
+    )
+    try:
+        raw.load(events, surveys, [AGAIN], INGESTION_DATE, rejects)
+    except Exception as died:
+        if "the disk is full" not in str(died):
+            raise
+    else:
+        raise AssertionError("the load should have died")
+
+
+def _after_runs(spark: SparkSession, sf_dir: str, replace_by: str) -> _Run:
+    """A run of every calendar day, then one day delivered again with half of its chats.
+
+    By ingestion date both refresh incrementally, a load that dies comes before the
+    second run, and after it two days are withdrawn, one while the mart is being
+    refreshed for the other. By event date both refresh fully. Written once per
+    application.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _runs:
-        events, surveys = _numbered(within_days(four_hours_late(chat_log(spark, sf_dir))))
-        root = _fresh_folder(spark, "runs")
-        run_batch(spark, root, events, surveys, _calendar(events), INGESTION_DATE)
-        half = F.col("n") % 2 == 0
-        run_batch(spark, root, events.where(half), surveys.where(half), [AGAIN], INGESTION_DATE)
-        _runs[key] = _Run(RawLayer(spark, f"{root}/raw"), f"{root}/mart")
+    key = (spark.sparkContext.applicationId, sf_dir, replace_by)
+    if key in _runs:
+        return _runs[key]
+    events, surveys = _numbered(four_hours_late(chat_log(spark, sf_dir)))
+    root = _fresh_folder(spark, "runs")
+    raw, mart_root = RawLayer(spark, f"{root}/raw"), f"{root}/mart"
+    commits, versions = {}, {}
+
+    def note(moment: str) -> None:
+        commits[moment], versions[moment] = raw.commit_number(), current_version(spark, mart_root)
+
+    full = replace_by == EVENT_DATE
+    run_batch(spark, root, events, surveys, _calendar(events), replace_by, full_refresh=full)
+    half = F.col("n") % 2 == 0
+    some = events.where(half), surveys.where(half)
+    if not full:
+        _failing_load(raw, *some)
+        note("failed")
+    run_batch(spark, root, *some, [AGAIN], replace_by, full_refresh=full)
+    note("reloaded")
+    if not full:
+        nothing = events.limit(0), surveys.limit(0)
+        with scratch_scope(spark):
+            raw.load(*nothing, [WITHDRAWN[0]], replace_by)
+            earlier = raw.pinned()
+            raw.load(*nothing, [WITHDRAWN[1]], replace_by)
+            refresh_touched(earlier, mart_root)
+            note("first")
+            refresh_touched(raw, mart_root)
+            note("second")
+    _runs[key] = _Run(raw, mart_root, commits, versions)
     return _runs[key]
 
 
 def raw_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _after_runs(spark, sf_dir).raw.events()
+    return _after_runs(spark, sf_dir, INGESTION_DATE).raw_at("reloaded").events()
+
+
+def surveys_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after_runs(spark, sf_dir, INGESTION_DATE).raw_at("reloaded").surveys()
+
+
+def raw_after_event_date_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after_runs(spark, sf_dir, EVENT_DATE).raw_at("reloaded").events()
+
+
+def surveys_after_event_date_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after_runs(spark, sf_dir, EVENT_DATE).raw_at("reloaded").surveys()
 
 
 def batch_log_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _after_runs(spark, sf_dir).raw.batch_log()
-    return log.select("source_date", "source_chat_count", "source_event_count")
+    """Also whether every load has its time: later ones are not earlier."""
+    log = _after_runs(spark, sf_dir, INGESTION_DATE).raw_at("reloaded").batch_log()
+    return log.select(
+        "batch_id",
+        "source_date",
+        "source_chat_count",
+        "source_event_count",
+        (F.col("loaded_at") <= F.current_timestamp()).alias("loaded"),
+    )
+
+
+def raw_after_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per day after the load that died, and after its repetition."""
+    run = _after_runs(spark, sf_dir, INGESTION_DATE)
+
+    def counted(moment: str) -> DataFrame:
+        per_day = run.raw_at(moment).events().groupBy("ingestion_date")
+        return per_day.agg(
+            F.count("*").alias("events"), F.countDistinct("chat_id").alias("chats")
+        ).select(F.lit(moment).alias("stage"), "ingestion_date", "events", "chats")
+
+    return counted("failed").unionByName(counted("reloaded"))
 
 
 def mart_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return natural_fact(load_mart(spark, _after_runs(spark, sf_dir).mart_root))
+    return natural_fact(_after_runs(spark, sf_dir, INGESTION_DATE).mart_at("reloaded").mart())
+
+
+def mart_after_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return natural_fact(_after_runs(spark, sf_dir, EVENT_DATE).mart_at("reloaded").mart())
+
+
+def mart_after_two_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a refresh that a load met on its way, and of the refresh after it."""
+    run = _after_runs(spark, sf_dir, INGESTION_DATE)
+    first, second = (
+        natural_fact(run.mart_at(m).mart()).withColumn("stage", F.lit(m)) for m in ("first", "second")
+    )
+    return first.unionByName(second)
+
+
+def kpi_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily key figures of the incremental refresh, from its stored sums."""
+    last = _after_runs(spark, sf_dir, INGESTION_DATE).mart_at("reloaded")
+    mart = last.mart()
+    return daily_sums.kpi_daily(last.daily_sums(), mart.dim_date, mart.dim_agent)
+
+
+def agent_performance_after_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = _after_runs(spark, sf_dir, INGESTION_DATE).mart_at("reloaded")
+    mart = last.mart()
+    return daily_sums.agent_performance(last.daily_sums(), mart.dim_date, mart.dim_agent)
 
 
 def _backed_up(spark: SparkSession, sf_dir: str) -> Deliveries:
@@ -113,7 +229,7 @@ def _backed_up(spark: SparkSession, sf_dir: str) -> Deliveries:
         events = delivered_events(log).withColumn("source_date", month)
         surveys = delivered_surveys(log).withColumn("source_date", month)
         late = delivered_events(four_hours_late(log)).withColumn("source_date", month)
-        root, dates = _fresh_folder(spark, "backup"), _calendar(events)
+        root, dates = _fresh_folder(spark, "backup"), _months(events)
         for part in (dates[: len(dates) // 2], dates[len(dates) // 2 :]):
             write_deliveries(events, surveys, root, part)
         write_deliveries(late, surveys.where(~F.col("survey_skipped")), root, [AGAIN])
@@ -160,7 +276,9 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
-        raw_after_runs, batch_log_after_runs, mart_after_reload, backup_after_two_runs,
-        backup_surveys, rejected_lines,
+        raw_after_runs, surveys_after_runs, raw_after_event_date_runs,
+        surveys_after_event_date_runs, batch_log_after_runs, raw_after_failed_load,
+        mart_after_reload, mart_after_full_refresh, mart_after_two_refreshes, kpi_after_reload,
+        agent_performance_after_reload, backup_after_two_runs, backup_surveys, rejected_lines,
     )
     return {f.__name__: f for f in listed}

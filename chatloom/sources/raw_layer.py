@@ -1,13 +1,16 @@
 """The raw layer: partitioned Parquet tables with replace-by-date loads.
 
 Events lie under ``ingestion_date`` and ``event_date`` and surveys under their
-``source_date``, so a load rewrites the partitions of its dates and no others.
+``source_date``. A load writes the partitions of its dates into folders of its own
+and then commits once for events, surveys, rejects, batch log and touched chats
+together: readers see all of it or nothing.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,19 +20,45 @@ from pyspark.sql import types as T
 from ..operators import constraints
 from ..operators.gate import LOAD_CONSTRAINTS, LOG_CONSTRAINTS, require
 from ..operators.lookup import matching
-from ..operators.replacement import EVENT_DATE, Replacement, replace_dates, replace_key
+from ..operators.replacement import EVENT_DATE, Replacement, replace_dates
 from ..schemas import BATCH_LOG, CHAT_EVENTS, SURVEYS, conform
 from ..session import materialize
+from .commits import (
+    Commits,
+    MissingTable,
+    Span,
+    StoredTable,
+    fresh_folder,
+    spans_of,
+    summaries,
+)
 from .deliveries import REJECTS
-from .folders import delete_folder, read_or_empty
+from .folders import delete_folder, names_in
 
-PARTITIONS = {"ingestion_date", "event_date", "source_date"}
-EVENT_ORDER = ["ingestion_date", "event_date", "chat_id", "event_timestamp"]
-SURVEY_ORDER = ["source_date", "chat_id"]
 STORED_EVENTS = T.StructType([*CHAT_EVENTS.fields, T.StructField("event_date", T.DateType())])
 STORED_SURVEYS = T.StructType([*SURVEYS.fields, T.StructField("source_date", T.DateType())])
 CHAT_IDS = T.StructType([T.StructField("chat_id", T.StringType())])
 
+# Of every table: schema, partition columns, order of the rows, summarised ids.
+TABLES = {
+    "chat_events": (
+        STORED_EVENTS,
+        ["ingestion_date", "event_date"],
+        ["chat_id", "event_timestamp"],
+        ["event_id", "chat_id"],
+    ),
+    "surveys": (STORED_SURVEYS, ["source_date"], ["chat_id"], ["survey_id", "chat_id"]),
+    "rejects": (REJECTS, ["source_date"], ["source"], []),
+    "batch_log": (BATCH_LOG, [], ["batch_id"], []),
+    "touched_chats": (CHAT_IDS, [], ["chat_id"], []),
+}
+FIRST_STATE = {
+    "parts": {name: {} for name in TABLES},
+    "written": {name: {} for name in TABLES},
+    "last_batch_id": 0,
+    "touched": [],
+}
+
 
 def load_violations(change: Replacement) -> DataFrame:
     """Rules K1-K8 for the rows a load adds, also against the rows it keeps.
@@ -66,17 +95,53 @@ def load_violations(change: Replacement) -> DataFrame:
 
 @dataclass(frozen=True)
 class RawLayer:
+    """The raw layer in a folder, as of its last commit or, pinned, of one of them."""
+
     spark: SparkSession
     root: str
-
-    def _path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    at: int | None = None
+
+    @property
+    def commits(self) -> Commits:
+        return Commits(self.spark, f"{self.root}/commits")
+
+    def create(self) -> None:
+        """Make an empty raw layer unless there is one."""
+        if not self.commits.last():
+            self.commits.require_none(self.root, TABLES)
+            self.commits.add(1, FIRST_STATE)
+
+    def commit_number(self) -> int:
+        number = self.at or self.commits.last()
+        if not number:
+            self.commits.require_none(self.root, TABLES)
+            raise MissingTable(f"no raw layer has been created in {self.root}")
+        return number
+
+    def pinned(self) -> RawLayer:
+        """This layer as it is now, whatever is committed later."""
+        return replace(self, at=self.commit_number())
+
+    def state(self) -> dict:
+        return self.commits.read(self.commit_number())
+
+    def table(self, name: str, state: dict | None = None) -> StoredTable:
+        state = state or self.state()
+        schema, partition, _, _ = TABLES[name]
+        return StoredTable(
+            self.spark,
+            f"{self.root}/{name}",
+            schema,
+            partition,
+            state["parts"][name],
+            state["written"][name],
+        )
 
     def stored_events(self) -> DataFrame:
-        return read_or_empty(self.spark, self._path("chat_events"), STORED_EVENTS)
+        return self.table("chat_events").read()
 
     def stored_surveys(self) -> DataFrame:
-        return read_or_empty(self.spark, self._path("surveys"), STORED_SURVEYS)
+        return self.table("surveys").read()
 
     def events(self) -> DataFrame:
         return self.stored_events().select(*CHAT_EVENTS.fieldNames())
@@ -85,25 +150,37 @@ class RawLayer:
         return self.stored_surveys().select(*SURVEYS.fieldNames())
 
     def batch_log(self) -> DataFrame:
-        return read_or_empty(self.spark, self._path("batch_log"), BATCH_LOG)
+        return self.table("batch_log").read()
 
     def rejects(self) -> DataFrame:
         """Lines of the deliveries loaded last for each date that did not parse."""
-        return read_or_empty(self.spark, self._path("rejects"), REJECTS)
+        return self.table("rejects").read()
+
+    def touched_since(self, commit: int) -> tuple[DataFrame, list[Span]]:
+        """Chats that commits after ``commit`` have touched, and spans they lie in."""
+        state = self.state()
+        later = [t for t in state["touched"] if t["commit"] > commit]
+        own = self.table("touched_chats", state)
+        kept = {"": {t["folder"]: {} for t in later}}
+        chats = replace_parts(own, kept).read().distinct()
+        return chats, spans_of(({"chat_id": span} for t in later for span in t["spans"]), "chat_id")
+
+    def events_of(self, spans: list[Span]) -> DataFrame:
+        """Events of the partitions that may hold chats within the spans."""
+        own = self.table("chat_events")
+        return own.read(own.holding("chat_id", spans)).select(*CHAT_EVENTS.fieldNames())
+
+    def surveys_of(self, spans: list[Span]) -> DataFrame:
+        own = self.table("surveys")
+        return own.read(own.holding("chat_id", spans)).select(*SURVEYS.fieldNames())
 
     def store_rejects(self, rejects: DataFrame, dates: Sequence[date]) -> None:
         """Replace the rejected lines of ``dates``."""
-        rows = rejects.where(F.col("source_date").isin(*dates)).select(*REJECTS.fieldNames())
-        before = {(day,) for day in dates}
-        self._overwrite("rejects", rows, ["source_date", "source"], before)
-
-    def pending_chats(self) -> DataFrame:
-        """Chats that loads have touched since the mart was last refreshed."""
-        return read_or_empty(self.spark, self._path("pending_chats"), CHAT_IDS)
-
-    def clear_pending_chats(self) -> None:
-        nothing = self.spark.createDataFrame([], CHAT_IDS)
-        nothing.write.mode("overwrite").parquet(self._path("pending_chats"))
+        self.create()
+        number = self.commit_number()
+        state = _copy(self.commits.read(number))
+        self._put_rejects(state, fresh_folder(), rejects, dates)
+        self.commits.add(number + 1, state)
 
     def load(
         self,
@@ -111,60 +188,107 @@ class RawLayer:
         surveys: DataFrame,
         dates: Sequence[date],
         replace_by: str = EVENT_DATE,
+        rejects: DataFrame | None = None,
     ) -> DataFrame:
         """Load the deliveries of ``dates`` and return their batch log rows.
 
-        Nothing is written when a rule K1-K8 is broken. The order of the
-        writes lets a run that died be repeated: surveys go while the events
-        that condemn them are still there, and come after their own events.
-        Rows outside the replaced dates are added last, as a repeated load by
-        event date would collide with them.
+        Nothing changes when a rule K1-K8 is broken, when the load dies, or when
+        another one commits first, which raises ``CommitConflict``; in each case the
+        load can be repeated. Stored ids are looked up only in partitions whose
+        spans of ids meet those of the new rows, date by date.
         """
         if len(set(dates)) != len(dates):
             raise ValueError("a date may occur once per run")
+        self.create()
+        number = self.commit_number()
+        before = self.commits.read(number)
+        stored = {name: self.table(name, before) for name in ("chat_events", "surveys")}
         events = conform_delivery(events, CHAT_EVENTS)
         surveys = conform_delivery(surveys, SURVEYS)
+        replaced = _replaced(stored["chat_events"], dates, replace_by)
         change = replace_dates(
-            self.stored_events(), self.stored_surveys(), events, surveys, dates, replace_by
-        )
+            stored["chat_events"].read(replaced), stored["surveys"].read([]),
+            events, surveys, dates, replace_by,
+        )
         new_events = materialize(
             change.new_events.withColumn("event_date", F.col("event_timestamp").cast("date")),
             "load-events",
         )
         deleted_chats = materialize(change.deleted_chats, "load-deleted-chats")
         new_surveys = materialize(change.new_surveys, "load-surveys")
-        # From here on the joins read the written list of chats.
-        stored = self.stored_surveys()
+        event_parts = summaries(new_events, ["ingestion_date", "event_date"], ["event_id", "chat_id"])
+        survey_parts = summaries(new_surveys, ["source_date"], ["survey_id", "chat_id"])
+
+        old = stored["chat_events"].summaries_of(replaced)
+        deleted_spans = spans_of([*old, *event_parts.values()], "chat_id")
+        kept_events = self._kept_events(stored["chat_events"], replaced, event_parts)
+        meeting = stored["surveys"].holding("chat_id", deleted_spans)
+        losing = self._losing(stored["surveys"], meeting, deleted_chats)
         staged = Replacement(
             change.deleted_events,
-            change.kept_events,
+            kept_events,
             new_events,
             deleted_chats,
-            stored.join(deleted_chats, "chat_id", "left_anti").select(*stored.columns),
-            matching(stored, "chat_id", deleted_chats).select(*stored.columns),
+            self._kept_surveys(stored["surveys"], survey_parts, deleted_chats),
+            matching(stored["surveys"].read(meeting), "chat_id", deleted_chats),
             new_surveys,
         )
-        self._require_valid(staged)
-        touched = materialize(self._touched_chats(staged), "load-touched-chats")
-        self._require_dates(new_events, new_surveys, dates)
-
-        # Noted before the data changes: after a failure in between, the next
-        # refresh looks at more chats than it needs, never at fewer.
-        touched.write.mode("append").parquet(self._path("pending_chats"))
-        replaces = F.coalesce(replace_key(replace_by).isin(*dates), F.lit(False))
-        rows = new_events.select(*STORED_EVENTS.fieldNames())
-        self._delete_surveys(staged)
-        self._replace_events(staged, rows.where(replaces))
-        self._append("surveys", new_surveys.select(*STORED_SURVEYS.fieldNames()), SURVEY_ORDER)
-        self._append("chat_events", rows.where(~replaces), EVENT_ORDER)
-        return self._append_batch_log(events, surveys, dates)
-
-    def _require_valid(self, staged: Replacement) -> None:
         require(load_violations(staged), LOAD_CONSTRAINTS)
+        self._require_dates(new_surveys, dates)
+
+        state, folder = _copy(before), fresh_folder()
+        for name in replaced:
+            del state["parts"]["chat_events"][name]
+        self._put(state, folder, "chat_events", new_events, event_parts)
+        rewritten = stored["surveys"].read(losing).join(deleted_chats, "chat_id", "left_anti")
+        rewritten = rewritten.select(*STORED_SURVEYS.fieldNames()).unionByName(
+            new_surveys.select(*STORED_SURVEYS.fieldNames())
+        )
+        if losing:
+            rewritten = materialize(rewritten, "load-rewritten-surveys")
+            survey_parts = summaries(rewritten, ["source_date"], ["survey_id", "chat_id"])
+        for name in losing:
+            del state["parts"]["surveys"][name]
+        self._put(state, folder, "surveys", rewritten, survey_parts)
+        if rejects is not None:
+            self._put_rejects(state, folder, rejects, dates)
+        touched = self._touched_chats(staged)
+        self._put(state, folder, "touched_chats", touched, {"": {}})
+        spans = spans_of([*old, *event_parts.values(), *survey_parts.values()], "chat_id")
+        state["touched"].append({"commit": number + 1, "folder": folder, "spans": spans})
+        log = self._put_batch_log(state, folder, events, surveys, dates)
+        self.commits.add(number + 1, state)
+        return log
 
-    def _require_dates(
-        self, new_events: DataFrame, new_surveys: DataFrame, dates: Sequence[date]
-    ) -> None:
+    def _kept_events(
+        self, stored: StoredTable, replaced: list[str], new: dict[str, dict]
+    ) -> DataFrame:
+        """Stored events that stay and may share an id with a new one."""
+        kept = [name for name in stored.parts if name not in replaced]
+        return stored.read(stored.holding("event_id", spans_of(new.values(), "event_id"), kept))
+
+    def _kept_surveys(
+        self, stored: StoredTable, new: dict[str, dict], deleted_chats: DataFrame
+    ) -> DataFrame:
+        """Stored surveys that stay and may share an id or a chat with a new one."""
+        names = {
+            name
+            for key in ("survey_id", "chat_id")
+            for name in stored.holding(key, spans_of(new.values(), key))
+        }
+        rows = stored.read(sorted(names))
+        return rows.join(deleted_chats, "chat_id", "left_anti").select(*rows.columns)
+
+    def _losing(
+        self, stored: StoredTable, names: list[str], deleted_chats: DataFrame
+    ) -> list[str]:
+        """The partitions, of these, that lose a survey: at most one row per date."""
+        if not names:
+            return []
+        gone = matching(stored.read(names), "chat_id", deleted_chats)
+        return sorted(str(day) for (day,) in gone.select("source_date").distinct().collect())
+
+    def _require_dates(self, new_surveys: DataFrame, dates: Sequence[date]) -> None:
         """Surveys are stored per delivery, so each must name one of the run's dates."""
         stray = new_surveys.where(~F.coalesce(F.col("source_date").isin(*dates), F.lit(False)))
         if not stray.isEmpty():
@@ -178,49 +302,39 @@ class RawLayer:
             .distinct()
         )
 
-    def _clustered(self, rows: DataFrame, order: list[str]):
-        """A writer of rows clustered by partition, chat and time."""
-        in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        return in_order.write.partitionBy(*[name for name in order if name in PARTITIONS])
-
-    def _append(self, table: str, rows: DataFrame, order: list[str]) -> None:
-        if not rows.isEmpty():
-            self._clustered(rows, order).mode("append").parquet(self._path(table))
-
-    def _overwrite(
-        self, table: str, rows: DataFrame, order: list[str], before: set[tuple]
+    def _put(
+        self, state: dict, folder: str, name: str, rows: DataFrame, parts: dict[str, dict]
     ) -> None:
-        """Overwrite the partitions that ``rows`` has; empty others of ``before``.
+        """Write rows into their own folder and enter their partitions into ``state``.
 
-        A dynamic overwrite leaves partitions alone that get no row; their
-        folders are deleted.
+        Rows are clustered by partition, chat and time.
         """
-        columns = [name for name in order if name in PARTITIONS]
-        (
-            self._clustered(rows, order)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(self._path(table))
+        if not parts:
+            return
+        schema, partition, order, _ = TABLES[name]
+        rows = rows.select(*schema.fieldNames())
+        if partition:
+            rows = rows.repartitionByRange(*partition, *order)
+            rows = rows.sortWithinPartitions(*partition, *order)
+        rows.write.mode("errorifexists").partitionBy(*partition).parquet(
+            f"{self.root}/{name}/load={folder}"
         )
-        for values in sorted(before - _distinct(rows, columns)):
-            folder = "/".join(f"{name}={value.isoformat()}" for name, value in zip(columns, values))
-            delete_folder(self.spark, f"{self._path(table)}/{folder}")
-
-    def _replace_events(self, staged: Replacement, rows: DataFrame) -> None:
-        before = _distinct(staged.deleted_events, ["ingestion_date", "event_date"])
-        self._overwrite("chat_events", rows, EVENT_ORDER, before)
+        for part, summary in parts.items():
+            state["parts"][name].setdefault(part, {})[folder] = summary
+        state["written"][name][folder] = len(parts)
 
-    def _delete_surveys(self, staged: Replacement) -> None:
-        losing = _distinct(staged.deleted_surveys, ["source_date"])
-        if losing:
-            days = [day for (day,) in losing]
-            kept = staged.kept_surveys.where(F.col("source_date").isin(*days))
-            self._overwrite("surveys", materialize(kept, "load-kept-surveys"), SURVEY_ORDER, losing)
+    def _put_rejects(
+        self, state: dict, folder: str, rejects: DataFrame, dates: Sequence[date]
+    ) -> None:
+        rows = rejects.where(F.col("source_date").isin(*dates))
+        for day in dates:
+            state["parts"]["rejects"].pop(str(day), None)
+        self._put(state, folder, "rejects", rows, summaries(rows, ["source_date"], []))
 
-    def _append_batch_log(
-        self, events: DataFrame, surveys: DataFrame, dates: Sequence[date]
+    def _put_batch_log(
+        self, state: dict, folder: str, events: DataFrame, surveys: DataFrame, dates: Sequence[date]
     ) -> DataFrame:
-        last = self.batch_log().agg(F.max("batch_id")).first()[0] or 0
+        last = state["last_batch_id"]
         rows = [(last + place, day) for place, day in enumerate(dates, start=1)]
         runs = self.spark.createDataFrame(rows, "batch_id bigint, source_date date")
         log = materialize(
@@ -231,13 +345,40 @@ class RawLayer:
             "load-log",
         )
         require(constraints.batch_log_fields(log), LOG_CONSTRAINTS)
-        log.coalesce(1).write.mode("append").parquet(self._path("batch_log"))
+        self._put(state, folder, "batch_log", log.coalesce(1), {"": {}} if rows else {})
+        state["last_batch_id"] = last + len(rows)
         return log
 
+    def drop_unused(self, keep: int = 2) -> None:
+        """Delete commits before the last ``keep`` and folders that no kept one reads.
+
+        No load may be running and readers must have moved on; what a load that died
+        has left goes as well.
+        """
+        last = self.commits.last()
+        states = [self.commits.read(n) for n in range(max(1, last - keep + 1), last + 1)]
+        for name in TABLES:
+            used = {f for s in states for p in s["parts"][name].values() for f in p}
+            for entry in names_in(self.spark, f"{self.root}/{name}"):
+                if entry.removeprefix("load=") not in used:
+                    delete_folder(self.spark, f"{self.root}/{name}/{entry}")
+        for number in range(1, last - keep + 1):
+            delete_folder(self.spark, self.commits.path(number))
+
+
+def replace_parts(table: StoredTable, parts: dict[str, dict[str, dict]]) -> StoredTable:
+    return replace(table, parts={name: own for name, own in parts.items() if own})
+
+
+def _copy(state: dict) -> dict:
+    return json.loads(json.dumps(state))
+
 
-def _distinct(df: DataFrame, columns: list[str]) -> set[tuple]:
-    """Partition values, few per date of a run; never one per row."""
-    return {tuple(row) for row in df.select(*columns).distinct().collect()}
+def _replaced(stored: StoredTable, dates: Sequence[date], replace_by: str) -> list[str]:
+    """Partitions of the dates that a run replaces."""
+    place = 1 if replace_by == EVENT_DATE else 0
+    days = {str(day) for day in dates}
+    return [name for name in stored.parts if name.split("/")[place] in days]
 
 
 def conform_delivery(df: DataFrame, schema: T.StructType) -> DataFrame:

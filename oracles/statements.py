@@ -143,6 +143,11 @@ def _reports(body: str) -> str:
     return with_fixture(body, _CLEAN_FACT, _DIMS, _REPORTS)
 
 
+def _reports_after_runs(body: str) -> str:
+    late_dims = _DIMS.replace("FROM clean ", "FROM late ")
+    return with_fixture(body, "late", _RUNS, _fact("after", "after_sv"), late_dims, _REPORTS)
+
+
 def _rule(rule: str, entity: str, source: str) -> str:
     return f"SELECT '{rule}' AS rule_id, CAST({entity} AS VARCHAR) AS entity_id FROM {source}"
 
@@ -273,20 +278,32 @@ moved AS (SELECT *, CAST(date_trunc('month', ingestion_date) AS DATE) AS source_
 dated AS (SELECT sv.*, source_date FROM sv JOIN months USING (chat_id) WHERE event_type='chat_started')"""
 _SHAPED = """
 shaped AS (SELECT *, CAST(date_trunc('month', ingestion_date) AS DATE) AS source_date, n%97 IN (1,2,3,4) AS bad FROM clean)"""
-_RUNS = f"""
+_PACKED = """
 packed AS (SELECT event_id, n, chat_id, agent_id, event_type,
   event_timestamp + to_days(CAST(date_diff('day', ingestion_date, DATE '1997-01-01' + CAST(n%60 AS INT)) AS INT)) AS event_timestamp,
-  CAST(DATE '1997-01-01' + CAST(n%60 AS INT) AS DATE) AS ingestion_date FROM late),
-after AS (SELECT * FROM packed WHERE ingestion_date<>{_AGAIN} OR n%2=0),
+  CAST(DATE '1997-01-01' + CAST(n%60 AS INT) AS DATE) AS ingestion_date FROM late)"""
+_RUNS = f"""
+after AS (SELECT * FROM late WHERE ingestion_date<>{_AGAIN} OR n%2=0),
 after_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM after))"""
-_LOGGED = """
-starts AS (SELECT chat_id, n, ingestion_date AS source_date FROM packed WHERE event_type='chat_started'),
-counted AS (SELECT source_date, CAST(COUNT(*) AS INT) AS source_event_count, CAST(COUNT(*) FILTER (n%2=0) AS INT) AS half_events
- FROM packed JOIN (SELECT chat_id, source_date FROM starts) USING (chat_id) GROUP BY source_date),
-answered AS (SELECT source_date, CAST(COUNT(*) AS INT) AS source_chat_count, CAST(COUNT(*) FILTER (sv.n%2=0) AS INT) AS half_chats
+# By event date the load of the next day cuts off what lies behind midnight.
+_EVENT_DATE_RUNS = f"""
+cut AS (SELECT * FROM late WHERE CAST(event_timestamp AS DATE)=ingestion_date AND ingestion_date<>{_AGAIN}),
+again AS (SELECT * FROM late WHERE ingestion_date={_AGAIN} AND n%2=0),
+after AS (SELECT * FROM cut UNION ALL SELECT * FROM again),
+after_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM again) OR (chat_id IN (SELECT chat_id FROM cut)
+  AND chat_id NOT IN (SELECT chat_id FROM late WHERE CAST(event_timestamp AS DATE)<>ingestion_date)))"""
+_WITHDRAWN = f"""
+one_less AS (SELECT * FROM late WHERE (ingestion_date<>{_AGAIN} OR n%2=0) AND ingestion_date<>DATE '1996-05-02'),
+one_less_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM one_less))"""
+_LOGGED = f"""
+days AS (SELECT CAST(unnest(generate_series(MIN(ingestion_date), MAX(ingestion_date)+1, INTERVAL 1 DAY)) AS DATE) AS source_date FROM late),
+starts AS (SELECT chat_id, n, ingestion_date AS source_date FROM late WHERE event_type='chat_started'),
+counted AS (SELECT source_date, COUNT(*) AS events, COUNT(*) FILTER (n%2=0) AS half_events
+ FROM late JOIN (SELECT chat_id, source_date FROM starts) USING (chat_id) GROUP BY source_date),
+answered AS (SELECT source_date, COUNT(*) AS chats, COUNT(*) FILTER (sv.n%2=0) AS half_chats
  FROM sv JOIN (SELECT chat_id, source_date FROM starts) USING (chat_id) GROUP BY source_date),
-both_counts AS (SELECT source_date, COALESCE(source_chat_count,0) AS source_chat_count, source_event_count, COALESCE(half_chats,0) AS half_chats, half_events
- FROM counted LEFT JOIN answered USING (source_date))"""
+logged AS (SELECT ROW_NUMBER() OVER (ORDER BY source_date) AS batch_id, source_date, chats, events, half_chats, half_events
+ FROM days LEFT JOIN counted USING (source_date) LEFT JOIN answered USING (source_date))"""
 
 
 def statements() -> dict[str, str]:
@@ -300,7 +317,7 @@ def statements() -> dict[str, str]:
             """SELECT ingestion_date, agent_id, MIN(moment) FILTER (WHERE open_chats>2) AS first_breach_at, CAST(MAX(open_chats) AS BIGINT) AS peak_open_chats
  FROM load GROUP BY ALL HAVING MAX(open_chats)>2""",
             "late",
-            _RUNS,
+            _PACKED,
             _capacity("packed", "ingestion_date, "),
         ),
         "backup_after_two_runs": with_fixture(
@@ -318,14 +335,37 @@ def statements() -> dict[str, str]:
             _SHAPED,
         ),
         "raw_after_runs": with_fixture(f"SELECT {_EVENT_COLUMNS} FROM after", "late", _RUNS),
+        "surveys_after_runs": with_fixture(f"SELECT {_SURVEY_COLUMNS} FROM after_sv", "late", _RUNS),
+        "raw_after_event_date_runs": with_fixture(
+            f"SELECT {_EVENT_COLUMNS} FROM after", "late", _EVENT_DATE_RUNS
+        ),
+        "surveys_after_event_date_runs": with_fixture(
+            f"SELECT {_SURVEY_COLUMNS} FROM after_sv", "late", _EVENT_DATE_RUNS
+        ),
         "batch_log_after_runs": with_fixture(
-            f"""SELECT source_date, source_chat_count, source_event_count FROM both_counts
- UNION ALL SELECT source_date, half_chats, half_events FROM both_counts WHERE source_date={_AGAIN}""",
+            f"""SELECT batch_id, source_date, CAST(COALESCE(chats,0) AS INT) AS source_chat_count, CAST(COALESCE(events,0) AS INT) AS source_event_count, TRUE AS loaded FROM logged
+ UNION ALL SELECT (SELECT MAX(batch_id) FROM logged)+1, source_date, CAST(COALESCE(half_chats,0) AS INT), CAST(COALESCE(half_events,0) AS INT), TRUE FROM logged WHERE source_date={_AGAIN}""",
             "late",
-            _RUNS,
             _LOGGED,
         ),
+        "raw_after_failed_load": with_fixture(
+            """SELECT 'failed' AS stage, ingestion_date, COUNT(*) AS events, COUNT(DISTINCT chat_id) AS chats FROM late GROUP BY ALL
+ UNION ALL SELECT 'reloaded', ingestion_date, COUNT(*), COUNT(DISTINCT chat_id) FROM after GROUP BY ALL""",
+            "late",
+            _RUNS,
+        ),
         "mart_after_reload": with_fixture("SELECT * FROM fact", "late", _RUNS, _fact("after", "after_sv")),
+        "mart_after_full_refresh": with_fixture(
+            "SELECT * FROM fact", "late", _EVENT_DATE_RUNS, _fact("after", "after_sv")
+        ),
+        "mart_after_two_refreshes": with_fixture(
+            """SELECT *, 'first' AS stage FROM fact UNION ALL SELECT *, 'second' FROM fact WHERE ingestion_date<>DATE '1998-03-04'""",
+            "late",
+            _WITHDRAWN,
+            _fact("one_less", "one_less_sv"),
+        ),
+        "kpi_after_reload": _reports_after_runs("SELECT * FROM kpi"),
+        "agent_performance_after_reload": _reports_after_runs("SELECT * FROM agent_days"),
         "chat_events": with_fixture(f"SELECT {_EVENT_COLUMNS} FROM clean"),
         "surveys": with_fixture(f"SELECT {_SURVEY_COLUMNS} FROM sv"),
         "event_order": with_fixture(

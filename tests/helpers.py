@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
+from pyspark.sql import DataFrameWriter
+
 from chatloom.schemas import (
     AGENT_REPLY,
     ASSIGNED,
@@ -17,6 +20,7 @@ from chatloom.schemas import (
     STARTED,
     SURVEYS,
 )
+from chatloom.sources.commits import Commits
 
 DAY = date(2026, 5, 1)
 
@@ -98,3 +102,29 @@ def rows_of(df, *columns):
     """Rows as a sorted list of tuples."""
     picked = df.select(*columns) if columns else df
     return sorted((tuple(row) for row in picked.collect()), key=repr)
+
+
+@contextmanager
+def dying_at(monkeypatch, root: str, step: int):
+    """The ``step``-th table written or commit made below ``root`` raises instead."""
+    seen = []
+    write, add = DataFrameWriter.parquet, Commits.add
+
+    def counted(path):
+        if path.startswith(str(root)):
+            seen.append(path)
+            if len(seen) == step:
+                raise OSError("the job died")
+
+    def writing(self, path, *args, **options):
+        counted(path)
+        return write(self, path, *args, **options)
+
+    def adding(self, number, state):
+        counted(self.folder)
+        return add(self, number, state)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(DataFrameWriter, "parquet", writing)
+        patch.setattr(Commits, "add", adding)
+        yield

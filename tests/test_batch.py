@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chatloom.operators.gate import GateError
 from chatloom.operators.replacement import INGESTION_DATE
 from chatloom.plans import reports
-from chatloom.plans.batch import RunTotals, refresh, refresh_touched, run_batch, select_dates
+from chatloom.plans.batch import RunTotals, pending_chats, refresh, refresh_touched, run_batch, select_dates
 from chatloom.plans.mart import (
     build_mart,
     current_version,
@@ -20,7 +20,6 @@ from chatloom.plans.mart import (
 from chatloom.schemas import ASSIGNED, CUSTOMER_REPLY, FACT_CHAT_RESOLUTION
 from chatloom.session import scratch_root
 from chatloom.sources.deliveries import read_deliveries
-from chatloom.sources.folders import read_or_empty
 from chatloom.sources.raw_layer import RawLayer
 
 from .helpers import DAY, abandoned_chat, at, events_of, frames, ordinary_chat, rows_of
@@ -168,7 +167,7 @@ def test_touched_refresh_equals_a_full_one(spark, tmp_path):
         assert after[chat_id] == keys[chat_id]
     assert set(after) - set(keys) == {"chat_new_agent"}
     assert after["chat_new_agent"] > max(keys.values())
-    assert raw.pending_chats().count() == 0
+    assert pending_chats(raw, f"{tmp_path}/mart").count() == 0
 
 
 def test_chat_that_loses_its_closure_leaves_the_fact(spark, tmp_path):
@@ -218,6 +217,6 @@ def test_fact_files_from_before_the_queue_columns(spark, tmp_path):
     path = str(tmp_path / "fact")
     mart.fact_chat_resolution.drop(*new_columns).write.parquet(path)
     mart.fact_chat_resolution.write.mode("append").parquet(path)
-    fact = read_or_empty(spark, path, FACT_CHAT_RESOLUTION)
+    fact = spark.read.schema(FACT_CHAT_RESOLUTION).parquet(path)
     assert fact.count() == 4
     assert fact.where("queue_wait_seconds IS NULL AND entered_queue_at IS NULL").count() == 2

@@ -7,7 +7,6 @@ from datetime import timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from chatloom.operators.fact import fact_source
@@ -15,12 +14,29 @@ from chatloom.operators.gate import GateError, deliveries_contract, delivery_con
 from chatloom.operators.gate import MART_CONSTRAINTS
 from chatloom.operators.profile import chat_profile
 from chatloom.plans.batch import mart_violations, refresh, refresh_touched
-from chatloom.plans.mart import build_mart, current_version, drop_old_versions, load_mart
+from chatloom.plans.mart import (
+    build_mart,
+    current_version,
+    dimensions_path,
+    drop_old_versions,
+    load_mart,
+    published,
+)
 from chatloom.schemas import AGENT_REPLY, ASSIGNED, CLOSED_BY_AGENT, QUEUED, STARTED
 from chatloom.sources.deliveries import read_deliveries
 from chatloom.sources.raw_layer import RawLayer
 
-from .helpers import DAY, at, event_frame, events_of, frames, ordinary_chat, rows_of, survey_of
+from .helpers import (
+    DAY,
+    at,
+    dying_at,
+    event_frame,
+    events_of,
+    frames,
+    ordinary_chat,
+    rows_of,
+    survey_of,
+)
 from .test_batch import fact_rows, mart_at, run
 from .test_raw_layer import NEXT, day_chats, delivered
 
@@ -75,22 +91,10 @@ def test_a_refresh_that_dies_anywhere_changes_nothing_and_can_be_repeated(
     keys = dict(rows_of(load_mart(spark, root).fact_chat_resolution, "chat_id", "chat_fact_key"))
     later = ordinary_chat("chat_later", at("15:00:00", NEXT), agent=1077)
     raw.load(*delivered(spark, {NEXT: [*day_chats(NEXT, 1), later]}), [NEXT], "ingestion_date")
-    write = DataFrameWriter.parquet
-    # Four dimensions, the fact, its dates, then the version log.
-    for step in (1, 5, 6, 7):
-        seen = []
-
-        def dying(self, path, *args, step=step, seen=seen, **options):
-            if path.startswith(root):
-                seen.append(path)
-                if len(seen) == step:
-                    raise OSError("the job died")
-            return write(self, path, *args, **options)
-
-        monkeypatch.setattr(DataFrameWriter, "parquet", dying)
-        with pytest.raises(OSError, match="died"):
+    # Four dimensions, the fact, then the commit.
+    for step in (1, 5, 6):
+        with dying_at(monkeypatch, root, step), pytest.raises(OSError, match="died"):
             refresh_touched(raw, root)
-        monkeypatch.setattr(DataFrameWriter, "parquet", write)
         assert fact_rows(load_mart(spark, root)) == before
         assert load_mart(spark, root).dim_date.count() == 2
     refresh_touched(raw, root)
@@ -103,7 +107,8 @@ def test_a_refresh_that_dies_anywhere_changes_nothing_and_can_be_repeated(
     drop_old_versions(spark, root, keep=1)
     assert fact_rows(load_mart(spark, root)) == fact_rows(rebuilt)
     # A table that a published version lost is an error, not an empty one.
-    shutil.rmtree(f"{root}/version={current_version(spark, root):06d}/dim_agent")
+    state = published(spark, root).state
+    shutil.rmtree(f"{dimensions_path(root, state)}/dim_agent")
     with pytest.raises(AnalysisException):
         load_mart(spark, root).dim_agent.count()
 

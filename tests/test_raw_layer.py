@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 from chatloom.operators.gate import GateError
 from chatloom.operators.replacement import EVENT_DATE, INGESTION_DATE, replace_dates
 from chatloom.schemas import CLOSED_BY_CUSTOMER, CUSTOMER_REPLY, QUEUED, STARTED
+from chatloom.sources.deliveries import REJECTS
 from chatloom.sources.raw_layer import RawLayer
 
-from .helpers import DAY, at, event_frame, events_of, ordinary_chat, rows_of, survey_frame, survey_of
+from .helpers import (
+    DAY,
+    at,
+    dying_at,
+    event_frame,
+    events_of,
+    ordinary_chat,
+    rows_of,
+    survey_frame,
+    survey_of,
+)
 
 NEXT = DAY + timedelta(days=1)
 
@@ -165,25 +176,33 @@ def test_replacing_by_ingestion_date_is_safe_at_midnight(spark, tmp_path):
 
 
 @pytest.mark.parametrize("replace_by", [EVENT_DATE, INGESTION_DATE])
-@pytest.mark.parametrize("step", ["_replace_events", "_append", "_append_batch_log"])
-def test_a_load_that_died_can_be_repeated(spark, tmp_path, monkeypatch, step, replace_by):
-    """Fewer and new chats replace a day; the load dies before one of its writes."""
-    first = delivered(spark, {DAY: day_chats(DAY, 3), NEXT: day_chats(NEXT, 1)})
-    second = delivered(spark, {DAY: [*day_chats(DAY, 1), *day_chats(DAY, 2, "new")]})
+def test_a_load_that_died_changes_nothing_and_can_be_repeated(
+    spark, tmp_path, monkeypatch, replace_by
+):
+    """Fewer and new chats replace a day that has a chat over midnight; the load dies
+    at each of its writes in turn: events, surveys, rejects, chats, log, commit."""
+    late = midnight_chat("chat_late", DAY - timedelta(days=1))
+    first = delivered(spark, {DAY: [late, *day_chats(DAY, 3)], NEXT: day_chats(NEXT, 1)})
+    again = midnight_chat("chat_again", DAY)
+    second = delivered(spark, {DAY: [*day_chats(DAY, 1), *day_chats(DAY, 2, "new"), again]})
+    rejects = spark.createDataFrame([(DAY, "chat_logs", "{")], REJECTS)
     whole, died = RawLayer(spark, f"{tmp_path}/whole"), RawLayer(spark, f"{tmp_path}/died")
     for raw in (whole, died):
         raw.load(*first, [DAY, NEXT], replace_by)
-    whole.load(*second, [DAY], replace_by)
-
-    def die(*_):
-        raise RuntimeError("died")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(RawLayer, step, die)
-        with pytest.raises(RuntimeError, match="died"):
-            died.load(*second, [DAY], replace_by)
-    died.load(*second, [DAY], replace_by)
+    whole.load(*second, [DAY], replace_by, rejects)
+    before, log = _contents(died), rows_of(died.batch_log())
+    for step in range(1, 7):
+        with dying_at(monkeypatch, died.root, step), pytest.raises(OSError, match="died"):
+            died.load(*second, [DAY], replace_by, rejects)
+        assert _contents(died) == before and rows_of(died.batch_log()) == log
+        assert died.rejects().count() == 0
+    died.load(*second, [DAY], replace_by, rejects)
+    assert _contents(died) == _contents(whole)
+    assert rows_of(died.batch_log(), "batch_id") == [(1,), (2,), (3,)]
+    assert died.rejects().count() == 1
+    died.drop_unused(keep=1)
     assert _contents(died) == _contents(whole)
+    assert len(list((tmp_path / "died" / "chat_events").iterdir())) == 2
 
 
 @pytest.mark.parametrize(
