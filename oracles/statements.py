@@ -144,7 +144,7 @@ def _reports(body: str) -> str:
 
 
 def _reports_after_runs(body: str) -> str:
-    late_dims = _DIMS.replace("FROM clean ", "FROM late ")
+    late_dims = _DIMS.replace("FROM clean ", "FROM packed ")
     return with_fixture(body, "late", _RUNS, _fact("after", "after_sv"), late_dims, _REPORTS)
 
 
@@ -282,24 +282,24 @@ _PACKED = """
 packed AS (SELECT event_id, n, chat_id, agent_id, event_type,
   event_timestamp + to_days(CAST(date_diff('day', ingestion_date, DATE '1997-01-01' + CAST(n%60 AS INT)) AS INT)) AS event_timestamp,
   CAST(DATE '1997-01-01' + CAST(n%60 AS INT) AS DATE) AS ingestion_date FROM late)"""
-_RUNS = f"""
-after AS (SELECT * FROM late WHERE ingestion_date<>{_AGAIN} OR n%2=0),
+_RUNS = f"""{_PACKED},
+after AS (SELECT * FROM packed WHERE ingestion_date<>{_AGAIN} OR n%2=0),
 after_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM after))"""
 # By event date the load of the next day cuts off what lies behind midnight.
-_EVENT_DATE_RUNS = f"""
-cut AS (SELECT * FROM late WHERE CAST(event_timestamp AS DATE)=ingestion_date AND ingestion_date<>{_AGAIN}),
-again AS (SELECT * FROM late WHERE ingestion_date={_AGAIN} AND n%2=0),
+_EVENT_DATE_RUNS = f"""{_PACKED},
+cut AS (SELECT * FROM packed WHERE CAST(event_timestamp AS DATE)=ingestion_date AND ingestion_date<>{_AGAIN}),
+again AS (SELECT * FROM packed WHERE ingestion_date={_AGAIN} AND n%2=0),
 after AS (SELECT * FROM cut UNION ALL SELECT * FROM again),
 after_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM again) OR (chat_id IN (SELECT chat_id FROM cut)
-  AND chat_id NOT IN (SELECT chat_id FROM late WHERE CAST(event_timestamp AS DATE)<>ingestion_date)))"""
-_WITHDRAWN = f"""
-one_less AS (SELECT * FROM late WHERE (ingestion_date<>{_AGAIN} OR n%2=0) AND ingestion_date<>DATE '1996-05-02'),
+  AND chat_id NOT IN (SELECT chat_id FROM packed WHERE CAST(event_timestamp AS DATE)<>ingestion_date)))"""
+_WITHDRAWN = f"""{_PACKED},
+one_less AS (SELECT * FROM packed WHERE (ingestion_date<>{_AGAIN} OR n%2=0) AND ingestion_date<>DATE '1997-01-10'),
 one_less_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM one_less))"""
-_LOGGED = f"""
-days AS (SELECT CAST(unnest(generate_series(MIN(ingestion_date), MAX(ingestion_date)+1, INTERVAL 1 DAY)) AS DATE) AS source_date FROM late),
-starts AS (SELECT chat_id, n, ingestion_date AS source_date FROM late WHERE event_type='chat_started'),
+_LOGGED = f"""{_PACKED},
+days AS (SELECT CAST(unnest(generate_series(MIN(ingestion_date), MAX(ingestion_date)+1, INTERVAL 1 DAY)) AS DATE) AS source_date FROM packed),
+starts AS (SELECT chat_id, n, ingestion_date AS source_date FROM packed WHERE event_type='chat_started'),
 counted AS (SELECT source_date, COUNT(*) AS events, COUNT(*) FILTER (n%2=0) AS half_events
- FROM late JOIN (SELECT chat_id, source_date FROM starts) USING (chat_id) GROUP BY source_date),
+ FROM packed JOIN (SELECT chat_id, source_date FROM starts) USING (chat_id) GROUP BY source_date),
 answered AS (SELECT source_date, COUNT(*) AS chats, COUNT(*) FILTER (sv.n%2=0) AS half_chats
  FROM sv JOIN (SELECT chat_id, source_date FROM starts) USING (chat_id) GROUP BY source_date),
 logged AS (SELECT ROW_NUMBER() OVER (ORDER BY source_date) AS batch_id, source_date, chats, events, half_chats, half_events
@@ -349,7 +349,7 @@ def statements() -> dict[str, str]:
             _LOGGED,
         ),
         "raw_after_failed_load": with_fixture(
-            """SELECT 'failed' AS stage, ingestion_date, COUNT(*) AS events, COUNT(DISTINCT chat_id) AS chats FROM late GROUP BY ALL
+            """SELECT 'failed' AS stage, ingestion_date, COUNT(*) AS events, COUNT(DISTINCT chat_id) AS chats FROM packed GROUP BY ALL
  UNION ALL SELECT 'reloaded', ingestion_date, COUNT(*), COUNT(DISTINCT chat_id) FROM after GROUP BY ALL""",
             "late",
             _RUNS,
@@ -359,7 +359,7 @@ def statements() -> dict[str, str]:
             "SELECT * FROM fact", "late", _EVENT_DATE_RUNS, _fact("after", "after_sv")
         ),
         "mart_after_two_refreshes": with_fixture(
-            """SELECT *, 'first' AS stage FROM fact UNION ALL SELECT *, 'second' FROM fact WHERE ingestion_date<>DATE '1998-03-04'""",
+            """SELECT *, 'first' AS stage FROM fact UNION ALL SELECT *, 'second' FROM fact WHERE ingestion_date<>DATE '1997-02-20'""",
             "late",
             _WITHDRAWN,
             _fact("one_less", "one_less_sv"),
