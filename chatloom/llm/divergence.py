@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ TERM_RANKS = 200
 SCALE = 1_000_000_000
 # Text bytes whose terms are counted together.
 BLOCK_BYTES = 8 << 20
+# Rows of groups and terms that a task sums before it passes them on.
+HELD_ROWS = 400_000
 # A group's terms are dealt over so many slices before they meet in one task.
 SLICES = 32
 GROUP = ["lang", "source"]
@@ -29,16 +32,25 @@ TERM = ["digest", "split"]
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)
 )
+# Counts have no term; a row without a digest names a group, one without a group spells
+# a digest.
 _PARTS = pa.schema(
     [
         ("lang", pa.string()),
         ("source", pa.string()),
+        ("digest", pa.int64()),
         ("term", pa.string()),
         ("times", pa.int64()),
         ("docs", pa.int64()),
     ]
 )
-_PARTS_DDL = "lang string, source string, term string, times bigint, docs bigint"
+_PARTS_DDL = "lang string, source string, digest bigint, term string, times bigint, docs bigint"
+
+
+def term_digest(term: bytes) -> int:
+    """XXH64 of a term's UTF-8 bytes as a signed number."""
+    value = xxhash.xxh64_intdigest(term, 42)
+    return value - (1 << 64) if value >> 63 else value
 
 
 def _terms(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
@@ -64,37 +76,95 @@ def _numbered(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return group, first
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per block, group and term, and one without a term per block and group."""
-    for batch in batches:
-        sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-        for own in blocks_of(sizes, BLOCK_BYTES):
-            part = batch.take(pa.array(own))
-            group, first = _numbered(part)
-            doc, coded = _terms(part.column("text"))
-            wide = max(len(coded.dictionary), 1)
-            here = np.sort(doc * wide + coded.indices.to_numpy())
-            head = np.flatnonzero(np.diff(here, prepend=-1))
-            times = np.diff(head, append=len(here))
-            in_group = group[here[head] // wide] * wide + here[head] % wide
-            order = np.argsort(in_group, kind="stable")
-            in_group, times = in_group[order], times[order]
-            head = np.flatnonzero(np.diff(in_group, prepend=-1))
-            row = first[in_group[head] // wide]
-            term = coded.dictionary.cast(pa.string()).take(pa.array(in_group[head] % wide))
-            docs = np.diff(head, append=len(in_group))
-            times = np.add.reduceat(times, head) if len(head) else times
-            everyone = np.concatenate([row, first])
-            none = np.zeros(len(first), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(part.column(n).take(pa.array(everyone)) for n in GROUP),
-                    pa.concat_arrays([term, pa.array([""] * len(first))]),
-                    pa.array(np.concatenate([times, none])),
-                    pa.array(np.concatenate([docs, none])),
-                ],
-                schema=_PARTS,
-            )
+def _counted(
+    part: pa.RecordBatch, digest: Callable[[bytes], int], spell: bool
+) -> tuple[pa.Table, pa.Table]:
+    """Counts per group and term, with a row that names each group; and the spelling of
+    the terms. Counts have the term itself if ``spell``."""
+    group, first = _numbered(part)
+    doc, coded = _terms(part.column("text"))
+    words = coded.dictionary.cast(pa.string())
+    digests = np.fromiter(
+        map(digest, coded.dictionary.cast(pa.large_binary()).to_pylist()), np.int64, len(words)
+    )
+    wide = max(len(words), 1)
+    here = np.sort(doc * wide + coded.indices.to_numpy())
+    head = np.flatnonzero(np.diff(here, prepend=-1))
+    times = np.diff(head, append=len(here))
+    in_group = group[here[head] // wide] * wide + here[head] % wide
+    order = np.argsort(in_group, kind="stable")
+    in_group, times = in_group[order], times[order]
+    head = np.flatnonzero(np.diff(in_group, prepend=-1))
+    row, code = first[in_group[head] // wide], in_group[head] % wide
+    docs = np.diff(head, append=len(in_group))
+    times = np.add.reduceat(times, head) if len(head) else times
+    everyone = pa.array(np.concatenate([row, first]))
+    none = len(first)
+    counts = pa.Table.from_arrays(
+        [
+            *(part.column(n).take(everyone) for n in GROUP),
+            pa.concat_arrays([pa.array(digests[code], pa.int64()), pa.nulls(none, pa.int64())]),
+            pa.concat_arrays([words.take(pa.array(code)), pa.nulls(none, pa.string())])
+            if spell
+            else pa.nulls(len(everyone), pa.string()),
+            pa.array(np.concatenate([times, np.zeros(none, dtype=np.int64)])),
+            pa.array(np.concatenate([docs, np.zeros(none, dtype=np.int64)])),
+        ],
+        schema=_PARTS,
+    )
+    return counts, pa.table({"digest": digests, "term": words})
+
+
+class _Held:
+    """Rows of a task, summed or made distinct while ``HELD_ROWS`` are enough."""
+
+    def __init__(self, keys: list[str], sums: list[str]):
+        self.keys, self.sums = keys, sums
+        self.tables: list[pa.Table] = []
+        self.added = 0
+
+    def add(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        self.tables.append(table.select([*self.keys, *self.sums]))
+        self.added += table.num_rows
+        if self.added > HELD_ROWS:
+            self._merge()
+            if self.tables[0].num_rows > HELD_ROWS:
+                yield from self.rows()
+
+    def _merge(self) -> None:
+        whole = pa.concat_tables(self.tables).group_by(self.keys)
+        whole = whole.aggregate([(name, "sum") for name in self.sums])
+        names = [*self.keys, *(f"{name}_sum" for name in self.sums)]
+        whole = whole.select(names).rename_columns([*self.keys, *self.sums])
+        self.tables, self.added = [whole], 0
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.tables:
+            self._merge()
+            whole = self.tables.pop()
+            columns = [
+                whole.column(f.name) if f.name in whole.column_names
+                else pa.nulls(whole.num_rows, f.type)
+                for f in _PARTS
+            ]
+            yield from pa.Table.from_arrays(columns, schema=_PARTS).to_batches()
+
+
+def _counting(digest: Callable[[bytes], int], spell: bool):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = [*GROUP, "digest", *(["term"] if spell else [])]
+        counts, spelled = _Held(keys, ["times", "docs"]), _Held(["digest", "term"], [])
+        for batch in batches:
+            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            for own in blocks_of(sizes, BLOCK_BYTES):
+                found, words = _counted(batch.take(pa.array(own)), digest, spell)
+                yield from counts.add(found)
+                if not spell:
+                    yield from spelled.add(words)
+        yield from counts.rows()
+        yield from spelled.rows()
+
+    return count
 
 
 def _share(times: str, total: str, kinds: str) -> Column:
@@ -119,27 +189,31 @@ def _sliced(df: DataFrame, *by: str) -> DataFrame:
     return df.withColumn("slice", F.pmod(F.hash(*by), F.lit(SLICES)))
 
 
-def _counts(parts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _counts(
+    rows: DataFrame, parts: DataFrame, digest: Callable[[bytes], int], scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
     """Counts per group and term, and the spelling of every digest.
 
     Only digests are shuffled with the counts. The smallest and the largest term of
-    a digest tell whether it stands for several; their rows, as a rule none, are
-    counted again with ``split``, the term itself, as a part of the key.
+    a digest tell whether it stands for several; the texts' terms of such digests, as
+    a rule none, are counted again with ``split``, the term itself, in the key.
     """
-    terms = parts.filter("term <> ''")
-    spelled = terms.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
+    spelled = parts.filter("term is not null").groupBy("digest")
+    spelled = spelled.agg(F.min("term").alias("low"), F.max("term").alias("high"))
     spelled = scratch.put(spelled, "spelled")
     mixed = scratch.put(spelled.filter("low <> high").select("digest"), "mixed")
 
-    def summed(rows: DataFrame, split: Column) -> DataFrame:
-        keyed = rows.withColumn("split", split)
+    def summed(counted: DataFrame, split: Column) -> DataFrame:
+        keyed = counted.withColumn("split", split)
         return keyed.groupBy(*GROUP, *TERM).agg(
             F.sum("times").alias("times"), F.sum("docs").alias("docs")
         )
 
-    plain = summed(terms, F.lit("")).join(mixed, "digest", "left_anti")
-    again = summed(terms.join(mixed, "digest", "left_semi"), F.col("term"))
-    both = plain.unionByName(again)
+    both = summed(parts.filter("times > 0"), F.lit(""))
+    if not mixed.isEmpty():
+        terms = rows.mapInArrow(_counting(digest, True), _PARTS_DDL).filter("times > 0")
+        again = summed(terms.join(mixed, "digest", "left_semi"), F.col("term"))
+        both = both.join(mixed, "digest", "left_anti").unionByName(again)
     return scratch.put(both, "counts"), spelled.select("digest", "low")
 
 
@@ -234,7 +308,7 @@ def source_divergence(
     source: str = "source",
     least_documents: int = LEAST_DOCUMENTS,
     ranks: int = TERM_RANKS,
-    digest: Callable[[Column], Column] = F.xxhash64,
+    digest: Callable[[bytes], int] = term_digest,
 ) -> DataFrame:
     """How every (lang, source) group differs from the language's other sources and
     from the language, by smoothed shares of the terms that the language keeps.
@@ -260,9 +334,8 @@ def source_divergence(
             for c, n in ((lang, "lang"), (source, "source"), (text, "text"))
         )
     )
-    parts = rows.mapInArrow(_count, _PARTS_DDL).withColumn("digest", digest(F.col("term")))
-    parts = scratch.put(parts, "parts")
-    counts, spelled = _counts(parts, scratch)
+    parts = scratch.put(rows.mapInArrow(_counting(digest, False), _PARTS_DDL), "parts")
+    counts, spelled = _counts(rows, parts, digest, scratch)
     of_lang = counts.groupBy("lang", *TERM).agg(
         F.sum("times").alias("lang_times"), F.sum("docs").alias("docs")
     )
@@ -274,8 +347,9 @@ def source_divergence(
     totals = kept.groupBy(*GROUP).agg(
         F.sum("times").alias("total"), F.count("*").alias("present")
     )
-    groups = parts.select(*GROUP).distinct().join(totals, GROUP, "left").join(langs, "lang", "left")
+    groups = parts.filter("lang is not null").select(*GROUP).distinct().join(totals, GROUP, "left").join(langs, "lang", "left")
     groups = scratch.put(groups.na.fill(0), "groups")
+    scratch.drop("parts", "mixed", "counts", "of_lang")
     weighed = _sliced(kept, *TERM).join(_spread(groups.drop("present")), [*GROUP, "slice"])
     weighed = weighed.select(
         *GROUP,
@@ -285,6 +359,7 @@ def source_divergence(
         _share("lang_times", "lang_total", "kinds").alias("q"),
     )
     weighed = scratch.put(weighed, "weighed")
+    scratch.drop("kept")
     pairs = _pairs(groups, weighed.drop("q"))
     terms = _top_terms(weighed, spelled, ranks, scratch)
     found = [

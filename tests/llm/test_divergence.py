@@ -4,9 +4,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from chatloom.llm import divergence
 from chatloom.llm.divergence import source_divergence
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -88,7 +90,7 @@ def test_equals_plain_counting(spark, ranks):
 def test_colliding_digests_are_told_apart(spark):
     rows = some_rows(seed=9)
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    for weak in (lambda term: F.pmod(F.xxhash64(term), F.lit(3)), lambda term: F.lit(1).cast("bigint")):
+    for weak in (lambda term: len(term) % 3, lambda term: 1):
         got = source_divergence(df, ranks=3, digest=weak).collect()
         assert Counter(map(tuple, got)) == plain(rows, 3)
 
@@ -104,18 +106,29 @@ def test_empty_tables_and_clashing_columns(spark):
 
 
 def test_only_digests_are_shuffled_with_the_counts(spark):
-    """The exchange of the counts carries numbers, the group's names and no term."""
-    from chatloom.llm import divergence
-
-    rows = spark.createDataFrame(
-        [("en", "s", "term", 1, 1)], "lang string, source string, term string, times bigint, docs bigint"
-    ).withColumn("digest", F.xxhash64("term"))
-    summed = (
-        rows.filter("term <> ''")
-        .withColumn("split", F.lit(""))
-        .groupBy(*divergence.GROUP, *divergence.TERM)
-        .agg(F.sum("times"), F.sum("docs"))
-    )
-    plan = summed._jdf.queryExecution().executedPlan().toString()
-    exchange = next(line for line in plan.splitlines() if "Exchange" in line)
-    assert "term#" not in exchange
+    """The counts come without terms; these travel once per task, for their spelling."""
+    rows = spark.createDataFrame(some_rows(), SCHEMA).na.fill("").select("lang", "source", "text")
+    parts = rows.mapInArrow(divergence._counting(divergence.term_digest, False), divergence._PARTS_DDL)
+    assert parts.filter("times > 0 and term is not null").count() == 0
+    assert parts.filter("term is not null and lang is not null").count() == 0
+
+
+def test_passing_rows_on_early_changes_nothing(monkeypatch):
+    rows = [(lang or "", source or "", text or "") for _, text, lang, source in some_rows()]
+    columns = [pa.array(c) for c in zip(*rows)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["lang", "source", "text"])
+
+    def counted():
+        out, spelled = Counter(), set()
+        for part in divergence._counting(divergence.term_digest, False)(iter([batch, batch])):
+            for r in part.to_pylist():
+                if r["term"] is None:
+                    out[r["lang"], r["source"], r["digest"]] += r["times"] * 1000 + r["docs"]
+                else:
+                    spelled.add((r["digest"], r["term"]))
+        return out, spelled
+
+    whole = counted()
+    monkeypatch.setattr(divergence, "HELD_ROWS", 3)
+    monkeypatch.setattr(divergence, "BLOCK_BYTES", 50)
+    assert counted() == whole
