@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..schemas import (
     DIM_AGENT,
     DIM_DATE,
-    EVENT_TYPES,
     FACT_CHAT_RESOLUTION,
     SURVEY_INPUTS,
     WITH_AGENT,
@@ -34,31 +33,56 @@ def repeated(df: DataFrame, key: str, within: Sequence[str] = ()) -> DataFrame:
     return counts.where((F.col("rows") > 1) | F.col(key).isNull())
 
 
-def event_row_rules() -> dict[str, Column]:
-    """Conditions that one event row can break on its own."""
-    event_type, agent = F.col("event_type"), F.col("agent_id")
-    required = ("chat_id", "event_type", "event_timestamp", "ingestion_date")
-    missing = F.lit(False)
-    for name in required:
-        missing = missing | F.col(name).isNull()
+def _listed(values: Sequence[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
+
+
+def _present(*columns: str) -> str:
+    return " AND ".join(f"{name} IS NOT NULL" for name in columns)
+
+
+def event_checks(
+    without_agent: Sequence[str] = WITHOUT_AGENT,
+    with_agent: Sequence[str] = WITH_AGENT,
+    either: Sequence[str] = (),
+) -> dict[str, str]:
+    """What one event row must meet on its own, for a vocabulary of event types.
+
+    Types ``either`` come with and without an agent.
+    """
+    free, bound = _listed(without_agent), _listed(with_agent)
     return {
-        "K2": missing,
-        "K3": ~event_type.isin(*EVENT_TYPES),
-        "K4": (event_type.isin(*WITHOUT_AGENT) & agent.isNotNull())
-        | (event_type.isin(*WITH_AGENT) & agent.isNull()),
+        "K2": _present("chat_id", "event_type", "event_timestamp", "ingestion_date"),
+        "K3": f"event_type IN ({_listed([*without_agent, *with_agent, *either])})",
+        "K4": f"NOT ((event_type IN ({free}) AND agent_id IS NOT NULL)"
+        f" OR (event_type IN ({bound}) AND agent_id IS NULL))",
     }
 
 
-def survey_row_rules() -> dict[str, Column]:
-    """Conditions that one survey row can break on its own."""
-    skipped, answer = F.col("survey_skipped"), F.col("customer_input")
+def survey_checks(answers: Sequence[str] = SURVEY_INPUTS) -> dict[str, str]:
+    """What one survey row must meet on its own."""
     return {
-        "K6": F.col("chat_id").isNull() | skipped.isNull(),
-        "K7": ~answer.isin(*SURVEY_INPUTS),
-        "K8": skipped & answer.isNotNull(),
+        "K6": _present("chat_id", "survey_skipped"),
+        "K7": f"customer_input IN ({_listed(answers)})",
+        "K8": "NOT (survey_skipped AND customer_input IS NOT NULL)",
     }
 
 
+def breaking(checks: dict[str, str]) -> dict[str, Column]:
+    """When a row breaks each of the checks."""
+    return {name: ~F.expr(condition) for name, condition in checks.items()}
+
+
+def event_row_rules() -> dict[str, Column]:
+    """Conditions that one event row can break on its own."""
+    return breaking(event_checks())
+
+
+def survey_row_rules() -> dict[str, Column]:
+    """Conditions that one survey row can break on its own."""
+    return breaking(survey_checks())
+
+
 def broken_rules(df: DataFrame, rules: dict[str, Column], entity: Column | str) -> DataFrame:
     """One row per broken rule and input row, in a single pass over ``df``."""
     column = F.col(entity) if isinstance(entity, str) else entity

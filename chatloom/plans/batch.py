@@ -15,11 +15,10 @@ from ..operators.gate import MART_CONSTRAINTS, require, source_gate
 from ..operators.lookup import matching
 from ..operators.profile import chat_profile
 from ..operators.replacement import EVENT_DATE
-from ..schemas import CHAT_EVENTS, SURVEYS
 from ..session import materialize, scratch_scope
 from ..sources.commits import CommitConflict, MissingTable
 from ..sources.deliveries import write_deliveries
-from ..sources.raw_layer import RawLayer, conform_delivery
+from ..sources.raw_layer import RawLayer
 from .mart import Mart, Published, build_mart, publish_mart, published
 
 # How often a refresh that another one overtakes is tried in all.
@@ -208,12 +207,8 @@ def run_batch(
     totals = RunTotals(0, 0, 0)
     with scratch_scope(spark):
         if dates:
-            events = materialize(
-                conform_delivery(events.where(wanted), CHAT_EVENTS), "delivered-events"
-            )
-            surveys = materialize(
-                conform_delivery(surveys.where(wanted), SURVEYS), "delivered-surveys"
-            )
+            events = materialize(raw.delivered(events.where(wanted), "chat_events"), "delivered-events")
+            surveys = materialize(raw.delivered(surveys.where(wanted), "surveys"), "delivered-surveys")
             if backup_root:
                 write_deliveries(events, surveys, backup_root, dates)
             log = raw.load(events, surveys, dates, replace_by, rejects)

@@ -9,8 +9,12 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators.constraints import event_checks
+from ..operators.gate import GateError
 from ..operators.replacement import EVENT_DATE, INGESTION_DATE
+from ..schemas import CUSTOMER_REPLY, WITHOUT_AGENT
 from ..session import scratch_root, scratch_scope
 from ..sources.deliveries import (
     DATE_FORMAT,
@@ -37,8 +41,11 @@ WITHDRAWN = (date(1997, 1, 10), date(1997, 2, 20))
 DAMAGE_STEP = 97
 FIRST_DAY = date(1997, 1, 1)
 DAYS = 60
+NOTE_LEFT = "customer_left_note"
+CHANNEL = T.StructField("channel", T.StringType())
 
 _runs: dict[tuple[str, str, str], _Run] = {}
+_changed: dict[tuple[str, str], RawLayer] = {}
 _backups: dict[tuple[str, str], Deliveries] = {}
 
 
@@ -221,6 +228,65 @@ def agent_performance_after_reload(spark: SparkSession, sf_dir: str) -> DataFram
     return daily_sums.agent_performance(last.daily_sums(), mart.dim_date, mart.dim_agent)
 
 
+def _refused_change(raw: RawLayer) -> None:
+    """A change of the vocabulary that stored rows break."""
+    fewer = [name for name in WITHOUT_AGENT if name != CUSTOMER_REPLY]
+    try:
+        raw.change_table("chat_events", checks=event_checks(without_agent=fewer))
+    except GateError as broken:
+        if broken.rule_id != "K3":
+            raise
+    else:
+        raise AssertionError("the change should have been refused")
+
+
+def _after_change(spark: SparkSession, sf_dir: str) -> RawLayer:
+    """A raw layer whose events got a column and an event type between two runs.
+
+    The days before ``AGAIN`` come before the change and the others after it, and so does
+    one early day again. A change that stored rows break is refused in between. Written
+    once per application.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _changed:
+        return _changed[key]
+    before, surveys = _numbered(within_days(four_hours_late(chat_log(spark, sf_dir))))
+    is_note = (F.col("event_type") == CUSTOMER_REPLY) & (F.col("n") % 7 == 0)
+    after = before.withColumns(
+        {
+            "event_type": F.when(is_note, NOTE_LEFT).otherwise(F.col("event_type")),
+            CHANNEL.name: F.when(F.col("n") % 3 == 0, "web").when(F.col("n") % 3 == 1, "phone"),
+        }
+    )
+    dates = _calendar(before)
+    raw = RawLayer(spark, f"{_fresh_folder(spark, 'changes')}/raw")
+    with scratch_scope(spark):
+        raw.load(before, surveys, [d for d in dates if d < AGAIN], INGESTION_DATE)
+        _refused_change(raw)
+        more = event_checks(without_agent=[*WITHOUT_AGENT, NOTE_LEFT])
+        raw.change_table("chat_events", [CHANNEL], more)
+        raw.load(after, surveys, [d for d in dates if d >= AGAIN], INGESTION_DATE)
+        raw.load(after, surveys, [WITHDRAWN[0]], INGESTION_DATE)
+    _changed[key] = raw
+    return raw
+
+
+def raw_after_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _after_change(spark, sf_dir).rows_by_version("chat_events")
+    return rows.select(*EVENT_COLUMNS, CHANNEL.name, "version")
+
+
+def schema_log_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions of the event table, and the rows that each has."""
+    log = _after_change(spark, sf_dir).schema_log("chat_events")
+    return log.select(
+        "version",
+        F.concat_ws(",", "columns").alias("columns"),
+        F.col("checks")["K3"].contains(NOTE_LEFT).alias("takes_notes"),
+        "rows",
+    )
+
+
 def _backed_up(spark: SparkSession, sf_dir: str) -> Deliveries:
     """Monthly backups of two runs of many dates, then of one of these dates alone."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -280,6 +346,6 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         raw_after_runs, surveys_after_runs, raw_after_event_date_runs,
         surveys_after_event_date_runs, batch_log_after_runs, raw_after_failed_load,
         mart_after_reload, mart_after_full_refresh, mart_after_two_refreshes, kpi_after_reload,
-        agent_performance_after_reload, backup_after_two_runs, backup_surveys, rejected_lines,
+        agent_performance_after_reload, raw_after_schema_change, schema_log_after_change, backup_after_two_runs, backup_surveys, rejected_lines,
     )
     return {f.__name__: f for f in listed}

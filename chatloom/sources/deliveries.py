@@ -164,10 +164,16 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFr
 
 
 def read_deliveries(
-    spark: SparkSession, root: str, dates: Iterable[date] | None = None
+    spark: SparkSession,
+    root: str,
+    dates: Iterable[date] | None = None,
+    event_schema: T.StructType = CHAT_EVENTS,
+    survey_schema: T.StructType = SURVEYS,
 ) -> Deliveries:
     """Read the deliveries of ``dates``, or of all days.
 
+    A table with further columns passes its ``RawLayer.delivery_schema``.
+
     A line that does not fit the schema, or is anything but one object, is
     rejected as a whole: it would otherwise load with its bad field silently
     NULL, or lose what follows the first object.
@@ -178,8 +184,8 @@ def read_deliveries(
         found = _delivered(spark, root, name)
         return [path for day, path in sorted(found.items()) if wanted is None or day in wanted]
 
-    events = _read(spark, paths(EVENTS_NAME), CHAT_EVENTS)
-    surveys = _read(spark, paths(SURVEYS_NAME), SURVEYS)
+    events = _read(spark, paths(EVENTS_NAME), event_schema)
+    surveys = _read(spark, paths(SURVEYS_NAME), survey_schema)
 
     def rejected(df: DataFrame, name: str) -> DataFrame:
         return df.where(F.col(CORRUPT).isNotNull()).select(

@@ -9,9 +9,11 @@ together: readers see all of it or nothing.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from ..operators.lookup import matching
 from ..operators.replacement import EVENT_DATE, Replacement, replace_dates
 from ..schemas import BATCH_LOG, CHAT_EVENTS, SURVEYS, conform
 from ..session import materialize
+from . import versions
 from .commits import (
     Commits,
     MissingTable,
@@ -52,19 +55,43 @@ TABLES = {
     "batch_log": (BATCH_LOG, [], ["batch_id"], []),
     "touched_chats": (CHAT_IDS, [], ["chat_id"], []),
 }
+# The checks of the first version: rules K2-K4 and K6-K8.
+CHECKS = {"chat_events": constraints.event_checks(), "surveys": constraints.survey_checks()}
+# What deliveries and tables need for themselves.
+TAKEN_NAMES = ("load", "source_date", "event_date", "place", "replaced_on", "replaced_at", "version")
 FIRST_STATE = {
     "parts": {name: {} for name in TABLES},
     "written": {name: {} for name in TABLES},
+    "versions": {
+        name: [versions.entry(schema, CHECKS.get(name, {}), commit=1)]
+        for name, (schema, *_) in TABLES.items()
+    },
+    "under": {name: {} for name in TABLES},
     "last_batch_id": 0,
     "touched": [],
 }
 
 
-def load_violations(change: Replacement) -> DataFrame:
-    """Rules K1-K8 for the rows a load adds, also against the rows it keeps.
+def row_violations(name: str, rows: DataFrame, checks: dict[str, str]) -> DataFrame:
+    """The checks that rows of a table break; events are named by id, surveys by chat."""
+    entity = "event_id" if name == "chat_events" else F.coalesce("chat_id", "survey_id")
+    return constraints.broken_rules(rows, constraints.breaking(checks), entity)
 
-    Rows already stored passed the same rules when they came, so only their
-    ids are read, to look for the new ones among them.
+
+def messages_of(checks: dict[str, str]) -> dict[str, str]:
+    """The messages of the load's rules and of checks that tables were given."""
+    own = {name: f"{{}} breaks the check {name}" for name in checks if name not in LOAD_CONSTRAINTS}
+    return {**LOAD_CONSTRAINTS, **own}
+
+
+def load_violations(
+    change: Replacement, event_checks: dict[str, str], survey_checks: dict[str, str]
+) -> DataFrame:
+    """Rules K1-K8, and the table's other checks, for the rows a load adds, also against
+    the rows it keeps.
+
+    Rows already stored passed the same rules when they came, or when a check was
+    changed, so only their ids are read, to look for the new ones among them.
     """
     events, surveys = change.new_events, change.new_surveys
 
@@ -72,9 +99,9 @@ def load_violations(change: Replacement) -> DataFrame:
         return matching(kept.select(key), key, new)
 
     return (
-        constraints.event_rows(events)
+        row_violations("chat_events", events, event_checks)
         .unionByName(constraints.event_ids(events))
-        .unionByName(constraints.survey_rows(surveys))
+        .unionByName(row_violations("surveys", surveys, survey_checks))
         .unionByName(constraints.survey_ids(surveys))
         .unionByName(
             constraints.violations(
@@ -127,12 +154,11 @@ class RawLayer:
 
     def table(self, name: str, state: dict | None = None) -> StoredTable:
         state = state or self.state()
-        schema, partition, _, _ = TABLES[name]
         return StoredTable(
             self.spark,
             f"{self.root}/{name}",
-            schema,
-            partition,
+            versions.schema_of(_versions(state, name)[-1]),
+            TABLES[name][1],
             state["parts"][name],
             state["written"][name],
         )
@@ -174,6 +200,82 @@ class RawLayer:
         own = self.table("surveys")
         return own.read(own.holding("chat_id", spans)).select(*SURVEYS.fieldNames())
 
+    def delivered(self, rows: DataFrame, name: str) -> DataFrame:
+        """Delivered rows in the columns that the table has now, with their source date."""
+        return conform_delivery(rows, self.table(name).schema)
+
+    def delivery_schema(self, name: str) -> T.StructType:
+        """The columns that deliveries have for the table as it is now."""
+        return T.StructType(delivered_fields(self.table(name).schema))
+
+    def change_table(
+        self,
+        name: str,
+        add: Sequence[T.StructField] = (),
+        checks: dict[str, str | None] | None = None,
+    ) -> None:
+        """Give ``chat_events`` or ``surveys`` further columns and other checks, in one commit.
+
+        Rows stored before have NULL in an added column, so it must be nullable.
+        ``checks`` has a new condition for every check that is replaced or added, and
+        None for one that is dropped; a condition that comes out NULL passes. Stored rows
+        are tested against a new condition unless they have met the very same one since
+        they were written. A row that breaks it raises ``GateError`` and nothing changes.
+        What is in force already is no change and makes no commit.
+        """
+        if name not in CHECKS:
+            raise ValueError(f"{name} has no versions")
+        number = self.commit_number()
+        before = self.commits.read(number)
+        known = _versions(before, name)
+        schema = versions.with_columns(versions.schema_of(known[-1]), add, TAKEN_NAMES)
+        now = versions.with_checks(known[-1]["checks"], checks or {})
+        entry = versions.entry(schema, now, number + 1)
+        if versions.same(entry, known[-1]):
+            return
+        stored = replace(self.table(name, before), schema=schema)
+        # Also without rows a condition must be one over the table's columns.
+        for condition in now.values():
+            stored.read([]).where(condition)
+        under = before.get("under", {}).get(name, {})
+        folders = {f for part in stored.parts.values() for f in part}
+        for unmet, own in versions.unproven(now, known, under, folders):
+            rows = only_folders(stored, own).read()
+            require(row_violations(name, rows, unmet), messages_of(unmet))
+        state = _copy(before)
+        state["versions"] = {n: _versions(before, n) for n in TABLES}
+        state["versions"][name] = [*known, entry]
+        self.commits.add(number + 1, state)
+
+    def rows_by_version(self, name: str) -> DataFrame:
+        """The rows of a table with the ``version`` they were written under, from 1."""
+        state = self.state()
+        stored, under = self.table(name, state), state.get("under", {}).get(name, {})
+        by_version: dict[int, set[str]] = {0: set()}
+        for folder in {f for part in stored.parts.values() for f in part}:
+            by_version.setdefault(under.get(folder, 0), set()).add(folder)
+        frames = [
+            only_folders(stored, own).read().withColumn("version", F.lit(place + 1))
+            for place, own in sorted(by_version.items())
+        ]
+        return reduce(DataFrame.unionByName, frames)
+
+    def schema_log(self, name: str) -> DataFrame:
+        """Every version of a table: its commit, columns, checks, and stored rows."""
+        state = self.state()
+        under, rows = state.get("under", {}).get(name, {}), Counter()
+        for part in state["parts"][name].values():
+            for folder, summary in part.items():
+                rows[under.get(folder, 0)] += summary.get("rows", 0)
+        log = [
+            (place + 1, v["commit"], versions.schema_of(v).fieldNames(), v["checks"], rows[place])
+            for place, v in enumerate(_versions(state, name))
+        ]
+        return self.spark.createDataFrame(
+            log,
+            "version int, commit bigint, columns array<string>, checks map<string, string>, rows bigint",
+        )
+
     def store_rejects(self, rejects: DataFrame, dates: Sequence[date]) -> None:
         """Replace the rejected lines of ``dates``."""
         self.create()
@@ -203,8 +305,9 @@ class RawLayer:
         number = self.commit_number()
         before = self.commits.read(number)
         stored = {name: self.table(name, before) for name in ("chat_events", "surveys")}
-        events = conform_delivery(events, CHAT_EVENTS)
-        surveys = conform_delivery(surveys, SURVEYS)
+        events = conform_delivery(events, stored["chat_events"].schema)
+        surveys = conform_delivery(surveys, stored["surveys"].schema)
+        survey_columns = stored["surveys"].schema.fieldNames()
         replaced = _replaced(stored["chat_events"], dates, replace_by)
         change = replace_dates(
             stored["chat_events"].read(replaced), stored["surveys"].read([]),
@@ -233,7 +336,11 @@ class RawLayer:
             matching(stored["surveys"].read(meeting), "chat_id", deleted_chats),
             new_surveys,
         )
-        require(load_violations(staged), LOAD_CONSTRAINTS)
+        checks = {name: _versions(before, name)[-1]["checks"] for name in stored}
+        require(
+            load_violations(staged, checks["chat_events"], checks["surveys"]),
+            messages_of({**checks["chat_events"], **checks["surveys"]}),
+        )
         self._require_dates(new_surveys, dates)
 
         state, folder = _copy(before), fresh_folder()
@@ -241,9 +348,7 @@ class RawLayer:
             del state["parts"]["chat_events"][name]
         self._put(state, folder, "chat_events", new_events, event_parts)
         rewritten = stored["surveys"].read(losing).join(deleted_chats, "chat_id", "left_anti")
-        rewritten = rewritten.select(*STORED_SURVEYS.fieldNames()).unionByName(
-            new_surveys.select(*STORED_SURVEYS.fieldNames())
-        )
+        rewritten = rewritten.select(*survey_columns).unionByName(new_surveys.select(*survey_columns))
         if losing:
             rewritten = materialize(rewritten, "load-rewritten-surveys")
             survey_parts = summaries(rewritten, ["source_date"], ["survey_id", "chat_id"])
@@ -311,8 +416,9 @@ class RawLayer:
         """
         if not parts:
             return
-        schema, partition, order, _ = TABLES[name]
-        rows = rows.select(*schema.fieldNames())
+        _, partition, order, _ = TABLES[name]
+        known = _versions(state, name)
+        rows = rows.select(*versions.schema_of(known[-1]).fieldNames())
         if partition:
             rows = rows.repartitionByRange(*partition, *order)
             rows = rows.sortWithinPartitions(*partition, *order)
@@ -322,6 +428,7 @@ class RawLayer:
         for part, summary in parts.items():
             state["parts"][name].setdefault(part, {})[folder] = summary
         state["written"][name][folder] = len(parts)
+        state.setdefault("under", {}).setdefault(name, {})[folder] = len(known) - 1
 
     def _put_rejects(
         self, state: dict, folder: str, rejects: DataFrame, dates: Sequence[date]
@@ -370,6 +477,20 @@ def replace_parts(table: StoredTable, parts: dict[str, dict[str, dict]]) -> Stor
     return replace(table, parts={name: own for name, own in parts.items() if own})
 
 
+def only_folders(table: StoredTable, folders: set[str]) -> StoredTable:
+    """The table with no rows but those of some folders."""
+    parts = {
+        name: {folder: summary for folder, summary in own.items() if folder in folders}
+        for name, own in table.parts.items()
+    }
+    return replace_parts(table, parts)
+
+
+def _versions(state: dict, name: str) -> list[dict]:
+    """The versions of a table; a state from before there were any has the first."""
+    return state.get("versions", FIRST_STATE["versions"])[name]
+
+
 def _copy(state: dict) -> dict:
     return json.loads(json.dumps(state))
 
@@ -383,10 +504,15 @@ def _replaced(stored: StoredTable, dates: Sequence[date], replace_by: str) -> li
 
 def conform_delivery(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Delivered rows in the table's types, with their source date."""
-    typed = T.StructType([*schema.fields, T.StructField("source_date", T.DateType())])
+    typed = T.StructType([*delivered_fields(schema), T.StructField("source_date", T.DateType())])
     return conform(df, typed)
 
 
+def delivered_fields(schema: T.StructType) -> list[T.StructField]:
+    """The columns of a table that its deliveries bring."""
+    return [field for field in schema.fields if field.name not in ("event_date", "source_date")]
+
+
 def batch_counts(events: DataFrame, surveys: DataFrame, runs: DataFrame) -> DataFrame:
     """Delivered surveys and events per source date; 0 for an empty delivery."""
 

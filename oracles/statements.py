@@ -292,6 +292,11 @@ again AS (SELECT * FROM packed WHERE ingestion_date={_AGAIN} AND n%2=0),
 after AS (SELECT * FROM cut UNION ALL SELECT * FROM again),
 after_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM again) OR (chat_id IN (SELECT chat_id FROM cut)
   AND chat_id NOT IN (SELECT chat_id FROM packed WHERE CAST(event_timestamp AS DATE)<>ingestion_date)))"""
+_CHANGED = f"""{_PACKED},
+versions AS (SELECT *, CASE WHEN ingestion_date>={_AGAIN} OR ingestion_date=DATE '1997-01-10' THEN 2 ELSE 1 END AS version FROM packed),
+changed AS (SELECT event_id, chat_id, agent_id,
+  CASE WHEN version=2 AND n%7=0 AND event_type='customer_responded' THEN 'customer_left_note' ELSE event_type END AS event_type,
+  event_timestamp, ingestion_date, CASE WHEN version=2 THEN CASE n%3 WHEN 0 THEN 'web' WHEN 1 THEN 'phone' END END AS channel, version FROM versions)"""
 _WITHDRAWN = f"""{_PACKED},
 one_less AS (SELECT * FROM packed WHERE (ingestion_date<>{_AGAIN} OR n%2=0) AND ingestion_date<>DATE '1997-01-10'),
 one_less_sv AS (SELECT * FROM sv WHERE chat_id IN (SELECT chat_id FROM one_less))"""
@@ -364,6 +369,15 @@ def statements() -> dict[str, str]:
             _WITHDRAWN,
             _fact("one_less", "one_less_sv"),
         ),
+        "raw_after_schema_change": with_fixture(
+            f"SELECT {_EVENT_COLUMNS}, channel, version FROM changed", "late", _CHANGED
+        ),
+        "schema_log_after_change": with_fixture(
+            """SELECT version, concat('event_id,chat_id,agent_id,event_type,event_timestamp,ingestion_date,event_date', CASE WHEN version=2 THEN ',channel' ELSE '' END) AS columns,
+ version=2 AS takes_notes, COUNT(*) AS rows FROM changed GROUP BY version""",
+            "late",
+            _CHANGED,
+        ),
         "kpi_after_reload": _reports_after_runs("SELECT * FROM kpi"),
         "agent_performance_after_reload": _reports_after_runs("SELECT * FROM agent_days"),
         "chat_events": with_fixture(f"SELECT {_EVENT_COLUMNS} FROM clean"),
