@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.attributes import date_key, kind_of
 from ..functions.numeric import seconds_between
 from ..schemas import CLOSURES, FACT_CHAT_RESOLUTION, FIRST_RESPONSE_SLA, RESOLUTION_SLA, conform
+from ..session import materialize
 from .dimensions import with_fresh_keys
 from .profile import SURVEY_STATES, state_column
+from .spread import beyond_broadcast, spread_join
 
 ROLLUP_COLUMNS = (
     "chat_id",
@@ -106,14 +108,18 @@ def with_dimension_keys(
     """Replace natural keys by surrogate keys; unassigned chats keep a NULL agent.
 
     The two seeded dimensions have three and four rows and are broadcast. The
-    agent dimension grows, so Spark chooses by its size.
+    agent dimension, a written table, grows: Spark broadcasts it by its size, and
+    beyond that chats of busy agents and without any stay out of the shuffle.
     """
-    return (
-        source.join(F.broadcast(dim_resolution_type.select("resolution_type_key", "resolution_code")), "resolution_code")
-        .join(F.broadcast(dim_survey_response.select("survey_response_key", "response_code")), "response_code")
-        .join(dim_agent.select("agent_key", "agent_id"), "agent_id", "left")
-        .drop("resolution_code", "response_code", "agent_id")
-    )
+    agents = dim_agent.select("agent_key", "agent_id")
+    coded = source.join(
+        F.broadcast(dim_resolution_type.select("resolution_type_key", "resolution_code")), "resolution_code"
+    ).join(F.broadcast(dim_survey_response.select("survey_response_key", "response_code")), "response_code")
+    if beyond_broadcast(agents):
+        keyed = spread_join(materialize(coded, "coded-fact"), agents, "agent_id")
+    else:
+        keyed = coded.join(agents, "agent_id", "left")
+    return keyed.drop("resolution_code", "response_code", "agent_id")
 
 
 def synchronise(

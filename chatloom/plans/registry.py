@@ -21,6 +21,7 @@ from ..operators.fact import (
 from ..operators.gate import delivery_contract, source_gate
 from ..operators.profile import chat_profile
 from ..operators.replacement import EVENT_DATE, INGESTION_DATE, Replacement, replace_dates
+from ..operators.spread import spread_join
 from ..schemas import DIM_DATE
 from ..session import materialize, scratch_root
 from ..sources.deliveries import read_deliveries, write_deliveries
@@ -293,6 +294,17 @@ def _without_a_year(log: ChatLog) -> ChatLog:
     return ChatLog(events, log.numbered_surveys.join(left, "chat_id", "left_semi"))
 
 
+def fact_with_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fact row with its agent, joined as with a dimension too large to broadcast.
+
+    With twelve parts about half of the agents are heavy.
+    """
+    mart = mart_of(spark, sf_dir)
+    rows = mart.fact_chat_resolution.select("chat_id", "agent_key")
+    agents = mart.dim_agent.select("agent_key", "agent_id", "agent_name", "support_team")
+    return spread_join(rows, agents, "agent_key", parts=12).drop("agent_key")
+
+
 def _sync(spark: SparkSession, sf_dir: str) -> tuple[Mart, DataFrame]:
     mart = mart_of(spark, sf_dir)
     log = _without_a_year(chat_log(spark, sf_dir))
@@ -427,6 +439,7 @@ def catalog() -> dict[str, Query]:
         "dim_date_insert_absent": dim_date_insert_absent,
         "chat_rollup": rollup,
         "fact_chat_resolution": fact_chat_resolution,
+        "fact_with_agents": fact_with_agents,
         "fact_sync": fact_sync,
         "fact_stale": fact_stale,
         "fact_keys_stable": fact_keys_stable,

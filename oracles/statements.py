@@ -467,6 +467,9 @@ def statements() -> dict[str, str]:
         ),
         "chat_rollup": with_fixture("SELECT * FROM rollup", _rollup("clean")),
         "fact_chat_resolution": with_fixture("SELECT * FROM fact", _CLEAN_FACT),
+        "fact_with_agents": _reports(
+            "SELECT chat_id, agent_id, agent_name, support_team FROM fact LEFT JOIN dim_agent USING (agent_id)"
+        ),
         "fact_sync": with_fixture("SELECT * FROM fact", _OLD_EVENTS, _OLD_FACT),
         "fact_stale": with_fixture(
             "SELECT chat_id FROM fact WHERE year(ingestion_date)=1997", _CLEAN_FACT
