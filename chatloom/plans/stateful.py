@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -312,14 +312,27 @@ def backup_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _backed_up(spark, sf_dir).surveys
 
 
+def _lines_of(events: DataFrame, **replaced: Column) -> Column:
+    """Events as lines of a delivery, some of their fields replaced."""
+    formats = {"timestampNTZFormat": TIMESTAMP_FORMAT, "dateFormat": DATE_FORMAT}
+    fields = [replaced.get(name, F.col(name)).alias(name) for name in sorted(EVENT_COLUMNS)]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false", **formats})
+
+
+def _read_back(spark: SparkSession, events: DataFrame, line: Column) -> Deliveries:
+    root = _fresh_folder(spark, "lines")
+    months = events.select(F.trunc("ingestion_date", "month").alias("source_date"), line)
+    months.write.partitionBy("source_date").text(f"{root}/chat_logs")
+    return read_deliveries(spark, root)
+
+
 def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines accepted and rejected per month, after damage to some of them.
 
     Damaged lines have two objects, are an array, are null, or are cut short.
     """
     events = chat_log(spark, sf_dir).numbered_events
-    formats = {"timestampNTZFormat": TIMESTAMP_FORMAT, "dateFormat": DATE_FORMAT}
-    line = F.to_json(F.struct(*sorted(EVENT_COLUMNS)), {"ignoreNullFields": "false", **formats})
+    line = _lines_of(events)
     kind = F.col("n") % DAMAGE_STEP
     damaged = (
         F.when(kind == 1, F.concat(line, line))
@@ -328,10 +341,7 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 4, F.substring(line, F.lit(1), F.length(line) - 2))
         .otherwise(line)
     )
-    root = _fresh_folder(spark, "lines")
-    months = events.select(F.trunc("ingestion_date", "month").alias("source_date"), damaged)
-    months.write.partitionBy("source_date").text(f"{root}/chat_logs")
-    got = read_deliveries(spark, root)
+    got = _read_back(spark, events, damaged)
     both = got.events.select("source_date", F.lit(1).alias("good")).unionByName(
         got.rejects.select("source_date", F.lit(0).alias("good"))
     )
@@ -341,11 +351,35 @@ def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines per month and reason, with the files that they came from.
+
+    Some lines have two objects, some no JSON in their braces, others one or two fields
+    that don't fit.
+    """
+    events = chat_log(spark, sf_dir).numbered_events
+    line, soon = _lines_of(events), F.lit("soon")
+    kind = F.col("n") % DAMAGE_STEP
+    damaged = (
+        F.when(kind == 1, F.concat(line, line))
+        .when(kind == 2, F.replace(line, F.lit('"event_id":'), F.lit('"event_id"')))
+        .when(kind == 3, _lines_of(events, event_timestamp=soon))
+        .when(kind == 4, _lines_of(events, agent_id=soon, ingestion_date=soon))
+        .otherwise(line)
+    )
+    rejects = _read_back(spark, events, damaged).rejects
+    month = F.regexp_extract("file", r"source_date=([0-9-]+)/[^/]+$", 1).cast("date")
+    return rejects.groupBy("source_date", "reason").agg(
+        F.count("*").alias("lines"),
+        F.count_if(month == F.col("source_date")).alias("in_its_file"),
+    )
+
+
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         raw_after_runs, surveys_after_runs, raw_after_event_date_runs,
         surveys_after_event_date_runs, batch_log_after_runs, raw_after_failed_load,
         mart_after_reload, mart_after_full_refresh, mart_after_two_refreshes, kpi_after_reload,
-        agent_performance_after_reload, raw_after_schema_change, schema_log_after_change, backup_after_two_runs, backup_surveys, rejected_lines,
+        agent_performance_after_reload, raw_after_schema_change, schema_log_after_change, backup_after_two_runs, backup_surveys, rejected_lines, reject_reasons,
     )
     return {f.__name__: f for f in listed}

@@ -24,6 +24,13 @@ from .folders import delete_folder, names_in
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 DATE_FORMAT = "yyyy-MM-dd"
 CORRUPT = "corrupt_record"
+PARSING = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    "timestampNTZFormat": TIMESTAMP_FORMAT,
+    "dateFormat": DATE_FORMAT,
+}
+NOT_ONE_OBJECT, NOT_JSON = "not one object", "not JSON"
 
 EVENTS_NAME, SURVEYS_NAME = "chat_logs", "surveys"
 
@@ -34,6 +41,10 @@ REJECTS = T.StructType(
         T.StructField("line", T.StringType()),
     ]
 )
+# With the file that the line came from, and why it was rejected.
+EXPLAINED_REJECTS = T.StructType(
+    [*REJECTS.fields, T.StructField("file", T.StringType()), T.StructField("reason", T.StringType())]
+)
 
 
 @dataclass(frozen=True)
@@ -121,6 +132,30 @@ def is_one_object(line: Column) -> Column:
     return bare.rlike(r"^\s*\{[^{}]*\}\s*$")
 
 
+def _parsed(line: Column, fields: Sequence[T.StructField]) -> Column:
+    corrupt = T.StructField(CORRUPT, T.StringType())
+    return F.from_json(line, T.StructType([*fields, corrupt]), PARSING)
+
+
+def reason_of(line: Column, schema: T.StructType) -> Column:
+    """Why a line was rejected: it isn't one object, isn't JSON, or the names of the
+    fields that don't fit their types.
+
+    Each field is parsed on its own, so this is for lines that are known to be rejected.
+    """
+
+    def unfit(*fields: T.StructField) -> Column:
+        return _parsed(line, fields)[CORRUPT].isNotNull()
+
+    named = [F.when(unfit(field), F.lit(field.name)) for field in schema.fields]
+    absent = T.StructField("_" + "_".join(schema.fieldNames()), T.StringType())
+    return (
+        F.when(~is_one_object(line), NOT_ONE_OBJECT)
+        .when(unfit(absent), NOT_JSON)
+        .otherwise(F.concat_ws(",", *named))
+    )
+
+
 def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """Parsed rows with ``corrupt_record`` set where the line does not fit.
 
@@ -134,31 +169,27 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFr
                 *schema.fields,
                 T.StructField(CORRUPT, T.StringType()),
                 T.StructField("source_date", T.DateType()),
+                T.StructField("file", T.StringType()),
             ]
         )
         return spark.createDataFrame([], nothing)
-    parsed = F.from_json(
-        "value",
-        T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]),
-        {
-            "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": CORRUPT,
-            "timestampNTZFormat": TIMESTAMP_FORMAT,
-            "dateFormat": DATE_FORMAT,
-        },
-    )
+    parsed = _parsed(F.col("value"), schema.fields)
     day = F.regexp_extract(F.col("_metadata.file_path"), r".*(\d{4}-\d{2}-\d{2})/", 1)
     broken = F.when(~is_one_object(F.col("value")), F.col("value"))
     return (
         spark.read.text(paths)
         .where(F.length(F.trim("value")) > 0)
         .select(
-            parsed.alias("row"), broken.alias("broken"), F.to_date(day, DATE_FORMAT).alias("day")
+            parsed.alias("row"),
+            broken.alias("broken"),
+            F.to_date(day, DATE_FORMAT).alias("day"),
+            F.col("_metadata.file_path").alias("file"),
         )
         .select(
             *[F.col(f"row.{name}") for name in schema.fieldNames()],
             F.coalesce("broken", f"row.{CORRUPT}").alias(CORRUPT),
             F.col("day").alias("source_date"),
+            "file",
         )
     )
 
@@ -176,7 +207,7 @@ def read_deliveries(
 
     A line that does not fit the schema, or is anything but one object, is
     rejected as a whole: it would otherwise load with its bad field silently
-    NULL, or lose what follows the first object.
+    NULL, or lose what follows the first object. A reject has its line, file and reason.
     """
     wanted = None if dates is None else set(dates)
 
@@ -187,16 +218,22 @@ def read_deliveries(
     events = _read(spark, paths(EVENTS_NAME), event_schema)
     surveys = _read(spark, paths(SURVEYS_NAME), survey_schema)
 
-    def rejected(df: DataFrame, name: str) -> DataFrame:
+    def rejected(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
         return df.where(F.col(CORRUPT).isNotNull()).select(
-            "source_date", F.lit(name).alias("source"), F.col(CORRUPT).alias("line")
+            "source_date",
+            F.lit(name).alias("source"),
+            F.col(CORRUPT).alias("line"),
+            "file",
+            reason_of(F.col(CORRUPT), schema).alias("reason"),
         )
 
     def accepted(df: DataFrame) -> DataFrame:
-        return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "file")
 
     return Deliveries(
         accepted(events),
         accepted(surveys),
-        rejected(events, EVENTS_NAME).unionByName(rejected(surveys, SURVEYS_NAME)),
+        rejected(events, EVENTS_NAME, event_schema).unionByName(
+            rejected(surveys, SURVEYS_NAME, survey_schema)
+        ),
     )

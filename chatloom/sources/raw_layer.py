@@ -35,7 +35,7 @@ from .commits import (
     spans_of,
     summaries,
 )
-from .deliveries import REJECTS
+from .deliveries import EXPLAINED_REJECTS
 from .folders import delete_folder, names_in
 
 STORED_EVENTS = T.StructType([*CHAT_EVENTS.fields, T.StructField("event_date", T.DateType())])
@@ -51,7 +51,7 @@ TABLES = {
         ["event_id", "chat_id"],
     ),
     "surveys": (STORED_SURVEYS, ["source_date"], ["chat_id"], ["survey_id", "chat_id"]),
-    "rejects": (REJECTS, ["source_date"], ["source"], []),
+    "rejects": (EXPLAINED_REJECTS, ["source_date"], ["source"], []),
     "batch_log": (BATCH_LOG, [], ["batch_id"], []),
     "touched_chats": (CHAT_IDS, [], ["chat_id"], []),
 }
@@ -179,7 +179,7 @@ class RawLayer:
         return self.table("batch_log").read()
 
     def rejects(self) -> DataFrame:
-        """Lines of the deliveries loaded last for each date that did not parse."""
+        """Lines of the deliveries loaded last for each date that did not parse, and why."""
         return self.table("rejects").read()
 
     def touched_since(self, commit: int) -> tuple[DataFrame, list[Span]]:
@@ -433,7 +433,8 @@ class RawLayer:
     def _put_rejects(
         self, state: dict, folder: str, rejects: DataFrame, dates: Sequence[date]
     ) -> None:
-        rows = rejects.where(F.col("source_date").isin(*dates))
+        rows = conform(rejects, versions.schema_of(_versions(state, "rejects")[-1]))
+        rows = rows.where(F.col("source_date").isin(*dates))
         for day in dates:
             state["parts"]["rejects"].pop(str(day), None)
         self._put(state, folder, "rejects", rows, summaries(rows, ["source_date"], []))

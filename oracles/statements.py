@@ -339,6 +339,11 @@ def statements() -> dict[str, str]:
             "SELECT source_date, COUNT(*) FILTER (WHERE NOT bad) AS accepted, COUNT(*) FILTER (WHERE bad) AS rejected FROM shaped GROUP BY source_date",
             _SHAPED,
         ),
+        "reject_reasons": with_fixture(
+            """SELECT source_date, CASE n%97 WHEN 1 THEN 'not one object' WHEN 2 THEN 'not JSON' WHEN 3 THEN 'event_timestamp' ELSE 'agent_id,ingestion_date' END AS reason,
+ COUNT(*) AS lines, COUNT(*) AS in_its_file FROM shaped WHERE bad GROUP BY ALL""",
+            _SHAPED,
+        ),
         "raw_after_runs": with_fixture(f"SELECT {_EVENT_COLUMNS} FROM after", "late", _RUNS),
         "surveys_after_runs": with_fixture(f"SELECT {_SURVEY_COLUMNS} FROM after_sv", "late", _RUNS),
         "raw_after_event_date_runs": with_fixture(

@@ -6,7 +6,8 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from chatloom.schemas import CLOSED_BY_CUSTOMER
-from chatloom.sources.deliveries import read_deliveries, write_deliveries, write_delivery
+from chatloom.sources.deliveries import REJECTS, read_deliveries, write_deliveries, write_delivery
+from chatloom.sources.raw_layer import RawLayer
 
 from .helpers import DAY, abandoned_chat, at, frames, ordinary_chat, rows_of
 
@@ -90,3 +91,34 @@ def test_missing_days_are_empty(spark, tmp_path):
     got = read_deliveries(spark, str(tmp_path), [DAY])
     assert got.events.count() == got.surveys.count() == got.rejects.count() == 0
     assert "source_date" in got.events.columns
+
+
+def test_rejects_say_why_and_where(spark, tmp_path):
+    day = tmp_path / DAY.isoformat()
+    day.mkdir()
+    good = {"survey_id": "s1", "chat_id": "c}\"{1", "survey_skipped": True, "customer_input": None}
+    unfit = {**good, "survey_skipped": "perhaps", "customer_input": {"a": "}"}}
+    expected = {
+        json.dumps({**good, "survey_skipped": "perhaps"}): "survey_skipped",
+        json.dumps(good) * 2: "not one object",
+        "[]": "not one object",
+        '{"survey_id" "s1"}': "not JSON",
+        '{"survey_id": "s1", "chat_id": 1 2}': "not JSON",
+        json.dumps(unfit): "not one object",
+    }
+    (day / "surveys.jsonl").write_text("\n".join([json.dumps(good), *expected]) + "\n")
+    got = read_deliveries(spark, str(tmp_path))
+    assert got.surveys.count() == 1
+    assert {row.line: row.reason for row in got.rejects.collect()} == expected
+    files = {row.file for row in got.rejects.collect()}
+    assert len(files) == 1 and files.pop().endswith(f"{DAY.isoformat()}/surveys.jsonl")
+
+
+def test_stored_rejects_keep_reasons_and_take_lines_without(spark, tmp_path):
+    raw = RawLayer(spark, f"{tmp_path}/raw")
+    plain = spark.createDataFrame([(DAY, "surveys", "{")], REJECTS)
+    raw.store_rejects(plain, [DAY])
+    assert rows_of(raw.rejects()) == [(DAY, "surveys", "{", None, None)]
+    explained = plain.withColumns({"file": F.lit("f"), "reason": F.lit("not JSON")})
+    raw.store_rejects(explained, [DAY])
+    assert rows_of(raw.rejects()) == [(DAY, "surveys", "{", "f", "not JSON")]
