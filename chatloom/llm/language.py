@@ -18,6 +18,8 @@ from .tables import Scratch, packed_batch, text_rows
 # One text in so many is held out from learning.
 FOLDS = 10
 SMOOTHING = 0.1
+# Pseudo-counts that the vocabulary's own weights have against the corpus.
+PRIOR = 1000.0
 # Text bytes whose words share one dictionary.
 BLOCK_BYTES = 16 << 20
 # Words that are segmented together.
@@ -131,6 +133,40 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def refitted(prior: dict[str, float], counts: dict[str, float]) -> dict[str, float]:
+    """Weights of pieces by their expected counts, the prior's as pseudo-counts."""
+    total = sum(counts.values()) + PRIOR
+    return {p: (counts.get(p, 0.0) + PRIOR * w) / total for p, w in prior.items()}
+
+
+def _learned(words: DataFrame, prior: dict[str, float]) -> dict[str, float]:
+    """The weights of pieces that the training words tell: one step of expectation and
+    maximisation. A word counts once however often it occurs, as the pieces have to
+    spell the new words. The driver receives one row per piece of the vocabulary.
+    """
+    shared = words.sparkSession.sparkContext.broadcast({p: math.log(w) for p, w in prior.items()})
+
+    def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(shared.value)
+        counts = np.zeros(len(lattice.pieces))
+        for table in _gathered(batches):
+            counts += lattice.expected(table.column("word").to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lattice.pieces, pa.string()), pa.array(counts)], names=["piece", "times"]
+        )
+
+    pieces = words.filter("seen > 0").select("word").mapInArrow(expected, "piece string, times double")
+    found = pieces.groupBy("piece").agg(F.sum("times").alias("times")).collect()
+    return refitted(prior, {row.piece: row.times for row in found})
+
+
+def mixed(new: float, share: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Log10 of (1 - new) * share + new * 10 ** other, also where the power is below a double."""
+    with np.errstate(divide="ignore"):
+        own = np.log((1 - new) * np.asarray(share, dtype=float))
+    return np.logaddexp(own, math.log(new) + np.asarray(other) * math.log(10)) / math.log(10)
+
+
 def _weighed(words: DataFrame, logs: dict[str, float]) -> DataFrame:
     """(word, seen, weight): log10 of the sum over all segmentations of the word."""
     shared = words.sparkSession.sparkContext.broadcast(logs)
@@ -148,7 +184,11 @@ def _weighed(words: DataFrame, logs: dict[str, float]) -> DataFrame:
 
 
 def language_scores(
-    df: DataFrame, vocabulary_path: str, text: str = "text", key: str = "doc_id"
+    df: DataFrame,
+    vocabulary_path: str,
+    text: str = "text",
+    key: str = "doc_id",
+    learned: bool = False,
 ) -> DataFrame:
     """Log10 probabilities of whole texts.
 
@@ -160,7 +200,10 @@ def language_scores(
     the share of ends among the training tokens, probability 1/2.
 
     The vocabulary's own weights weigh the segmentations of a word; they are not
-    fitted to the corpus. What is learned is how often a text ends.
+    fitted to the corpus. What is learned is how often a text ends. With ``learned`` the
+    weights are those that the training words tell, and a token's probability is
+    (1 - new) times its share of the training tokens plus ``new`` times that of the
+    lattice; ``new`` is kinds / (tokens + kinds) of the training texts (Witten and Bell).
 
     Words don't cross white space, so the sum over the segmentations of a text is
     the product of those of its words. Every distinct word is weighed once. Texts
@@ -177,8 +220,13 @@ def language_scores(
     total, kinds = (told[0] or 0) + ends, told[1] + (ends > 0)
     share = (ends + SMOOTHING) / (total + 2 * SMOOTHING)
     end, onward = math.log10(share), math.log10(1 - share)
-    logs = {piece: math.log(weight) for piece, weight in vocabulary(vocabulary_path).items()}
+    weights = vocabulary(vocabulary_path)
+    if learned:
+        weights = _learned(words, weights)
+    new = kinds / (total + kinds) if learned and total else 1.0
+    logs = {piece: math.log(weight) for piece, weight in weights.items()}
     weighed = scratch.put(_weighed(words, logs), "weighed")
+    last = float(mixed(new, ends / max(total, 1), end))
     scale = total + SMOOTHING * (kinds + 1)
     known = entries.drop("seen").join(weighed, "word").select("block", "place", "seen", "weight")
 
@@ -188,6 +236,7 @@ def language_scores(
         seen, weight = np.zeros(size), np.zeros(size)
         seen[place] = own.column("seen").to_numpy()
         weight[place] = own.column("weight").to_numpy() + onward
+        weight = mixed(new, seen / max(total, 1), weight)
         base = np.log10((seen + SMOOTHING) / scale)
         parts = []
         for packed in docs.column("docs"):
@@ -211,7 +260,7 @@ def language_scores(
                         pa.array((summed(seen[code] > 0) + (ends > 0)).astype(np.int64)),
                         pa.array(np.full(n, total), pa.int64()),
                         pa.array(summed(base[code]) + math.log10((ends + SMOOTHING) / scale)),
-                        pa.array(summed(weight[code]) + end),
+                        pa.array(summed(weight[code]) + last),
                     ],
                     names=names,
                 )

@@ -16,6 +16,8 @@ _CELLS = 1 << 20
 # Words of as many characters go by windows, one at a time.
 LONG = 1 << 12
 WINDOW = 1 << 14
+# Learning goes over long words in stretches of as many characters.
+STRETCH = 1 << 8
 
 
 def _hash(text: str) -> int:
@@ -113,17 +115,22 @@ class Lattice:
 
     def _groups(self, words: list[str]):
         """Words of like lengths: their places, their marked texts, the longest length."""
-        sizes = np.array([len(w) + 1 for w in words])
+        places = [i for i, w in enumerate(words) if len(w) < LONG]
+        for own, texts, tall in self._laid([START + words[i] for i in places], _CELLS):
+            yield np.array(places)[own], texts, tall
+
+    def _laid(self, texts: list[str], cells: int):
+        """Texts of like lengths: their places, they, the longest length."""
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
         order = np.argsort(sizes, kind="stable")
-        order = order[: np.searchsorted(sizes[order], LONG, side="right")]
         at = 0
         while at < len(order):
             least = sizes[order[at]]
             end = int(np.searchsorted(sizes[order], least + 1 + least // 4, side="right"))
             # Bounds the matrix of a group, however long its words are.
-            end = min(end, at + max(1, _CELLS // int(least)))
+            end = min(end, at + max(1, cells // int(least)))
             own = order[at:end]
-            yield own, [START + words[i] for i in own], int(sizes[own].max())
+            yield own, [texts[i] for i in own], int(sizes[own].max())
             at = end
 
     def marginals(self, words: list[str]) -> np.ndarray:
@@ -143,6 +150,39 @@ class Lattice:
                 out[place] = self._marginal_of_long(START + word)
         return out
 
+    def expected(self, words: list[str]) -> np.ndarray:
+        """How often each piece is expected in all the words together, every word shared
+        among its segmentations by their weights. Long words go by stretches, whose
+        ends no piece crosses.
+        """
+        counts = np.zeros(len(self.pieces))
+        texts = [START + word for word in words]
+        cut = [t[i : i + STRETCH] for t in texts if len(t) > LONG for i in range(0, len(t), STRETCH)]
+        texts = [t for t in texts if len(t) <= LONG] + cut
+        # All arcs of a group are held, so it is smaller than one of forward sums alone.
+        for _, own, tall in self._laid(texts, _CELLS // 4):
+            arcs = [(*arc, self._weights(arc[3])) for arc in self._arcs(own, tall)]
+            ahead = np.full((tall + 1, len(own)), -np.inf)
+            ahead[0] = 0.0
+            for start, end, columns, _, weights in arcs:
+                ahead[end, columns] = np.logaddexp(
+                    ahead[end, columns], ahead[start, columns] + weights
+                )
+            sizes, every = np.array([len(t) for t in own]), np.arange(len(own))
+            total = ahead[sizes, every]
+            behind = np.full_like(ahead, -np.inf)
+            behind[sizes, every] = 0.0
+            for start, end, columns, numbers, weights in reversed(arcs):
+                rest = weights + behind[end, columns]
+                behind[start, columns] = np.logaddexp(behind[start, columns], rest)
+                share = np.exp(ahead[start, columns] + rest - total[columns])
+                known = numbers >= 0
+                counts += np.bincount(numbers[known], share[known], minlength=len(counts))
+                for code in np.unique(numbers[~known]):
+                    for number in self._spelled(chr(-1 - code)):
+                        counts[number] += share[numbers == code].sum()
+        return counts
+
     def _window(self, codes: np.ndarray, start: int, end: int):
         """(start, end, weight) lists of the arcs that begin in a stretch of one text,
         in the order of their starts, which count from the stretch's."""

@@ -100,7 +100,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_scores(
-        _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), learned=True
     )
 
 

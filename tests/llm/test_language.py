@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 
-from chatloom.llm import language, lattice
+from chatloom.llm import language, lattice, queries
 from chatloom.llm.lattice import START, Lattice, byte_pieces, vocabulary
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -145,3 +145,86 @@ def test_empty_tables_and_no_training(documents):
     (row,) = language.language_scores(documents([(held, "alone")]), PATH).collect()
     assert (row.train_tokens, row.n_known, row.base_score) == (0, 0, 0.0)
     assert math.isfinite(row.score) and row.score < 0
+
+
+def pieces_of(rng):
+    weights = {p: rng.random() + 0.01 for p in PIECES}
+    return {p: w / sum(weights.values()) for p, w in weights.items()}
+
+
+def test_expected_counts_equal_all_segmentations(monkeypatch):
+    pieces = pieces_of(random.Random(3))
+    own = Lattice({p: math.log(w) for p, w in pieces.items()})
+    words = ["a", "ab", "babab", "cab", "aé", "日", "abababababab"]
+
+    def counted(texts):
+        want = Counter()
+        for text in texts:
+            ways = list(segmentations(text, pieces))
+            for p, way in ways:
+                for piece in way:
+                    want[piece] += p / sum(q for q, _ in ways)
+        return [want[p] for p in own.pieces]
+
+    assert np.allclose(own.expected(words), counted([START + w for w in words]))
+    # Every character of a long word is learned from, in stretches.
+    monkeypatch.setattr(lattice, "LONG", 5)
+    monkeypatch.setattr(lattice, "STRETCH", 4)
+    short = [START + w for w in words if len(w) < 5]
+    assert np.allclose(own.expected(words), counted([*short, START + "bab", "ab", START + "aba", "baba", "baba", "b"]))
+
+
+def test_learned_scores(documents, monkeypatch):
+    """The learned model equals its formula, and held-out texts of known and new words
+    don't score far below the base."""
+    rng = random.Random(8)
+    stems = ["".join(rng.choices("aeioulnrst", k=rng.randrange(2, 8))) for _ in range(400)]
+    rows = [
+        (i, " ".join(rng.choice(stems) + rng.choice(["", "", "", "ing", "é"]) for _ in range(60)))
+        for i in range(300)
+    ]
+    rows += [(1000, None), (1001, "x" * 5000), (1002, "日本 " * 3)]
+    monkeypatch.setattr(language, "BLOCK_BYTES", 5000)
+    got = language.language_scores(documents(rows), PATH, learned=True).collect()
+    seen, ends = Counter(), 0
+    for k, t in rows:
+        if zlib.crc32(str(k).encode()) % 10:
+            seen.update((t or "").split())
+            ends += 1
+    total, kinds = sum(seen.values()) + ends, len(seen) + 1
+    prior = vocabulary(PATH)
+    first = Lattice({p: math.log(w) for p, w in prior.items()})
+    found = language.refitted(prior, dict(zip(first.pieces, first.expected(list(seen)))))
+    assert math.isclose(sum(found.values()), 1.0)
+    fitted = Lattice({p: math.log(w) for p, w in found.items()})
+    new, share = kinds / (total + kinds), (ends + 0.1) / (total + 0.2)
+
+    def plain_learned(text):
+        words = (text or "").split()
+        logs = fitted.marginals(words) / math.log(10) + math.log10(1 - share)
+        counts = np.array([seen[w] for w in words] + [ends])
+        return language.mixed(new, counts / total, np.append(logs, math.log10(share))).sum()
+
+    texts = dict(rows)
+    assert len(got) == len(rows)
+    assert np.allclose([r.score for r in got], [plain_learned(texts[r.doc_id]) for r in got])
+    assert all(math.isfinite(r.score) and r.score < 0 for r in got)
+    held = [r for r in got if r.held_out and r.doc_id < 300]
+    assert len(held) > 10
+    assert sum(r.score for r in held) > 1.15 * sum(r.base_score for r in held)
+    own = {r.doc_id: r.score for r in language.language_scores(documents(rows), PATH).collect()}
+    assert sum(own[r.doc_id] for r in held) < 1.5 * sum(r.base_score for r in held)
+
+
+def test_learned_without_training(documents):
+    assert language.language_scores(documents([]), PATH, learned=True).count() == 0
+    held = next(k for k in range(1000) if zlib.crc32(str(k).encode()) % 10 == 0)
+    (row,) = language.language_scores(documents([(held, "alone")]), PATH, learned=True).collect()
+    (own,) = language.language_scores(documents([(held, "alone")]), PATH).collect()
+    assert math.isfinite(row.score) and math.isclose(row.score, own.score)
+
+
+def test_query_scores_held_out_rows_near_the_base(spark):
+    rows = queries.op10_language_scores(spark, "/root/testdata/sf0.001").where("held_out").collect()
+    assert all(math.isfinite(r.score) for r in rows)
+    assert sum(r.score for r in rows) > 1.25 * sum(r.base_score for r in rows)
