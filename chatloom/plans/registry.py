@@ -34,6 +34,7 @@ from ..sources.order_chats import (
     delivered_events,
     delivered_surveys,
     four_hours_late,
+    tasks_for_lines,
 )
 from ..sources.raw_layer import batch_counts
 from . import reports, stateful
@@ -81,6 +82,8 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         delivered_events(log).withColumn("source_date", month),
         delivered_surveys(log).withColumn("source_date", month),
         root,
+        compression="gzip",
+        tasks=tasks_for_lines(log),
     )
     return read_deliveries(spark, root).events
 

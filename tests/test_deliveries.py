@@ -1,12 +1,19 @@
 """JSON Lines deliveries."""
 
+import gzip
 import json
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from chatloom.schemas import CLOSED_BY_CUSTOMER
-from chatloom.sources.deliveries import REJECTS, read_deliveries, write_deliveries, write_delivery
+from chatloom.sources.deliveries import (
+    REJECTS,
+    is_one_object,
+    read_deliveries,
+    write_deliveries,
+    write_delivery,
+)
 from chatloom.sources.raw_layer import RawLayer
 
 from .helpers import DAY, abandoned_chat, at, frames, ordinary_chat, rows_of
@@ -122,3 +129,29 @@ def test_stored_rejects_keep_reasons_and_take_lines_without(spark, tmp_path):
     explained = plain.withColumns({"file": F.lit("f"), "reason": F.lit("not JSON")})
     raw.store_rejects(explained, [DAY])
     assert rows_of(raw.rejects()) == [(DAY, "surveys", "{", "f", "not JSON")]
+
+
+def test_compressed_deliveries_in_many_tasks_read_back(spark, tmp_path):
+    """The rows, their order within a date's files and the outcomes are those of plain ones."""
+    events, answers = frames(spark, *_chats())
+    day = F.lit(DAY)
+    events, answers = events.withColumn("source_date", day), answers.withColumn("source_date", day)
+    write_deliveries(events, answers, f"{tmp_path}/plain", [DAY])
+    write_deliveries(events, answers, f"{tmp_path}/packed", [DAY], compression="gzip", tasks=4)
+    parts = sorted((tmp_path / "packed" / "chat_logs" / f"source_date={DAY}").glob("part-*"))
+    assert len(parts) > 1 and all(p.name.endswith(".gz") for p in parts)
+    lines = "".join(gzip.decompress(p.read_bytes()).decode() for p in parts)
+    (plain,) = (tmp_path / "plain" / "chat_logs" / f"source_date={DAY}").glob("part-*")
+    assert lines == plain.read_text()
+    got = [read_deliveries(spark, f"{tmp_path}/{name}") for name in ("plain", "packed")]
+    assert rows_of(got[0].events) == rows_of(got[1].events)
+    assert rows_of(got[0].surveys) == rows_of(got[1].surveys)
+    counts = got[1].outcomes.groupBy("source", "rejected").count()
+    want = [("chat_logs", False, events.count()), ("surveys", False, answers.count())]
+    assert rows_of(counts) == sorted(want, key=repr)
+
+
+def test_one_object_with_and_without_braces_in_strings(spark):
+    lines = ['{"a":1}', '{"a":"}"}', '{"a":"{"}', '{}{}', '{"a":{}}', ' {"a":1} ', "[]", "{", "}", '{"a":"\\"}"}', '"{"}']
+    found = spark.createDataFrame([(x,) for x in lines], "line string").select(is_one_object(F.col("line")))
+    assert [r[0] for r in found.collect()] == [True, True, True, False, False, True, False, False, False, True, False]
