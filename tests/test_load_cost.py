@@ -2,12 +2,14 @@
 find the same when something is."""
 
 import random
+import re
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from chatloom.operators import gate, lookup, sequence
+from chatloom.operators.constraints import broken_rules
 from chatloom.operators.gate import GateError, source_gate
 from chatloom.operators.lookup import maybe_repeated
 from chatloom.operators.profile import chat_profile
@@ -87,6 +89,17 @@ def test_a_clean_gate_shuffles_no_events_for_activity_and_ties(spark):
     assert exchanges(found) <= 2 and "LocalTableScan <empty>" in plan_of(found)
 
 
+def test_rows_without_a_fault_are_dropped_first(spark):
+    """NULL conditions break nothing, also beside others that are broken."""
+    rows = spark.createDataFrame([(1, None), (2, 3), (None, None), (3, 9), (-1, None)], "a int, b int")
+    rules = {"one": F.col("a") < 0, "two": F.col("b") > 5}
+    found = broken_rules(rows, rules, "a")
+    assert rows_of(found) == [("one", "-1"), ("two", "3")]
+    assert broken_rules(rows, {}, "a").count() == 0
+    condition = re.search(r"Filter \(*([^\n]*)", plan_of(found).split("Generate")[1]).group(1)
+    assert re.match(r"a#\d+ < 0\) OR \(b#\d+ > 5", condition)
+
+
 def test_overtaken_rows_are_known_from_the_dates(spark):
     events, _ = delivered(spark, {DAY: [midnight_chat("chat_1", DAY)], NEXT: day_chats(NEXT, 1)})
     assert any_overtaken(events, [DAY, NEXT], EVENT_DATE)
