@@ -22,6 +22,10 @@ SCALE = 1_000_000_000
 BLOCK_BYTES = 8 << 20
 # Rows of groups and terms that a task sums before it passes them on.
 HELD_ROWS = 400_000
+# Occurrences whose product with SCALE a bigint holds.
+BIGINT_TIMES = 9_000_000_000
+# Steps of a value's natural logarithm.
+STEPS = 64
 # A group's terms are dealt over so many slices before they meet in one task.
 SLICES = 32
 GROUP = ["lang", "source"]
@@ -168,10 +172,13 @@ def _counting(digest: Callable[[bytes], int], spell: bool):
 
 
 def _share(times: str, total: str, kinds: str) -> Column:
-    """1 + floor(SCALE * (times + 1) / (total + kinds)); null without kept terms."""
-    whole = f"nullif(cast({total} as decimal(20,0)) + cast({kinds} as decimal(20,0)), 0)"
+    """1 + floor(SCALE * (times + 1) / (total + kinds)); null without kept terms.
+    Whole numbers beyond a bigint are taken only for counts that need them."""
+    whole = f"nullif({total} + {kinds}, 0L)"
     return F.expr(
-        f"1 + (cast({SCALE} as decimal(10,0)) * (cast({times} as decimal(20,0)) + 1)) div {whole}"
+        f"1L + CASE WHEN {times} < {BIGINT_TIMES}L THEN ({SCALE}L * ({times} + 1L)) div {whole}"
+        f" ELSE (cast({SCALE} as decimal(10,0)) * (cast({times} as decimal(20,0)) + 1)) div {whole}"
+        " END"
     )
 
 
@@ -189,116 +196,178 @@ def _sliced(df: DataFrame, *by: str) -> DataFrame:
     return df.withColumn("slice", F.pmod(F.hash(*by), F.lit(SLICES)))
 
 
-def _counts(
-    rows: DataFrame, parts: DataFrame, digest: Callable[[bytes], int], scratch: Scratch
-) -> tuple[DataFrame, DataFrame]:
-    """Counts per group and term, and the spelling of every digest.
+def _summed(counted: DataFrame, least_documents: int) -> DataFrame:
+    """Sums per group and term, of the terms that their language keeps; with the
+    language's sum, and one row of every term and language marked by ``leads``. Rows
+    without ``lang`` or ``split`` are no counts and stay.
 
-    Only digests are shuffled with the counts. The smallest and the largest term of
-    a digest tell whether it stands for several; the texts' terms of such digests, as
-    a rule none, are counted again with ``split``, the term itself, in the key.
+    All rows of a term and language are dealt to one task and stay there. A task sums
+    what it counts before it is dealt, so it isn't summed again on the way.
     """
-    spelled = parts.filter("term is not null").groupBy("digest")
-    spelled = spelled.agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    spelled = scratch.put(spelled, "spelled")
-    mixed = scratch.put(spelled.filter("low <> high").select("digest"), "mixed")
-
-    def summed(counted: DataFrame, split: Column) -> DataFrame:
-        keyed = counted.withColumn("split", split)
-        return keyed.groupBy(*GROUP, *TERM).agg(
-            F.sum("times").alias("times"), F.sum("docs").alias("docs")
-        )
+    sums = (
+        counted.repartition("lang", "digest")
+        .groupBy(*GROUP, *TERM)
+        .agg(F.sum("times").alias("times"), F.sum("docs").alias("docs"))
+    )
+    same = W.partitionBy("digest", "lang", "split")
+    sums = sums.select(
+        *GROUP,
+        *TERM,
+        "times",
+        F.sum("times").over(same).alias("lang_times"),
+        F.sum("docs").over(same).alias("docs"),
+        (F.min("source").over(same) == F.col("source")).alias("leads"),
+    )
+    kept = F.col("lang").isNull() | F.col("split").isNull() | (F.col("docs") >= least_documents)
+    return sums.filter(kept).drop("docs")
 
-    both = summed(parts.filter("times > 0"), F.lit(""))
+
+def _kept(
+    rows: DataFrame, least_documents: int, digest: Callable[[bytes], int], scratch: Scratch
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Counts per group and kept term, all groups, and the spelling of every digest.
+
+    The parts are shuffled once: counts by digest alone (``split`` empty), spellings
+    (``split``) without a group, and groups without ``split``, dealt by their own hash.
+    A digest with several spellings stands for several terms; the texts' terms of such
+    digests, as a rule none, are counted again with the term itself as ``split``.
+    """
+    parts = rows.mapInArrow(_counting(digest, False), _PARTS_DDL)
+    split = F.when(F.col("lang").isNull(), F.col("term")).when(F.col("digest").isNotNull(), "")
+    dealt = F.coalesce(F.col("digest"), F.xxhash64(*GROUP))
+    parts = parts.select(
+        *GROUP, dealt.alias("digest"), split.alias("split"), "times", "docs"
+    )
+    summed = scratch.put(_summed(parts, least_documents), "summed")
+    spelled = summed.filter("lang is null").select("digest", F.col("split").alias("term"))
+    groups = summed.filter("lang is not null and split is null").select(*GROUP)
+    kept = summed.filter("lang is not null and split is not null")
+    mixed = spelled.groupBy("digest").agg(F.count("*").alias("many")).filter("many > 1")
+    mixed = scratch.put(mixed.select("digest"), "mixed")
     if not mixed.isEmpty():
         terms = rows.mapInArrow(_counting(digest, True), _PARTS_DDL).filter("times > 0")
-        again = summed(terms.join(mixed, "digest", "left_semi"), F.col("term"))
-        both = both.join(mixed, "digest", "left_anti").unionByName(again)
-    return scratch.put(both, "counts"), spelled.select("digest", "low")
+        terms = terms.join(mixed, "digest", "left_semi").withColumnRenamed("term", "split")
+        again = _summed(terms, least_documents)
+        kept = kept.join(mixed, "digest", "left_anti").unionByName(again)
+        kept = scratch.put(kept, "kept")
+    return kept, groups, spelled
 
 
-def _pairs(groups: DataFrame, kept: DataFrame) -> DataFrame:
+def _numbered_groups(groups: DataFrame, kept: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every group with its number ``own``, its sums and those of its language."""
+    totals = kept.groupBy(*GROUP).agg(
+        F.sum("times").alias("total"),
+        F.count("*").alias("present"),
+        F.count_if("leads").alias("leads"),
+    )
+    groups = groups.join(totals, GROUP, "left").na.fill(0)
+    groups = groups.withColumn("own", F.monotonically_increasing_id())
+    groups = scratch.put(groups, "numbered")
+    langs = groups.groupBy("lang").agg(
+        F.sum("leads").alias("kinds"), F.sum("total").alias("lang_total")
+    )
+    groups = groups.drop("leads").join(langs, "lang")
+    return scratch.put(groups.withColumn("none", _share("0L", "total", "kinds")), "groups")
+
+
+def _pairs(groups: DataFrame, weighed: DataFrame) -> DataFrame:
     """Value of every group for every other source of its language.
 
     A term that only one of two sources has depends on its count there and on the
     other source's share of terms without occurrence; one that both lack on two
     such shares. So sources meet by their distinct counts; only terms that both
-    have are matched one by one, and their sums combine map-side. There is a row
-    per two sources of a language, as that is the result.
+    have are matched one by one, once for both directions, and their sums combine
+    map-side. There is a row per two sources of a language, as that is the result.
+
+    Shares of a group sum to SCALE and their number, so that all sums over its terms
+    stay below some SCALE * SCALE: a bigint holds them.
     """
-    sides = groups.select(
-        *GROUP, "total", "kinds", "present", _share("0", "total", "kinds").alias("none")
-    )
-    one = _sliced(sides, "source")
+    sides = groups.select("lang", "own", "kinds", "present", "none")
     other = _spread(
         sides.select(
-            "lang", F.col("source").alias("item"), F.col("none").alias("other_none"),
+            "lang", F.col("own").alias("other"), F.col("none").alias("other_none"),
             F.col("present").alias("other_present"),
         )
     )
-    two = one.join(other, ["lang", "slice"]).filter("source <> item")
+    two = _sliced(sides, "own").join(other, ["lang", "slice"]).filter("own <> other")
     lacking = two.select(
-        *GROUP,
-        "item",
-        (
-            (F.col("kinds") - F.col("present") - F.col("other_present")).cast("decimal(38,0)")
-            * F.coalesce(_excess("none", "other_none"), F.lit(0))
-        ).alias("value"),
+        "own",
+        "other",
+        F.expr("kinds - present - other_present").alias("both"),
+        F.coalesce(_excess("none", "other_none"), F.lit(0)).alias("nones"),
+        F.lit(0).cast("bigint").alias("value"),
     )
-    counted = kept.groupBy(*GROUP, "p", "none").agg(F.count("*").alias("many"))
-    met = _sliced(counted, *GROUP, "p").join(other, ["lang", "slice"]).filter("source <> item")
-    alone = met.select(
-        *GROUP, "item", (F.col("many").cast("decimal(38,0)") * _excess("p", "other_none")).alias("value")
+    counted = weighed.groupBy("lang", "own", "p", "none").agg(F.count("*").alias("many"))
+    met = _sliced(counted, "own", "p").join(other, ["lang", "slice"]).filter("own <> other")
+    met = met.groupBy("own", "other").agg(
+        F.sum(F.col("many") * _excess("p", "other_none")).alias("there"),
+        F.sum(F.col("many") * _excess("other_none", "p")).alias("back"),
+        F.lit(0).cast("bigint").alias("both"),
     )
-    reverse = met.select(
-        "lang", F.col("item").alias("source"), F.col("source").alias("item"),
-        (F.col("many").cast("decimal(38,0)") * _excess("other_none", "p")).alias("value"),
-    )
-    partner = kept.select(
-        "lang", *TERM, F.col("source").alias("item"), F.col("p").alias("q"),
-        F.col("none").alias("other_none"),
-    )
-    shared = kept.join(partner, ["lang", *TERM]).filter("source <> item")
-    shared = shared.select(
-        *GROUP,
-        "item",
-        (
-            _excess("p", "q").cast("decimal(38,0)")
-            - _excess("p", "other_none")
-            - _excess("none", "q")
-            + _excess("none", "other_none")
-        ).alias("value"),
+    # Both sides have the same columns in the same order, so that one shuffle serves both.
+    one = weighed.select("digest", "split", "lang", "own", "p", "none")
+    partner = one.toDF("digest", "split", "lang", "other", "q", "other_none")
+    shared = one.join(partner, ["digest", "split", "lang"]).filter("own < other")
+    shared = shared.groupBy("own", "other").agg(
+        F.sum(_excess("p", "q") - _excess("p", "other_none") - _excess("none", "q")).alias("there"),
+        F.sum(_excess("q", "p") - _excess("q", "none") - _excess("other_none", "p")).alias("back"),
+        F.count("*").alias("both"),
     )
-    parts = lacking.unionByName(alone).unionByName(reverse).unionByName(shared)
-    values = parts.groupBy(*GROUP, "item").agg(F.sum("value").cast("bigint").alias("value"))
-    order = W.partitionBy(*GROUP).orderBy(F.desc("value"), "item")
+    ways = [
+        F.struct(a.alias("own"), b.alias("other"), F.col(value).alias("value"))
+        for a, b, value in (
+            (F.col("own"), F.col("other"), "there"), (F.col("other"), F.col("own"), "back")
+        )
+    ]
+    sums = met.unionByName(shared).select("both", F.explode(F.array(*ways)).alias("way"))
+    sums = sums.select("way.*", "both", F.lit(0).cast("bigint").alias("nones"))
+    values = lacking.unionByName(sums).groupBy("own", "other")
+    wide = "decimal(38,0)"
+    values = values.agg(
+        (
+            F.sum(F.col("value").cast(wide))
+            + F.sum("both").cast("decimal(19,0)") * F.max("nones").cast("decimal(19,0)")
+        ).cast("bigint").alias("value")
+    )
+    named = groups.select("own", *GROUP)
+    items = groups.select(F.col("own").alias("other"), F.col("source").alias("item"))
+    values = values.join(named, "own").join(items, "other")
+    order = W.partitionBy("own").orderBy(F.desc("value"), "item")
     return values.withColumn("rank", F.row_number().over(order))
 
 
 def _first_ranks(rows: DataFrame, order: list[Column], many: int) -> DataFrame:
     """The first ``many`` rows of every group with their ``rank``: first within each
     slice, so that a group of any size is a bounded number of rows in its last task."""
-    within = W.partitionBy(*GROUP, "slice").orderBy(*order)
+    within = W.partitionBy("own", "slice").orderBy(*order)
     first = rows.withColumn("rank", F.row_number().over(within)).filter(F.col("rank") <= many)
-    over = W.partitionBy(*GROUP).orderBy(*order)
+    over = W.partitionBy("own").orderBy(*order)
     return first.withColumn("rank", F.row_number().over(over)).filter(F.col("rank") <= many)
 
 
-def _top_terms(kept: DataFrame, spelled: DataFrame, ranks: int, scratch: Scratch) -> DataFrame:
+def _top_terms(
+    groups: DataFrame, weighed: DataFrame, spelled: DataFrame, ranks: int, scratch: Scratch
+) -> DataFrame:
     """The terms of every group above its language, only the first ``ranks``.
 
-    The value of the last rank comes from numbers alone; texts are joined to the
-    rows that reach it, ties included, and decide among these.
+    The rows of a group are counted by steps of their value's logarithm; the step that
+    holds the last rank, and all above it, are sorted. Texts are joined to these
+    rows alone, ties included, and decide among them.
     """
-    above = kept.filter("p > q").select(*GROUP, *TERM, _excess("p", "q").alias("value"))
-    above = _sliced(above, *TERM)
-    bar = _first_ranks(above, [F.desc("value")], ranks)
-    bar = bar.groupBy(*GROUP).agg(F.min("value").alias("least"))
-    reached = above.join(_spread(bar), [*GROUP, "slice"]).filter("value >= least")
-    reached = scratch.put(reached.drop("least"), "reached")
-    item = F.when(F.col("split") == "", F.col("low")).otherwise(F.col("split"))
-    named = reached.join(spelled, "digest").withColumn("item", item)
-    return _first_ranks(named, [F.desc("value"), F.col("item")], ranks)
+    above = weighed.filter("p > q").select("own", *TERM, _excess("p", "q").alias("value"))
+    step = F.floor(F.log(F.col("value") + 1) * STEPS).cast("int")
+    above = above.withColumn("step", step)
+    higher = W.partitionBy("own").orderBy(F.desc("step")).rowsBetween(W.unboundedPreceding, -1)
+    bar = above.groupBy("own", "step").agg(F.count("*").alias("many"))
+    bar = bar.withColumn("higher", F.coalesce(F.sum("many").over(higher), F.lit(0)))
+    bar = bar.filter(F.col("higher") < ranks).groupBy("own").agg(F.min("step").alias("least"))
+    reached = _sliced(above, *TERM).join(_spread(bar), ["own", "slice"]).filter("step >= least")
+    reached = scratch.put(reached.drop("step", "least"), "reached")
+    whole = reached.filter("split = ''").join(spelled, "digest")
+    apart = reached.filter("split <> ''").withColumn("term", F.col("split"))
+    named = whole.unionByName(apart).withColumnRenamed("term", "item")
+    first = _first_ranks(named, [F.desc("value"), F.col("item")], ranks)
+    return first.join(groups.select("own", *GROUP), "own")
 
 
 def source_divergence(
@@ -334,34 +403,22 @@ def source_divergence(
             for c, n in ((lang, "lang"), (source, "source"), (text, "text"))
         )
     )
-    parts = scratch.put(rows.mapInArrow(_counting(digest, False), _PARTS_DDL), "parts")
-    counts, spelled = _counts(rows, parts, digest, scratch)
-    of_lang = counts.groupBy("lang", *TERM).agg(
-        F.sum("times").alias("lang_times"), F.sum("docs").alias("docs")
-    )
-    of_lang = scratch.put(of_lang.filter(F.col("docs") >= least_documents).drop("docs"), "of_lang")
-    kept = scratch.put(counts.drop("docs").join(of_lang, ["lang", *TERM]), "kept")
-    langs = of_lang.groupBy("lang").agg(
-        F.count("*").alias("kinds"), F.sum("lang_times").alias("lang_total")
-    )
-    totals = kept.groupBy(*GROUP).agg(
-        F.sum("times").alias("total"), F.count("*").alias("present")
-    )
-    groups = parts.filter("lang is not null").select(*GROUP).distinct().join(totals, GROUP, "left").join(langs, "lang", "left")
-    groups = scratch.put(groups.na.fill(0), "groups")
-    scratch.drop("parts", "mixed", "counts", "of_lang")
-    weighed = _sliced(kept, *TERM).join(_spread(groups.drop("present")), [*GROUP, "slice"])
-    weighed = weighed.select(
-        *GROUP,
+    kept, groups, spelled = _kept(rows, least_documents, digest, scratch)
+    groups = _numbered_groups(groups, kept, scratch)
+    scratch.drop("mixed", "numbered")
+    sides = _spread(groups.drop("present"))
+    weighed = _sliced(kept, *TERM).join(sides, [*GROUP, "slice"]).select(
+        "lang",
+        "own",
         *TERM,
         _share("times", "total", "kinds").alias("p"),
-        _share("0", "total", "kinds").alias("none"),
+        "none",
         _share("lang_times", "lang_total", "kinds").alias("q"),
-    )
+    )
     weighed = scratch.put(weighed, "weighed")
     scratch.drop("kept")
-    pairs = _pairs(groups, weighed.drop("q"))
-    terms = _top_terms(weighed, spelled, ranks, scratch)
+    pairs = _pairs(groups, weighed)
+    terms = _top_terms(groups, weighed, spelled, ranks, scratch)
     found = [
         rows.select(*GROUP, F.lit(part).alias("part"), "item", "value", "rank")
         for part, rows in (("pair", pairs), ("term", terms))

@@ -132,3 +132,48 @@ def test_passing_rows_on_early_changes_nothing(monkeypatch):
     monkeypatch.setattr(divergence, "HELD_ROWS", 3)
     monkeypatch.setattr(divergence, "BLOCK_BYTES", 50)
     assert counted() == whole
+
+
+def test_counted_parts_are_shuffled_once_and_not_written_before(spark, monkeypatch):
+    plans = {}
+
+    def put(self, df, name, write=divergence.Scratch.put):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, name)
+
+    monkeypatch.setattr(divergence.Scratch, "put", put)
+    df = spark.createDataFrame(some_rows(seed=11, many=40), SCHEMA)
+    assert source_divergence(df).count()
+    counting = [plan for plan in plans.values() if "MapInArrow" in plan]
+    assert [plan.count("Exchange ") for plan in counting] == [1]
+    assert not [name for name, plan in plans.items() if "SortAggregate" in plan]
+
+
+def test_shares_of_counts_whose_product_leaves_a_bigint(spark):
+    times = [0, 8, 9 * 10**9 - 1, 9 * 10**9, 9 * 10**9 + 1, 7 * 10**15, 4 * 10**18]
+    rows = [(t, n, k) for t in times for n, k in ((t, 1), (4 * 10**18, 3 * 10**9), (0, 0))]
+    df = spark.createDataFrame(rows, "times bigint, total bigint, kinds bigint")
+    df = df.filter("total = 0 or total >= times")
+    for t, n, k, got in df.select("*", divergence._share("times", "total", "kinds")).collect():
+        assert got == (1 + 10**9 * (t + 1) // (n + k) if n + k else None)
+
+
+@pytest.mark.parametrize("ranks", [1, 7, 60])
+def test_terms_of_equal_value_go_by_their_text(spark, ranks):
+    """Values from one to many steps apart, and more equal ones than ranks."""
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in "aäzя" for b in "bcdefghijk"]
+    rows = [(i, " ".join(words), "en", "level") for i in range(3)]
+    rows += [
+        (9, " ".join(w for n, w in enumerate(words) for _ in range(4 ** (n % 5))), "en", "steep"),
+        (10, " ".join(rng.choices(words, k=300)), "en", "random"),
+        (11, " ".join(words[:30]), "en", "part"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    assert Counter(map(tuple, source_divergence(df, ranks=ranks).collect())) == plain(rows, ranks)
+
+
+def test_a_source_without_the_only_kept_term(spark):
+    rows = [(i, "solo", "en", "a") for i in range(3)] + [(7, "other", "en", "b"), (8, "", "en", "c")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert Counter(map(tuple, source_divergence(df).collect())) == plain(rows, 200)
