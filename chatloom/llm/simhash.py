@@ -86,6 +86,11 @@ def _within_two(prints: DataFrame) -> DataFrame:
     )
 
 
+def _merged(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join whose sides grow with the prints: neither is ever sent to the driver."""
+    return left.join(right.hint("merge"), keys, how)
+
+
 def _at_most_three(prints: DataFrame) -> DataFrame:
     """Links (a, b) between prints of different classes within three bits.
 
@@ -117,10 +122,10 @@ def _at_most_three(prints: DataFrame) -> DataFrame:
     table, probe = tables[0].unionAll(tables[1]), probes[0].unionAll(probes[1])
     listed = table.select("half", "at", F.col("class").alias("one")).distinct()
     asked = probe.select("half", "at", F.col("class").alias("other")).distinct()
-    meeting = listed.join(asked, ["half", "at"]).filter("one <> other")
+    meeting = _merged(listed, asked, ["half", "at"]).filter("one <> other")
     a = table.select("half", "at", F.col("class").alias("one"), F.col("print").alias("a"))
     b = probe.select("half", "at", F.col("class").alias("other"), F.col("print").alias("b"))
-    fetched = meeting.join(a, ["half", "at", "one"]).join(b, ["half", "at", "other"])
+    fetched = _merged(_merged(meeting, a, ["half", "at", "one"]), b, ["half", "at", "other"])
     return fetched.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS).select(
         "a", "b"
     )
@@ -129,16 +134,18 @@ def _at_most_three(prints: DataFrame) -> DataFrame:
 def _linked(prints: DataFrame, scratch: Scratch) -> DataFrame:
     """(print, class) for distinct prints; linked prints have the same class."""
     near = components(_within_two(prints), scratch, "near")
-    classed = prints.join(near.withColumnRenamed("node", "print"), "print", "left").select(
+    near = near.withColumnRenamed("node", "print")
+    classed = _merged(prints, near, ["print"], "left").select(
         "print", F.coalesce("component", "print").alias("class")
     )
     classed = scratch.put(classed, "classed")
     links = scratch.put(_at_most_three(classed), "links")
     of = classed.select(F.col("print").alias("a"), F.col("class").alias("ca"))
     to = classed.select(F.col("print").alias("b"), F.col("class").alias("cb"))
-    between = links.join(of, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    joined = components(between, scratch, "far")
-    return classed.join(joined.withColumnRenamed("node", "class"), "class", "left").select(
+    between = _merged(_merged(links, of, ["a"]), to, ["b"])
+    between = between.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    joined = components(between, scratch, "far").withColumnRenamed("node", "class")
+    return classed.join(joined, "class", "left").select(
         "print", F.coalesce("component", "class").alias("class")
     )
 

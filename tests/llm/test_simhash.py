@@ -6,7 +6,13 @@ from collections import Counter
 import xxhash
 
 from chatloom.llm.components import components
-from chatloom.llm.simhash import _linked, fingerprints, simhash_classes, without_near_copies
+from chatloom.llm.simhash import (
+    _at_most_three,
+    _linked,
+    fingerprints,
+    simhash_classes,
+    without_near_copies,
+)
 from chatloom.llm.tables import Scratch
 
 
@@ -128,3 +134,14 @@ def test_fingerprint_of_a_very_long_text(spark, documents):
         frame = documents([(1, value)]).selectExpr("1L AS row", "doc_id", "coalesce(text, '') AS text")
         (row,) = fingerprints(frame).collect()
         assert row.print == signed(plain_print(value))
+
+
+def test_no_lookup_of_prints_is_broadcast(spark):
+    """A table of lookups is 34 times as long as Spark sizes it, so it would be sent to the
+    driver while the prints are still few enough to look small."""
+    scratch = Scratch(spark, "t")
+    prints = spark.range(3000).selectExpr("xxhash64(id) AS print", "xxhash64(id) AS class")
+    prints = scratch.put(prints, "prints")
+    plan = _at_most_three(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan
+    assert "Broadcast" not in plan
