@@ -155,3 +155,31 @@ def test_one_object_with_and_without_braces_in_strings(spark):
     lines = ['{"a":1}', '{"a":"}"}', '{"a":"{"}', '{}{}', '{"a":{}}', ' {"a":1} ', "[]", "{", "}", '{"a":"\\"}"}', '"{"}']
     found = spark.createDataFrame([(x,) for x in lines], "line string").select(is_one_object(F.col("line")))
     assert [r[0] for r in found.collect()] == [True, True, True, False, False, True, False, False, False, True, False]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    """A filter on the parsed row must not parse it a second time, nor its date per line."""
+    write_delivery(*frames(spark, *_chats()), str(tmp_path), DAY)
+    got = read_deliveries(spark, str(tmp_path))
+    for frame in (got.events, got.surveys):
+        assert plan_of(frame).count("from_json(") == 1
+        assert "regexp_extract" not in plan_of(frame)
+
+
+def test_both_layouts_and_an_empty_folder_in_one_reading(spark, tmp_path):
+    for folder in ("chat_logs/source_date=2026-05-01", "2026-05-02", "chat_logs/source_date=2026-05-03"):
+        (tmp_path / folder).mkdir(parents=True)
+    line = '{"event_id":"%s","event_timestamp":"2026-05-01 08:00:00"}\n'
+    (tmp_path / "chat_logs/source_date=2026-05-01/a.json").write_text(line % "a" + "[]\n")
+    (tmp_path / "2026-05-02/chat_logs.jsonl").write_text(line % "b" + " \nnull\n")
+    got = read_deliveries(spark, str(tmp_path))
+    days = {(r.event_id, str(r.source_date)) for r in got.events.collect()}
+    assert days == {("a", "2026-05-01"), ("b", "2026-05-02")}
+    rejects = {(r.line, str(r.source_date), r.file.rsplit("/", 1)[1]) for r in got.rejects.collect()}
+    assert rejects == {("[]", "2026-05-01", "a.json"), ("null", "2026-05-02", "chat_logs.jsonl")}
+    only_empty = read_deliveries(spark, str(tmp_path), [date(2026, 5, 3)])
+    assert only_empty.events.collect() == [] and only_empty.rejects.collect() == []
