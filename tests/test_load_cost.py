@@ -13,7 +13,12 @@ from chatloom.operators.constraints import broken_rules
 from chatloom.operators.gate import GateError, source_gate
 from chatloom.operators.lookup import maybe_repeated
 from chatloom.operators.profile import chat_profile
-from chatloom.operators.replacement import EVENT_DATE, INGESTION_DATE, any_overtaken
+from chatloom.operators.replacement import (
+    EVENT_DATE,
+    INGESTION_DATE,
+    any_overtaken,
+    replace_dates,
+)
 from chatloom.schemas import (
     AGENT_REPLY,
     ASSIGNED,
@@ -108,6 +113,43 @@ def test_overtaken_rows_are_known_from_the_dates(spark):
     assert not any_overtaken(events, [DAY, NEXT], INGESTION_DATE)
 
 
+def test_new_rows_are_told_by_their_dates_without_a_join(spark):
+    """Also a row without a time or date, and one whose date the run doesn't have."""
+    days = [DAY + timedelta(days=n) for n in (0, 1, 3)]
+    moments = [None, *(at("08:00:00") + timedelta(days=n) for n in range(-1, 5))]
+    rows = [(f"{d}_{m}", d, m) for d in [None, *days, DAY + timedelta(days=2)] for m in moments]
+    events = spark.createDataFrame(
+        [(name, "c", m, d, d) for name, d, m in rows],
+        "event_id string, chat_id string, event_timestamp timestamp_ntz, ingestion_date date, source_date date",
+    )
+    nothing = events.drop("source_date").limit(0)
+    surveys = spark.createDataFrame([], "survey_id string, chat_id string, source_date date")
+
+    def new_events(dates, overtakes):
+        old = surveys.drop("source_date")
+        change = replace_dates(nothing, old, events, surveys, dates, EVENT_DATE, overtakes)
+        return change.new_events, change.deleted_chats
+
+    def expected(dates):
+        place = {day: n for n, day in enumerate(dates)}
+        return sorted(
+            name
+            for name, d, m in rows
+            if d in place and not (m and place.get(m.date(), -1) > place[d])
+        )
+
+    for dates in (days, days[::-1], [days[1], days[0], days[2]]):
+        found, deleted = new_events(dates, True)
+        assert sorted(r.event_id for r in found.collect()) == expected(dates)
+        assert found.columns[0] == "source_date" and set(found.columns) == set(events.columns)
+        # The last delivery is never overtaken, so its date deletes what lies before.
+        assert [r.deleted_at for r in deleted.collect()] == [2]
+    assert "Join" not in plan_of(new_events(days, True)[0])
+    found, deleted = new_events(days, False)
+    assert "Join" not in plan_of(found) and deleted.count() == 0
+    assert found.count() == len(days) * len(moments)
+
+
 def test_a_load_of_written_rows_writes_them_once(spark, tmp_path, monkeypatch):
     written, write = [], raw_layer.materialize
 
